@@ -1,18 +1,17 @@
-"""Nested values as text."""
+"""Columns of any type as text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
+from isobar.functions.sql import ident
 
-def as_text(df: DataFrame, name: str) -> Column:
-    """The column as text: structs, arrays and maps as JSON, all else by cast."""
-    kind = df.schema[name].dataType
-    value = F.col(f"`{name}`")
+
+def as_text(df: DataFrame, name: str) -> str:
+    """SQL for the column as text: structs, arrays and maps as JSON, all else by cast."""
+    kind, value = df.schema[name].dataType, ident(name)
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        value = F.to_json(value)
-    elif isinstance(kind, T.BinaryType):
-        value = F.hex(value)
-    elif not isinstance(kind, T.StringType):
-        value = value.cast("string")
-    return value.alias(name)
+        return f"to_json({value})"
+    if isinstance(kind, T.BinaryType):
+        return f"hex({value})"
+    return value if isinstance(kind, T.StringType) else f"CAST({value} AS STRING)"

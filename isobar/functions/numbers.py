@@ -1,8 +1,8 @@
-"""Text-to-number tests and casts."""
+"""Text-to-number tests and casts, as SQL over a text expression."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from isobar.functions.sql import pattern
 
 # Fixed value: what counts as a numeric first cell. It admits texts that do not cast
 # (``1..2``, ``12-5``) and refuses some that do (``1e5``, ``5.``).
@@ -13,35 +13,31 @@ NUMERIC_TEXT = r"^[-+]?\d*\.*\d+E*[-+]?\d*$"
 FLOAT_TEXT = r"^(?i)\s*[-+]?(\d+\.?\d*(e[-+]?\d+)?|\.\d+(e[-+]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def looks_numeric(text: Column) -> Column:
-    return F.coalesce(text.rlike(NUMERIC_TEXT), F.lit(False))
-
-
-def to_double(text: Column) -> Column:
+def to_double(x: str) -> str:
     """Text to double; null where the text is no number."""
-    return F.when(text.rlike(FLOAT_TEXT), F.trim(text).try_cast("double"))
+    return f"if(rlike({x}, {pattern(FLOAT_TEXT)}), try_cast(trim({x}) AS DOUBLE), NULL)"
 
 
-def casts_to_double(text: Column) -> Column:
-    return to_double(text).isNotNull()
+def is_blank(x: str) -> str:
+    return f"({x} IS NULL OR trim({x}) = '')"
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == "")
+def is_invalid(x: str) -> str:
+    """Neither blank nor a number."""
+    return f"(NOT {is_blank(x)} AND ({to_double(x)}) IS NULL)"
 
 
-def number_or_zero(text: Column) -> Column:
+def number_or_zero(x: str) -> str:
     """Blank cells become 0; other texts cast, or null where they do not."""
-    return F.when(is_blank(text), F.lit(0.0)).otherwise(to_double(text))
-
-
-def drop_nan(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+    return f"if({is_blank(x)}, 0D, {to_double(x)})"
 
 
-def kind_of(text: Column, infer: str = "regex") -> Column:
-    """``Numeric`` or ``String`` for one sample text."""
-    if infer not in ("regex", "cast"):
+def kind_of(x: str, infer: str = "regex") -> str:
+    """``Numeric`` or ``String`` for one sample text, by pattern or by cast."""
+    tests = {
+        "regex": f"coalesce(rlike({x}, {pattern(NUMERIC_TEXT)}), false)",
+        "cast": f"({to_double(x)}) IS NOT NULL",
+    }
+    if infer not in tests:
         raise ValueError(f"infer must be 'regex' or 'cast', not {infer!r}")
-    test = looks_numeric(text) if infer == "regex" else casts_to_double(text)
-    return F.when(test, F.lit("Numeric")).otherwise(F.lit("String"))
+    return f"if({tests[infer]}, 'Numeric', 'String')"

@@ -1,8 +1,8 @@
-"""Pearson's r as an aggregate expression, and its verbal strength."""
+"""Pearson's r as an aggregate, and its verbal strength, as SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from isobar.functions.sql import text
 
 # Lower bounds of |r|, rounded to two places, and their names.
 STRENGTHS = [
@@ -14,19 +14,18 @@ STRENGTHS = [
 NEGLIGIBLE = "No or negligible relationship"
 
 
-def pearson_r(x: Column, y: Column) -> Column:
+def pearson_r(x: str, y: str) -> str:
     """r over the rows where both are present; null when either side is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x), F.when(both, y)
-    constant = (F.min(px) == F.max(px)) | (F.min(py) == F.max(py))
-    r = F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
-    return F.when(~constant, r)
+    both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    constant = " OR ".join(f"min({v}) {both} = max({v}) {both}" for v in (x, y))
+    product = f"stddev_pop({x}) {both} * stddev_pop({y}) {both}"
+    return f"if({constant}, NULL, try_divide(covar_pop({x}, {y}) {both}, {product}))"
 
 
-def strength(r: Column) -> Column:
-    size = F.abs(F.round(r, 2))
-    sign = F.when(r > 0, F.lit("positive")).otherwise(F.lit("negative"))
-    label = F.when(size.isNull(), F.lit(None).cast("string"))
-    for bound, name in STRENGTHS:
-        label = label.when(size >= bound, F.concat(F.lit(f"{name} "), sign, F.lit(" relationship")))
-    return label.otherwise(F.lit(NEGLIGIBLE))
+def strength(r: str) -> str:
+    size = f"abs(round({r}, 2))"
+    sign = f"if({r} > 0, ' positive', ' negative')"
+    cases = " ".join(
+        f"WHEN {size} >= {bound} THEN concat({text(name)}, {sign}, ' relationship')" for bound, name in STRENGTHS
+    )
+    return f"CASE WHEN {r} IS NULL THEN NULL {cases} ELSE {text(NEGLIGIBLE)} END"

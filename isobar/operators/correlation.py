@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from isobar.functions.sql import text
 from isobar.functions.strength import pearson_r, strength
 from isobar.operators.numeric import as_doubles, chunks, numeric_columns, stacked
 
@@ -25,17 +26,11 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None) -> Da
 
 def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    doubles = as_doubles(df, columns)
-    row = doubles.agg(
-        *[
-            F.struct(
-                F.lit(x).alias("x"),
-                F.lit(y).alias("y"),
-                F.count(F.when(F.col(f"`{x}`").isNotNull() & F.col(f"`{y}`").isNotNull(), F.lit(1))).alias("n"),
-                pearson_r(F.col(f"`{x}`"), F.col(f"`{y}`")).alias("r"),
-            ).alias(f"p{i}")
-            for i, (x, y) in enumerate(pairs)
-        ]
+    at = {c: f"c{i}" for i, c in enumerate(columns)}
+    records = ", ".join(
+        f"struct({text(x)} AS x, {text(y)} AS y, "
+        f"count_if({at[x]} IS NOT NULL AND {at[y]} IS NOT NULL) AS n, {pearson_r(at[x], at[y])} AS r)"
+        for x, y in pairs
     )
-    rows = row.select(F.inline(F.array(*[f"p{i}" for i in range(len(pairs))])))
-    return rows.withColumn("strength", strength(F.col("r")))
+    rows = as_doubles(df, columns).selectExpr(f"array({records}) AS records").selectExpr("inline(records)")
+    return rows.selectExpr("x", "y", "n", "r", f"{strength('r')} AS strength")

@@ -2,62 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from isobar.functions.nested import as_text
-from isobar.functions.numbers import is_blank, kind_of, to_double
-
-
-def text_columns(df: DataFrame) -> DataFrame:
-    """Every column as text."""
-    return df.select(*[as_text(df, c) for c in df.columns])
+from isobar.functions.numbers import is_blank, is_invalid, kind_of
+from isobar.functions.sql import ident, text
 
 
 def field_types(df: DataFrame, first_by: str, infer: str = "regex") -> DataFrame:
     """Kind per field from the row that is first by ``first_by``, with the number of
     rows, blanks and (for numeric fields) values that do not cast, in one pass."""
     fields = df.columns
-    text = df.select(F.col(first_by).alias("_first_by"), *[as_text(df, c) for c in fields])
-    counts = []
-    for c in fields:
-        v = F.col(f"`{c}`")
-        counts.append(F.count_if(is_blank(v)).alias(f"blank:{c}"))
-        counts.append(F.count_if(~is_blank(v) & to_double(v).isNull()).alias(f"bad:{c}"))
-    row = text.agg(
-        F.min_by(F.struct(*[f"`{c}`" for c in fields]), "_first_by").alias("_row"),
-        F.count(F.lit(1)).alias("_n"),
-        *counts,
+    values = [f"v{i}" for i in range(len(fields))]
+    row = df.selectExpr(
+        f"{ident(first_by)} AS first_by", *[f"{as_text(df, f)} AS {v}" for f, v in zip(fields, values)]
+    ).selectExpr(
+        f"min_by(struct({', '.join(values)}), first_by) AS head",
+        "count(*) AS n",
+        *[f"count_if({is_blank(v)}) AS blank_{v}" for v in values],
+        *[f"count_if({is_invalid(v)}) AS bad_{v}" for v in values],
+    )
+    records = ", ".join(
+        f"struct({text(f)} AS field, {kind_of(f'head.{v}', infer)} AS kind, "
+        f"n AS n_rows, blank_{v} AS n_blank, bad_{v} AS bad)"
+        for f, v in zip(fields, values)
     )
-    records = [
-        F.struct(
-            F.lit(c).alias("field"),
-            kind_of(F.col(f"_row.`{c}`"), infer).alias("kind"),
-            F.col("_n").alias("n_rows"),
-            F.col(f"`blank:{c}`").alias("n_blank"),
-            F.col(f"`bad:{c}`").alias("bad"),
-        )
-        for c in fields
-    ]
-    return row.select(F.inline(F.array(*records))).select(
-        "field", "kind", "n_rows", "n_blank",
-        F.when(F.col("kind") == "Numeric", F.col("bad")).otherwise(F.lit(0)).cast("bigint").alias("n_invalid"),
+    return row.selectExpr(f"inline(array({records}))").selectExpr(
+        "field", "kind", "n_rows", "n_blank", "if(kind = 'Numeric', bad, 0L) AS n_invalid"
     )
 
 
 def type_counts(types: DataFrame) -> DataFrame:
     """How many fields there are, and of which kind."""
-    return types.agg(
-        F.count(F.lit(1)).alias("n_fields"),
-        F.count_if(F.col("kind") == "Numeric").alias("n_numeric"),
-        F.count_if(F.col("kind") == "String").alias("n_string"),
+    return types.selectExpr(
+        "count(*) AS n_fields",
+        "count_if(kind = 'Numeric') AS n_numeric",
+        "count_if(kind = 'String') AS n_string",
     )
 
 
 def sample_kinds(df: DataFrame, sample: dict[str, str | None], infer: str = "regex") -> dict[str, str]:
-    """Kinds of one known sample row of texts, by the same column expressions."""
+    """Kinds of one known sample row of texts, by the same expressions."""
     if not sample:
         return {}
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in sample])
-    one = spark.createDataFrame([tuple(sample.values())], schema)
-    return one.select(*[kind_of(F.col(f"`{c}`"), infer).alias(c) for c in sample]).head().asDict()
+    schema = T.StructType([T.StructField(f"v{i}", T.StringType()) for i in range(len(sample))])
+    one = df.sparkSession.createDataFrame([tuple(sample.values())], schema)
+    kinds = one.selectExpr(*[f"{kind_of(v, infer)} AS {v}" for v in one.columns]).head()
+    return dict(zip(sample, kinds))

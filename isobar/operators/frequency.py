@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from isobar.functions.nested import as_text
-from isobar.operators.numeric import as_doubles
+from isobar.functions.sql import ident
+from isobar.operators.numeric import double_of
 
 # Fields with at most this many distinct values have them listed in the report;
 # the distinct values of every field are always available as a table.
@@ -16,22 +17,18 @@ LISTED_VALUES = 1000
 
 def text_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(field, value, n)`` over the texts of the columns."""
-    return _frequencies(df.select(*[as_text(df, c) for c in columns]), columns)
+    return _frequencies(df.selectExpr(*[f"{as_text(df, c)} AS {ident(c)}" for c in columns]))
 
 
 def number_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(field, value, n)`` over numeric columns, values as doubles."""
-    return _frequencies(as_doubles(df, columns), columns)
+    return _frequencies(df.selectExpr(*[f"{double_of(df, c)} AS {ident(c)}" for c in columns]))
 
 
-def _frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _frequencies(df: DataFrame) -> DataFrame:
     # Counted inside each task first, so a value held by most rows costs one row per task.
-    long = df.unpivot([], [f"`{c}`" for c in columns], "field", "value")
-    return (
-        long.filter(F.col("value").isNotNull())
-        .groupBy("field", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long = df.unpivot([], [ident(c) for c in df.columns], "field", "value")
+    return long.filter("value IS NOT NULL").groupBy("field", "value").agg(F.expr("count(*) AS n"))
 
 
 def modes(frequencies: DataFrame) -> DataFrame:
@@ -40,13 +37,11 @@ def modes(frequencies: DataFrame) -> DataFrame:
     The smallest of equally frequent values is taken. ``has_mode`` is false, and the
     mode null, when no value occurs twice.
     """
-    top = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
-    summary = frequencies.groupBy("field").agg(F.count(F.lit(1)).alias("n_unique"), top.alias("top"))
-    return summary.select(
-        "field",
-        "n_unique",
-        (F.col("top.rank") < -1).alias("has_mode"),
-        F.when(F.col("top.rank") < -1, F.col("top.value")).alias("mode"),
+    summary = frequencies.groupBy("field").agg(
+        F.expr("count(*) AS n_unique"), F.expr("min(struct(-n AS rank, value)) AS top")
+    )
+    return summary.selectExpr(
+        "field", "n_unique", "top.rank < -1 AS has_mode", "if(top.rank < -1, top.value, NULL) AS mode"
     )
 
 
@@ -64,6 +59,6 @@ def string_summary(frequencies: DataFrame, listed: int = LISTED_VALUES) -> DataF
     lists = (
         frequencies.join(small, "field", "left_semi")
         .groupBy("field")
-        .agg(F.sort_array(F.collect_list("value")).alias("unique_values"))
+        .agg(F.expr("sort_array(collect_list(value)) AS unique_values"))
     )
     return summary.join(lists, "field", "left")

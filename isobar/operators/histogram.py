@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from isobar.functions.sql import number, text
 from isobar.operators.numeric import as_doubles, chunks, numeric_columns, stacked
 
 BINS = 10
@@ -23,36 +24,28 @@ def histogram10(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return stacked([_histogram(as_doubles(df, part), part) for part in chunks(columns)])
 
 
+def _edges(low: float | None, high: float | None) -> list[float | None]:
+    if low is None:
+        return [None] * (BINS + 1)
+    width = (high - low) / BINS
+    return [low + k * width for k in range(BINS + 1)]
+
+
 def _histogram(df: DataFrame, columns: list[str]) -> DataFrame:
-    ranges = df.agg(
-        *[F.min(f"`{c}`").alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(f"`{c}`").alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).head()
-    aggregates, records = [], []
-    for i, c in enumerate(columns):
-        low, high = ranges[f"lo{i}"], ranges[f"hi{i}"]
-        if low is None:
-            edges = [None] * (BINS + 1)
-        else:
-            width = (high - low) / BINS
-            edges = [low + k * width for k in range(BINS + 1)]
-        value = F.col(f"`{c}`")
-        aggregates.append(F.count(value).alias(f"a{i}_0"))
-        aggregates += [
-            F.count(F.when(value > F.lit(edges[k]), F.lit(True))).alias(f"a{i}_{k}") for k in range(1, BINS)
+    ranges = df.selectExpr(*[f"struct(min({c}), max({c})) AS {c}" for c in df.columns]).head()
+    above, records = [], []
+    for i, name in enumerate(columns):
+        edges = _edges(*ranges[i])
+        over = [f"count(c{i})"]
+        over += [f"count(if(c{i} > {number(edges[k])}, 1, NULL))" for k in range(1, BINS)]
+        above.append(f"array({', '.join(over)}, 0L) AS over{i}")
+        records += [
+            f"struct({text(name)} AS field, {k} AS bin, {number(edges[k])} AS lo, {number(edges[k + 1])} AS hi, "
+            f"over{i}[{k}] - over{i}[{k + 1}] AS n)"
+            for k in range(BINS)
         ]
-        aggregates.append(F.lit(0).cast("bigint").alias(f"a{i}_{BINS}"))
-        records += [_record(c, k, edges, F.col(f"a{i}_{k}") - F.col(f"a{i}_{k + 1}")) for k in range(BINS)]
-    return df.agg(*aggregates).select(F.inline(F.array(*records)))
-
-
-def _record(field: str, k: int, edges: list[float | None], n: Column) -> Column:
-    lo, hi = (F.lit(edges[j]).cast("double") for j in (k, k + 1))
-    return F.struct(
-        F.lit(field).alias("field"),
-        F.lit(k).alias("bin"),
-        lo.alias("lo"),
-        hi.alias("hi"),
-        F.concat(lo.cast("string"), F.lit("-"), hi.cast("string")).alias("label"),
-        n.alias("n"),
+    return (
+        df.selectExpr(*above)
+        .selectExpr(f"inline(array({', '.join(records)}))")
+        .selectExpr("field", "bin", "lo", "hi", "concat(CAST(lo AS STRING), '-', CAST(hi AS STRING)) AS label", "n")
     )

@@ -10,20 +10,19 @@ network:
    few is sorted, and the wanted values are read off.
 
 Sketches only propose where to cut: every decision rests on exact counts, so the result
-is exact for any data. A frequent value becomes a pivot itself and leaves the intervals,
-so ties shrink them like all else. An interval loses about two orders of magnitude per
-round; 10^13 rows need three.
+is exact for any data. A value that fills an interval becomes a pivot and is settled by
+its count, so ties end the search sooner. An interval loses about two orders of
+magnitude per round; 10^13 rows need five.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from isobar.functions.sql import number
 from isobar.operators.numeric import as_doubles, chunks, numeric_columns
 
 # An interval with at most this many values is sorted inside one aggregate buffer.
@@ -32,8 +31,8 @@ SPLITS = 256
 SKETCH_K = 1024
 # Sketches are merged in this many groups before the final merge.
 MERGE_GROUPS = 64
-# Columns per scan; bounds the aggregate row and the buffers of the final sort.
-COLUMNS_PER_SCAN = 16
+# Columns per scan; bounds the number of aggregates and the buffers of the final sort.
+COLUMNS_PER_SCAN = 4
 
 SCHEMA = "field string, n bigint, median double, q1 double, q3 double, iqr double"
 
@@ -66,21 +65,20 @@ class _Interval:
     ranks: set[int] = field(default_factory=set)
     splits: list[float] = field(default_factory=list)
 
-    def inside(self) -> Column:
-        value = F.col(f"`{self.column}`")
-        test = value.isNotNull()
+    def inside(self) -> str:
+        tests = [f"{self.column} IS NOT NULL"]
         if self.lo is not None:
-            test = test & (value > F.lit(self.lo))
+            tests.append(f"{self.column} > {number(self.lo)}")
         if self.hi is not None:
-            test = test & (value < F.lit(self.hi))
-        return test
+            tests.append(f"{self.column} < {number(self.hi)}")
+        return f"({' AND '.join(tests)})"
 
     def pivots(self) -> list[float]:
-        """Split values around the wanted ranks."""
+        """Split values on both sides of the wanted ranks, beyond the sketch's error."""
         near = set()
         for rank in self.ranks:
             at = (rank - self.below) * SPLITS // self.size
-            near.update(self.splits[max(at - 2, 0) : at + 4])
+            near |= {self.splits[max(at - 1, 0)], self.splits[min(at + 2, SPLITS)]}
         return sorted(near)
 
 
@@ -97,28 +95,27 @@ def order_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return df.sparkSession.createDataFrame(rows, SCHEMA)
 
 
-def _order_statistics(df: DataFrame, columns: list[str]) -> list[tuple]:
-    whole = [_Interval(c, None, None, 0, 0) for c in columns]
+def _order_statistics(df: DataFrame, names: list[str]) -> list[tuple]:
+    whole = [_Interval(c, None, None, 0, 0) for c in df.columns]
     _sketch(df, whole)
-    wanted = {iv.column: quartile_ranks(iv.size) for iv in whole}
-    sizes = {iv.column: iv.size for iv in whole}
-    for iv in whole:
-        iv.ranks = {r for pair in wanted[iv.column].values() if pair for r in pair}
-    found = select_ranks(df, [iv for iv in whole if iv.ranks])
+    wanted = [quartile_ranks(iv.size) for iv in whole]
+    for iv, pairs in zip(whole, wanted):
+        iv.ranks = {r for pair in pairs.values() if pair for r in pair}
+    found = _select_ranks(df, [iv for iv in whole if iv.ranks])
 
     rows = []
-    for c in columns:
-        value = {
-            name: (found[c, pair[0]] + found[c, pair[1]]) / 2.0 if pair else None
-            for name, pair in wanted[c].items()
+    for name, iv, pairs in zip(names, whole, wanted):
+        at = {
+            part: (found[iv.column, pair[0]] + found[iv.column, pair[1]]) / 2.0 if pair else None
+            for part, pair in pairs.items()
         }
-        spread = None if value["q1"] is None or value["q3"] is None else value["q3"] - value["q1"]
-        rows.append((c, sizes[c], value["median"], value["q1"], value["q3"], spread))
+        spread = None if at["q1"] is None or at["q3"] is None else at["q3"] - at["q1"]
+        rows.append((name, iv.size, at["median"], at["q1"], at["q3"], spread))
     return rows
 
 
-def select_ranks(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
-    """Value at every wanted rank. The intervals carry their splits."""
+def _select_ranks(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
+    """Value at every wanted rank. Whole-column intervals carry their splits."""
     found: dict[tuple[str, int], float] = {}
     while intervals:
         small = [iv for iv in intervals if iv.size <= SORTED_VALUES]
@@ -136,68 +133,74 @@ def _rows_of(df: DataFrame, intervals: list[_Interval]) -> DataFrame:
     """Rows with a value in any of the intervals; reaches the scan as a filter."""
     if any(iv.lo is None and iv.hi is None for iv in intervals):
         return df
-    return df.filter(reduce(or_, [iv.inside() for iv in intervals]))
+    return df.filter(" OR ".join(iv.inside() for iv in intervals))
 
 
 def _sketch(df: DataFrame, intervals: list[_Interval]) -> None:
     """Fill in size and splits of the intervals."""
-    rows = _rows_of(df, intervals).withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+    at = f"array({', '.join(number(i / SPLITS) for i in range(SPLITS + 1))})"
     partial, total, result = [], [], []
-    at = F.array(*[F.lit(i / SPLITS) for i in range(SPLITS + 1)])
     for i, iv in enumerate(intervals):
-        value = F.when(iv.inside(), F.col(f"`{iv.column}`"))
-        partial += [F.kll_sketch_agg_double(value, F.lit(SKETCH_K)).alias(f"s{i}"), F.count(value).alias(f"n{i}")]
-        total += [F.kll_merge_agg_double(f"s{i}").alias(f"s{i}"), F.sum(f"n{i}").alias(f"n{i}")]
-        result += [
-            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", at)).alias(f"q{i}"),
-            F.coalesce(f"n{i}", F.lit(0)).alias(f"n{i}"),
-        ]
-    row = rows.groupBy("_group").agg(*partial).agg(*total).select(*result).head()
+        value = f"if({iv.inside()}, {iv.column}, NULL)"
+        partial += [f"kll_sketch_agg_double({value}, {SKETCH_K}) AS s{i}", f"count({value}) AS n{i}"]
+        total += [f"kll_merge_agg_double(s{i}) AS s{i}", f"sum(n{i}) AS n{i}"]
+        result += [f"coalesce(n{i}, 0L)", f"if(n{i} > 0, kll_sketch_get_quantile_double(s{i}, {at}), NULL)"]
+    row = (
+        _rows_of(df, intervals)
+        .groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("merge_group"))
+        .agg(*map(F.expr, partial))
+        .selectExpr(*total)
+        .selectExpr(*result)
+        .head()
+    )
     for i, iv in enumerate(intervals):
-        iv.size = row[f"n{i}"]
-        iv.splits = row[f"q{i}"] or []
+        iv.size, iv.splits = row[2 * i], row[2 * i + 1] or []
 
 
 def _split(df: DataFrame, intervals: list[_Interval], found: dict) -> list[_Interval]:
     """Count around the pivots; settle ranks that hit one, narrow the others."""
     pivots = [iv.pivots() for iv in intervals]
-    counts = []
-    for i, iv in enumerate(intervals):
-        value, inside = F.col(f"`{iv.column}`"), iv.inside()
-        for j, p in enumerate(pivots[i]):
-            counts.append(F.count(F.when(inside & (value < F.lit(p)), F.lit(1))).alias(f"lt{i}_{j}"))
-            counts.append(F.count(F.when(inside & (value <= F.lit(p)), F.lit(1))).alias(f"le{i}_{j}"))
-    row = _rows_of(df, intervals).agg(*counts).head()
+    counts = [
+        f"array({', '.join(_counts_around(iv, p) for p in values)})" for iv, values in zip(intervals, pivots)
+    ]
+    counted = _rows_of(df, intervals).selectExpr(*counts).head()
 
     narrowed: dict[tuple, _Interval] = {}
-    for i, iv in enumerate(intervals):
+    for iv, values, around in zip(intervals, pivots, counted):
         for rank in iv.ranks:
-            lo, below, hi, size = iv.lo, iv.below, iv.hi, None
-            for j, p in enumerate(pivots[i]):
-                first, past = iv.below + row[f"lt{i}_{j}"], iv.below + row[f"le{i}_{j}"]
+            lo, hi, below, end = iv.lo, iv.hi, iv.below, iv.below + iv.size
+            hit = False
+            for p, (smaller, up_to) in zip(values, around):
+                first, past = iv.below + smaller, iv.below + up_to
                 if rank < first:
-                    hi, size = p, first - below
+                    hi, end = p, first
                     break
                 if rank < past:
-                    found[iv.column, rank] = p
+                    found[iv.column, rank], hit = p, True
                     break
                 lo, below = p, past
-            else:
-                size = iv.below + iv.size - below
-            if size is not None:
-                key = (iv.column, lo, hi)
-                narrowed.setdefault(key, _Interval(iv.column, lo, hi, below, size)).ranks.add(rank)
+            if not hit:
+                part = _Interval(iv.column, lo, hi, below, end - below)
+                narrowed.setdefault((iv.column, lo, hi), part).ranks.add(rank)
     return list(narrowed.values())
 
 
+def _counts_around(iv: _Interval, pivot: float) -> str:
+    """How many values of the interval are smaller than the pivot, and how many not larger."""
+    floor = "" if iv.lo is None else f"{iv.column} > {number(iv.lo)} AND "
+    smaller, up_to = (
+        f"count(if({floor}{iv.column} {sign} {number(pivot)}, 1, NULL))" for sign in ("<", "<=")
+    )
+    return f"struct({smaller} AS smaller, {up_to} AS up_to)"
+
+
 def _read_off(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
     """Sort the few values of each interval and take the wanted ones."""
     gathered, picked, keys = [], [], []
     for i, iv in enumerate(intervals):
-        value = F.when(iv.inside(), F.col(f"`{iv.column}`"))
-        gathered.append(F.sort_array(F.collect_list(value)).alias(f"v{i}"))
+        gathered.append(f"sort_array(collect_list({iv.column}) FILTER (WHERE {iv.inside()})) AS v{i}")
         for rank in sorted(iv.ranks):
-            picked.append(F.element_at(f"v{i}", F.lit(rank - iv.below + 1)).alias(f"p{len(keys)}"))
+            picked.append(f"element_at(v{i}, {rank - iv.below + 1})")
             keys.append((iv.column, rank))
-    row = _rows_of(df, intervals).agg(*gathered).select(*picked).head()
+    row = _rows_of(df, intervals).selectExpr(*gathered).selectExpr(*picked).head()
     return dict(zip(keys, row))

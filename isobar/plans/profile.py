@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from isobar.functions.nested import as_text
-from isobar.functions.numbers import is_blank, number_or_zero, to_double
+from isobar.functions.numbers import is_blank, is_invalid, number_or_zero, to_double
+from isobar.functions.sql import ident
 from isobar.operators.correlation import default_pairs, pearson
 from isobar.operators.fieldtypes import sample_kinds
 from isobar.operators.frequency import (
@@ -63,12 +64,6 @@ class Typed:
         return [name for name in self.df.columns if self.kinds[name] == kind]
 
 
-def blank_rule(text, blank: str):
-    """A numeric cell under a blank rule: ``skip`` leaves blanks out, ``zero`` counts
-    them as 0, ``fail`` is checked by the caller."""
-    return number_or_zero(text) if blank == "zero" else to_double(text)
-
-
 def type_text_table(table: TextTable, *, blank: str = "skip", strict: bool = False) -> Typed:
     """Cast the numeric fields and land the table as parquet in the shared folder.
 
@@ -79,16 +74,16 @@ def type_text_table(table: TextTable, *, blank: str = "skip", strict: bool = Fal
         raise ValueError(f"blank must be one of {BLANK_RULES}, not {blank!r}")
     spark, rows, kinds = table.rows.sparkSession, table.rows, table.kinds
     numeric = [f for f in rows.columns if kinds[f] == "Numeric"]
-    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics = ["count(*) AS n_rows"]
     for i, f in enumerate(numeric):
-        v = F.col(f"`{f}`")
-        metrics.append(F.count_if(is_blank(v)).alias(f"blank{i}"))
-        metrics.append(F.count_if(~is_blank(v) & to_double(v).isNull()).alias(f"bad{i}"))
+        metrics += [f"count_if({is_blank(ident(f))}) AS blank{i}", f"count_if({is_invalid(ident(f))}) AS bad{i}"]
+    # ``skip`` leaves blank cells out, ``zero`` counts them as 0, ``fail`` is checked below.
+    cell = number_or_zero if blank == "zero" else to_double
     counted = Observation()
     # Positional names: field names from a file need not be valid parquet names.
-    typed = rows.observe(counted, *metrics).select(
+    typed = rows.observe(counted, *map(F.expr, metrics)).selectExpr(
         *[
-            (blank_rule(F.col(f"`{f}`"), blank) if kinds[f] == "Numeric" else F.col(f"`{f}`")).alias(f"c{i}")
+            f"{cell(ident(f)) if kinds[f] == 'Numeric' else ident(f)} AS c{i}"
             for i, f in enumerate(rows.columns)
         ]
     )
@@ -113,19 +108,20 @@ def type_frame(df: DataFrame, infer: str = "regex") -> Typed:
     """A DataFrame for profiling: numeric columns are numeric, text columns go by their
     first row, everything else is text."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    first = df.select(*[F.col(f"`{c}`") for c in texts]).head() if texts else None
+    first = df.select(*map(ident, texts)).head() if texts else None
     kinds = sample_kinds(df, dict(zip(texts, first)) if first else {}, infer)
     columns = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.NumericType):
             kinds[f.name] = "Numeric"
-            columns.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
+            value = f"CAST({ident(f.name)} AS DOUBLE)"
         elif kinds.get(f.name) == "Numeric":
-            columns.append(to_double(F.col(f"`{f.name}`")).alias(f.name))
+            value = to_double(ident(f.name))
         else:
             kinds[f.name] = "String"
-            columns.append(as_text(df, f.name))
-    return Typed(df.select(*columns), kinds)
+            value = as_text(df, f.name)
+        columns.append(f"{value} AS {ident(f.name)}")
+    return Typed(df.selectExpr(*columns), kinds)
 
 
 @dataclass(frozen=True)

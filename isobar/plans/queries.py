@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from isobar.functions.nested import as_text
 from isobar.functions.numbers import number_or_zero, to_double
+from isobar.functions.sql import ident
 from isobar.functions.times import date_text
 from isobar.operators import (
     correlation, fieldtypes, frequency, histogram, means, numeric, orderstats, rawday, telegram, upsert,
@@ -34,9 +35,9 @@ BOX = (-3.0, 52.0, 0.0, 60.0)
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places: sums of doubles depend on the order of the rows."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f"`{f.name}`", 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+            f"round({ident(f.name)}, 6) AS {ident(f.name)}" if isinstance(f.dataType, T.DoubleType) else ident(f.name)
             for f in df.schema.fields
         ]
     )
@@ -272,14 +273,16 @@ def pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blank_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    cell = F.when(counter() < 10, F.lit(" ")).otherwise(as_text(events, "value"))
-    cells = events.select(number_or_zero(cell).alias("blank_as_zero"), to_double(cell).alias("blank_skipped"))
-    return rounded(numeric.numeric_summary(cells))
+    cells = events.select(F.when(counter() < 10, " ").otherwise(F.col("value").cast("string")).alias("cell"))
+    numbers = cells.selectExpr(
+        f"{number_or_zero('cell')} AS blank_as_zero", f"{to_double('cell')} AS blank_skipped"
+    )
+    return rounded(numeric.numeric_summary(numbers))
 
 
 def nested_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k INT").alias("props"))
-    return nested.select("event_id", as_text(nested, "props"))
+    return nested.selectExpr("event_id", f"{as_text(nested, 'props')} AS props")
 
 
 def nul_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

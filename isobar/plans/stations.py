@@ -17,19 +17,18 @@ def counter() -> Column:
 
 def as_telegrams(events: DataFrame) -> DataFrame:
     """Telegram columns and ``event_id``."""
-    k = counter()
-    return events.select(
+    return events.withColumn("k", counter()).selectExpr(
         "event_id",
-        F.col("user_id").cast("int").alias("id"),
-        F.col("event_type").alias("location"),
-        (50 + (F.col("user_id") % 100) / 10).alias("latitude"),
-        (-(F.col("user_id") % 80) / 10).alias("longitude"),
-        F.col("value").alias("temp"),
-        (F.col("value") + k).alias("pressure"),
-        k.cast("double").alias("humidity"),
-        (k / 10).alias("windspeed"),
-        (k * F.lit(3.6)).alias("winddirection"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"),
+        "CAST(user_id AS INT) AS id",
+        "event_type AS location",
+        "50 + (user_id % 100) / 10 AS latitude",
+        "-(user_id % 80) / 10 AS longitude",
+        "value AS temp",
+        "value + k AS pressure",
+        "CAST(k AS DOUBLE) AS humidity",
+        "k / 10 AS windspeed",
+        "k * 3.6D AS winddirection",
+        "unix_seconds(CAST(ts AS TIMESTAMP)) AS time",
     )
 
 
@@ -41,25 +40,17 @@ def as_responses(readings: DataFrame) -> DataFrame:
     """Each reading as a response document that lists it one to three times, under ids
     1000 apart. ``landed_at`` is one minute after the reading."""
 
-    def station(i: Column) -> Column:
-        return F.struct(
-            (F.col("id") + 1000 * i).alias("id"),
-            F.col("location").alias("name"),
-            F.struct(F.col("longitude").alias("lon"), F.col("latitude").alias("lat")).alias("coord"),
-            F.struct("temp", F.col("temp").alias("temp_min"), "pressure", "humidity").alias("main"),
-            F.col("time").alias("dt"),
-            F.struct(F.col("windspeed").alias("speed"), F.col("winddirection").alias("deg")).alias("wind"),
-            F.struct(F.lit(80).alias("all")).alias("clouds"),
-        )
-
-    n = (F.col("event_id") % 3 + 1).cast("int")
-    document = F.struct(
-        F.lit("200").alias("cod"),
-        (n / 1000).alias("calctime"),
-        n.alias("cnt"),
-        F.transform(F.sequence(F.lit(0), n - 1), station).alias("list"),
+    return readings.selectExpr(
+        "event_id",
+        "time + 60 AS landed_at",
+        """to_json(struct(
+             '200' AS cod, (event_id % 3 + 1) / 1000 AS calctime, event_id % 3 + 1 AS cnt,
+             transform(sequence(0, CAST(event_id % 3 AS INT)), i -> struct(
+               id + 1000 * i AS id, location AS name, struct(longitude AS lon, latitude AS lat) AS coord,
+               struct(temp, temp AS temp_min, pressure, humidity) AS main, time AS dt,
+               struct(windspeed AS speed, winddirection AS deg) AS wind, struct(80 AS all) AS clouds
+             )) AS list)) AS value""",
     )
-    return readings.select("event_id", (F.col("time") + 60).alias("landed_at"), F.to_json(document).alias("value"))
 
 
 def as_lines(readings: DataFrame) -> DataFrame:

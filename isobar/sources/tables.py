@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from isobar.functions.sql import ident
 from isobar.operators.fieldtypes import sample_kinds
 
 # Size of the looked-at sample, and the form of a JSON object line.
@@ -21,6 +22,9 @@ SAMPLE_CHARS = 1024
 JSON_LINE = r"^{.+}$"
 DEFAULT_DELIMITER = ","
 
+# Files of a folder that detection goes through for one that shows enough.
+FILES_LOOKED_AT = 16
+
 
 class BinaryInput(ValueError):
     """The input holds NUL characters."""
@@ -38,13 +42,20 @@ class TextTable:
 
 
 def first_lines(spark: SparkSession, path: str, lines: int, chars: int | None = None) -> list[str]:
-    """The first lines of the first non-empty file, each cut to ``chars`` if given."""
+    """The first lines, each cut to ``chars`` if given, of the first file by name.
+
+    In a folder, a file of one line (perhaps a lone header) is passed over for one with
+    more among the next few.
+    """
     value = F.col("value") if chars is None else F.substring("value", 1, chars)
-    for file in sorted(spark.read.text(path).inputFiles()):
-        found = [r[0] for r in spark.read.text(file).select(value).head(lines)]
-        if found:
-            return found
-    return []
+    found: list[str] = []
+    for file in sorted(spark.read.text(path).inputFiles())[:FILES_LOOKED_AT]:
+        here = [r[0] for r in spark.read.text(file).select(value).head(max(lines, 2))]
+        if len(here) > len(found):
+            found = here
+        if len(found) > 1:
+            break
+    return found[:lines]
 
 
 def detect_format(first_line: str) -> str:
@@ -128,7 +139,7 @@ def read_delimited(
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     # With the schema given, columns go by position and the header line is only skipped.
     rows = spark.read.schema(schema).option("header", header).option("enforceSchema", "true").options(**options).csv(path)
-    rows = rows.select(*[F.coalesce(f"`{f}`", F.lit("")).alias(f) for f in fields])
+    rows = rows.selectExpr(*[f"coalesce({ident(f)}, '') AS {ident(f)}" for f in fields])
     return TextTable(rows, sample_kinds(rows, sample_row, infer), "CSV", sep, header)
 
 
