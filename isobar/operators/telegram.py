@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from isobar.functions import times
-from isobar.schemas import CSV_READING, RESPONSE, TELEGRAM
+from isobar.schemas import CSV_READING, ENVELOPE, RESPONSE, TELEGRAM
 
 # Fixed value: the constant key of published telegrams.
 MESSAGE_KEY = "unitedkingdom"
@@ -22,9 +22,17 @@ def flatten_responses(df: DataFrame, ingest: Column | None = None, keep: Sequenc
     that one is carried as ``observed_at``.
     """
     ingest = times.now_seconds() if ingest is None else ingest
-    stations = df.select(
-        *keep, ingest.cast("bigint").alias("time"), F.from_json("value", RESPONSE).alias("r")
-    ).select(*keep, "time", F.inline("r.list"))
+    # The outer form keeps the optimizer from testing the list for emptiness first, which
+    # would parse every document a second time; documents without stations go here.
+    stations = (
+        df.select(
+            *keep,
+            ingest.cast("bigint").alias("time"),
+            F.posexplode_outer(F.from_json("value", RESPONSE).getField("list")).alias("at", "station"),
+        )
+        .filter(F.col("at").isNotNull())
+        .select(*keep, "time", "station.*")
+    )
     return stations.select(
         *keep,
         F.col("id").cast("int").alias("id"),
@@ -43,7 +51,7 @@ def flatten_responses(df: DataFrame, ingest: Column | None = None, keep: Sequenc
 
 def response_envelope(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Status, server time and station count of each response in ``value``."""
-    r = F.from_json("value", RESPONSE)
+    r = F.from_json("value", ENVELOPE)
     return df.select(*keep, r.alias("r")).select(
         *keep,
         F.col("r.cod").try_cast("int").alias("cod"),
@@ -70,13 +78,13 @@ def parse_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     parsed = F.from_json(
         F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    reason = (
-        F.when(F.col("t").isNull() | F.col(f"t.{_CORRUPT}").isNotNull(), F.lit("malformed"))
-        .when(F.col("t.id").isNull(), F.lit("no id"))
-    )
-    return messages.select(*keep, "value", parsed.alias("t")).select(
-        *keep, "value", *[F.col(f"t.{n}").alias(n) for n in TELEGRAM.names], reason.alias("rejected")
+    # Going through a generator keeps later filters above the parser, which would
+    # otherwise be copied into them and run once per use.
+    rows = messages.select(*keep, "value", F.inline(F.array(parsed)))
+    reason = F.expr(
+        f"CASE WHEN value IS NULL OR {_CORRUPT} IS NOT NULL THEN 'malformed' WHEN id IS NULL THEN 'no id' END"
     )
+    return rows.withColumn("rejected", reason).drop(_CORRUPT)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

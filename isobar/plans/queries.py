@@ -127,10 +127,11 @@ def _with_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def telegram_serialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = telegram.to_messages(telegrams(spark, sf_dir))
-    return messages.select(
-        "key",
-        F.size(F.json_object_keys("value")).alias("n_keys"),
-        *[F.get_json_object("value", f"$.{f.name}").cast(f.dataType).alias(f.name) for f in TELEGRAM.fields],
+    names = TELEGRAM.names
+    texts = messages.select("key", "value", F.json_tuple("value", *names).alias(*names))
+    return texts.select(
+        "key", F.size(F.json_object_keys("value")).alias("n_keys"),
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TELEGRAM.fields],
     )
 
 

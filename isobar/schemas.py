@@ -28,6 +28,9 @@ STATION = _struct(
 )
 RESPONSE = _struct(cod=_TEXT, calctime=_DOUBLE, cnt=_DOUBLE, list=T.ArrayType(STATION))
 
+# The same without the readings, for what is said about the response as a whole.
+ENVELOPE = _struct(cod=_TEXT, calctime=_DOUBLE, cnt=_DOUBLE, list=T.ArrayType(_struct(id=_LONG)))
+
 # Latest state: one row per station; ``location`` is the position as 'lat,lon' text.
 LATEST = _struct(
     id=_INT, place=_TEXT, location=_TEXT, windspeed=_DOUBLE, winddirection=_DOUBLE, pressure=_DOUBLE,
