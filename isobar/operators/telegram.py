@@ -80,9 +80,10 @@ def parse_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
     # Going through a generator keeps later filters above the parser, which would
     # otherwise be copied into them and run once per use.
-    rows = messages.select(*keep, "value", F.inline(F.array(parsed)))
+    rows = messages.select(*keep, F.col("value").cast("string").alias("value"), F.inline(F.array(parsed)))
     reason = F.expr(
-        f"CASE WHEN value IS NULL OR {_CORRUPT} IS NOT NULL THEN 'malformed' WHEN id IS NULL THEN 'no id' END"
+        f"CASE WHEN value IS NULL OR trim(value) = '' OR {_CORRUPT} IS NOT NULL THEN 'malformed' "
+        "WHEN id IS NULL THEN 'no id' END"
     )
     return rows.withColumn("rejected", reason).drop(_CORRUPT)
 

@@ -10,12 +10,13 @@ checkpoint, since batch ids start over with a new one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from isobar.operators.upsert import fold_versions, resolve_batch
 from isobar.schemas import LATEST
-from isobar.sources.versions import complete_versions, delete_version, version_path
+from isobar.sources.versions import complete_versions, delete_version, read_versions, version_path
 
 
 @dataclass(frozen=True)
@@ -70,16 +71,13 @@ class LatestState:
         batches = [
             b for b in complete_versions(spark, self._batches) if b > base and (as_of is None or b <= as_of)
         ]
-        paths = [version_path(self._bases, base)] if bases else []
-        if paths and not batches:
-            return spark.read.schema(LATEST).parquet(*paths)
+        if bases and not batches:
+            return spark.read.schema(LATEST).parquet(version_path(self._bases, base))
         parts = []
-        if paths:
-            parts.append(spark.read.schema(LATEST).parquet(*paths).withColumn("v", F.lit(base)))
+        if bases:
+            parts.append(read_versions(spark, self._bases, [base], LATEST))
         if batches:
-            stacked = spark.read.option("basePath", self._batches).schema(LATEST)
-            parts.append(stacked.parquet(*[version_path(self._batches, b) for b in batches]))
+            parts.append(read_versions(spark, self._batches, batches, LATEST))
         if not parts:
             return spark.createDataFrame([], LATEST)
-        versions = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return fold_versions(versions, "v")
+        return fold_versions(reduce(DataFrame.unionByName, parts))

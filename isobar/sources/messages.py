@@ -71,8 +71,8 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int | None =
 
 def landed_responses(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Streaming responses, one document per file, with the time each file landed."""
-    reader = spark.readStream.option("wholetext", "true")
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     landed = F.unix_seconds(F.col("_metadata.file_modification_time"))
-    return reader.text(path).select("value", landed.alias("landed_at"))
+    return reader.text(path, wholetext=True).select("value", landed.alias("landed_at"))

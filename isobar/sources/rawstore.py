@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isobar.operators.rawday import clustered, last_write_wins, to_raw_day
 from isobar.schemas import RAW_DAY
-from isobar.sources.versions import complete_versions, version_path
+from isobar.sources.versions import complete_versions, read_versions, version_path
 
 
 @dataclass(frozen=True)
@@ -35,11 +35,7 @@ class RawStore:
         versions = complete_versions(spark, self.root)
         if not versions:
             return spark.createDataFrame([], RAW_DAY)
-        rows = (
-            spark.read.option("basePath", self.root)
-            .schema(RAW_DAY)
-            .parquet(*[version_path(self.root, v) for v in versions])
-        )
+        rows = read_versions(spark, self.root, versions, RAW_DAY)
         if first_day is not None:
             rows = rows.filter(F.col("day") >= first_day)
         if last_day is not None:

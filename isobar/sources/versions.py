@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -20,6 +20,14 @@ def version_path(root: str, version: int) -> str:
     return f"{root}/v={version}"
 
 
+def read_versions(spark: SparkSession, root: str, versions: list[int], schema: T.StructType) -> DataFrame:
+    """The rows of the given folders with their number as ``v``. The number is part of
+    the schema, so that folders without any row do not change it."""
+    numbered = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
+    paths = [version_path(root, v) for v in versions]
+    return spark.read.option("basePath", root).schema(numbered).parquet(*paths)
+
+
 def delete_version(spark: SparkSession, root: str, version: int) -> None:
     path, fs = _filesystem(spark, version_path(root, version))
     fs.delete(path, True)

@@ -1,0 +1,83 @@
+import datetime as dt
+
+from isobar.schemas import RAW_DAY
+from isobar.sources.rawstore import RawStore
+
+FIELDS = "id int, temp double, humidity double, pressure double, winddirection double, windspeed double, " \
+         "time bigint, arrival bigint"
+JANUARY, FEBRUARY = 1705276800, 1707955200  # 15 January and 15 February 2024, 00:00 UTC
+
+
+def telegrams(spark, *rows):
+    full = [(i, t, t, t, t, t, time, arrival) for i, t, time, arrival in rows]
+    return spark.createDataFrame(full, FIELDS)
+
+
+def brief(df):
+    return sorted((r.id, r.date, r.day, r.temperature) for r in df.collect())
+
+
+def test_layout(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0)), 0, arrival="arrival")
+    df = store.read(spark)
+    assert set(df.columns) == set(RAW_DAY.names)
+    row = df.head()
+    assert (row.id, row.date, row.day, row.windspeed) == ("1", "15", "2024-01-15", 5.0)
+    assert row.eventtime.replace(tzinfo=None) == dt.datetime.fromtimestamp(JANUARY)
+    assert (tmp_path / "v=0" / "day=2024-01-15").is_dir()
+
+
+def test_last_write_wins_inside_and_across_batches(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 1), (1, 6.0, JANUARY, 2), (2, 1.0, JANUARY, 1)), 0, "arrival")
+    store.write(telegrams(spark, (2, 9.0, JANUARY, 0)), 1, "arrival")
+    assert brief(store.read(spark)) == [("1", "15", "2024-01-15", 6.0), ("2", "15", "2024-01-15", 9.0)]
+
+
+def test_same_day_of_two_months(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0), (1, 6.0, FEBRUARY, 0)), 0, "arrival")
+    assert [r[1:3] for r in brief(store.read(spark))] == [("15", "2024-01-15"), ("15", "2024-02-15")]
+    only = store.read(spark, first_day="2024-02-01")
+    assert len(brief(only)) == 1
+    assert "PartitionFilters: [isnotnull(day" in only._jdf.queryExecution().toString()
+
+
+def test_replayed_batch_adds_nothing(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    for _ in range(2):
+        store.write(telegrams(spark, (1, 5.0, JANUARY, 0), (1, 5.0, JANUARY + 1, 0)), 0, "arrival")
+    assert store.read(spark).count() == 2
+
+
+def test_empty_batches(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    assert store.read(spark).count() == 0
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0)).filter("id > 1"), 0, "arrival")
+    assert store.read(spark).count() == 0
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0)), 1, "arrival")
+    assert store.read(spark).count() == 1
+
+
+def test_rows_without_arrival(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    store.write(telegrams(spark, (1, 5.0, JANUARY, None)), 0, arrival="arrival")
+    store.write(telegrams(spark, (2, 7.0, JANUARY, None)), 1)
+    assert [r[3] for r in brief(store.read(spark))] == [5.0, 7.0]
+
+
+def test_single_precision(spark, tmp_path):
+    store = RawStore(str(tmp_path), as_float=True)
+    store.write(telegrams(spark, (1, 0.1, JANUARY, 0)), 0, "arrival")
+    assert abs(store.read(spark).head().temperature - 0.1) < 1e-7
+
+
+def test_archive_of_closed_days(spark, tmp_path):
+    store, archive = RawStore(str(tmp_path / "raw")), str(tmp_path / "archive")
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0), (1, 6.0, FEBRUARY, 0)), 0, "arrival")
+    store.write(telegrams(spark, (1, 8.0, JANUARY, 0)), 1, "arrival")
+    for _ in range(2):
+        store.archive(spark, archive, "2024-01-01", "2024-01-31")
+    store.archive(spark, archive, "2024-02-01", "2024-02-29")
+    assert [r[3] for r in brief(spark.read.parquet(archive))] == [8.0, 6.0]
