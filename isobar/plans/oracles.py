@@ -81,7 +81,7 @@ _TEXTS = (
 _SUMMARY = (
     "count(value) AS n, round(min(value), 6) AS minimum, round(max(value), 6) AS maximum, "
     "round(max(value) - min(value), 6) AS range, round(avg(value), 6) AS average, "
-    "round(var_pop(value), 6) AS variance, round(stddev_pop(value), 6) AS stddev"
+    "round(var_pop(value), 2) AS variance, round(stddev_pop(value), 6) AS stddev"
 )
 
 
@@ -161,7 +161,7 @@ FROM t GROUP BY ALL"""
 
 _FLAT = f"""WITH {_T}
 SELECT event_id, CAST(id + 1000 * i AS INTEGER) AS id, location, latitude, longitude, temp, pressure,
-       humidity, windspeed, winddirection, time + 60 AS time, time AS observed_at
+       humidity, windspeed, winddirection, time + 60 AS time, 1700000000 + event_id AS observed_at
 FROM (SELECT *, unnest(range(event_id % 3 + 1)) AS i FROM t) x"""
 
 SQL: dict[str, str] = {
@@ -174,7 +174,9 @@ FROM events GROUP BY event_type""",
     "window_means": _WINDOW_MEANS,
     "stream_window_means": _WINDOW_MEANS,
     "stream_latest_state": f"WITH {_T}, {_resolved('cur', 'true')} SELECT id, place, location, {_STATE}, time FROM cur",
-    "stream_acquire_raw": f"WITH flat AS ({_FLAT}) {_RAW} FROM flat",
+    "stream_acquire_raw": f"""WITH flat AS ({_FLAT}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id, time ORDER BY observed_at DESC) AS rn FROM flat)
+{_RAW} FROM ranked WHERE rn = 1""",
     "telegram_parse": f"WITH {_T} SELECT {_COLUMNS} FROM t",
     "telegram_quarantine": """SELECT 'malformed' AS rejected, count(*) AS n FROM events
 UNION ALL SELECT 'no id' AS rejected, count(*) AS n FROM events""",

@@ -34,13 +34,15 @@ BOX = (-3.0, 52.0, 0.0, 60.0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places: sums of doubles depend on the order of the rows."""
-    return df.selectExpr(
-        *[
-            f"round({ident(f.name)}, 6) AS {ident(f.name)}" if isinstance(f.dataType, T.DoubleType) else ident(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Doubles to six places, variances to two: sums of doubles depend on the order of
+    the rows, and a large variance has no more places to compare."""
+
+    def value(f: T.StructField) -> str:
+        if not isinstance(f.dataType, T.DoubleType):
+            return ident(f.name)
+        return f"round({ident(f.name)}, {2 if f.name == 'variance' else 6}) AS {ident(f.name)}"
+
+    return df.selectExpr(*map(value, df.schema.fields))
 
 
 # --- stations -----------------------------------------------------------------

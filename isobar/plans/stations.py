@@ -38,7 +38,8 @@ def telegrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_responses(readings: DataFrame) -> DataFrame:
     """Each reading as a response document that lists it one to three times, under ids
-    1000 apart. ``landed_at`` is one minute after the reading."""
+    1000 apart. ``landed_at`` is one minute after the reading; the document's own stamp
+    differs for every reading, so that it orders those of one second."""
 
     return readings.selectExpr(
         "event_id",
@@ -47,7 +48,7 @@ def as_responses(readings: DataFrame) -> DataFrame:
              '200' AS cod, (event_id % 3 + 1) / 1000 AS calctime, event_id % 3 + 1 AS cnt,
              transform(sequence(0, CAST(event_id % 3 AS INT)), i -> struct(
                id + 1000 * i AS id, location AS name, struct(longitude AS lon, latitude AS lat) AS coord,
-               struct(temp, temp AS temp_min, pressure, humidity) AS main, time AS dt,
+               struct(temp, temp AS temp_min, pressure, humidity) AS main, 1700000000 + event_id AS dt,
                struct(windspeed AS speed, winddirection AS deg) AS wind, struct(80 AS all) AS clouds
              )) AS list)) AS value""",
     )
