@@ -52,12 +52,13 @@ def distinct_values(frequencies: DataFrame) -> DataFrame:
 def string_summary(frequencies: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
     """``modes`` plus the sorted distinct values of fields that have at most ``listed``.
 
-    Only such fields are gathered, so a list never exceeds the bound.
+    Only such fields are gathered, so a list never exceeds the bound. What is broadcast
+    has one row per field; shuffling by field instead would bring most rows together.
     """
     summary = modes(frequencies)
     small = summary.filter(F.col("n_unique") <= listed).select("field")
     lists = (
-        frequencies.join(small, "field", "left_semi")
+        frequencies.join(F.broadcast(small), "field", "left_semi")
         .groupBy("field")
         .agg(F.expr("sort_array(collect_list(value)) AS unique_values"))
     )

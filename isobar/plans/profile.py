@@ -22,6 +22,7 @@ from isobar.operators.numeric import numeric_summary
 from isobar.operators.orderstats import order_statistics
 from isobar.session import shared_dir
 from isobar.sources.tables import TextTable, read_text_table
+from isobar.sources.versions import delete_folder
 
 NO_MODE = "No Mode"
 BLANK_RULES = ("skip", "zero", "fail")
@@ -59,6 +60,7 @@ class Typed:
     kinds: dict[str, str]
     n_blank: dict[str, int] = field(default_factory=dict)
     n_invalid: dict[str, int] = field(default_factory=dict)
+    landed: str | None = None
 
     def of_kind(self, kind: str) -> list[str]:
         return [name for name in self.df.columns if self.kinds[name] == kind]
@@ -97,7 +99,7 @@ def type_text_table(table: TextTable, *, blank: str = "skip", strict: bool = Fal
     if strict and any(n_invalid.values()):
         raise InvalidValues(f"values that are no numbers: {_positive(n_invalid)}")
     landed = spark.read.schema(typed.schema).parquet(path).toDF(*rows.columns)
-    return Typed(landed, kinds, n_blank, n_invalid)
+    return Typed(landed, kinds, n_blank, n_invalid, path)
 
 
 def _positive(counts: dict[str, int]) -> dict[str, int]:
@@ -137,6 +139,13 @@ class Profile:
     distinct: DataFrame | None
     correlations: DataFrame
     attributes: dict[str, object] = field(default_factory=dict)
+    landed: str | None = None
+
+    def discard(self) -> None:
+        """Delete what was landed in the shared folder; the parts cannot be read after."""
+        for path in (self.landed, self.typed.landed):
+            if path:
+                delete_folder(self.typed.df.sparkSession, path)
 
 
 def profile(
@@ -145,16 +154,19 @@ def profile(
     """Profile a typed table. With exactly two numeric fields their correlation is
     included; with more, ``pairs`` chooses."""
     numbers, texts = typed.of_kind("Numeric"), typed.of_kind("String")
-    numeric = strings = histograms = frequencies = distinct = None
+    numeric = strings = histograms = frequencies = distinct = landed = None
     if numbers:
         numeric = numeric_records(typed.df, numbers)
         histograms = histogram10(typed.df, numbers)
     if texts:
-        frequencies = _landed(text_frequencies(typed.df, texts))
+        counted, landed = text_frequencies(typed.df, texts), shared_dir(typed.df.sparkSession, "frequencies")
+        # Written once and read back, so that its uses share one computation.
+        counted.write.parquet(landed)
+        frequencies = typed.df.sparkSession.read.schema(counted.schema).parquet(landed)
         strings = string_summary(frequencies, listed)
         distinct = distinct_values(frequencies)
     correlations = pearson(typed.df, default_pairs(numbers) if pairs is None else pairs)
-    return Profile(typed, numeric, strings, histograms, frequencies, distinct, correlations, attributes)
+    return Profile(typed, numeric, strings, histograms, frequencies, distinct, correlations, attributes, landed)
 
 
 def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -166,13 +178,6 @@ def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _landed(df: DataFrame) -> DataFrame:
-    """Written once and read back, so that several uses share one computation."""
-    path = shared_dir(df.sparkSession, "frequencies")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def profile_frame(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None, infer: str = "regex") -> Profile:
     return profile(type_frame(df, infer), pairs, filetype="TABLE")
 
@@ -189,11 +194,13 @@ def profile_file(
     blank: str = "skip",
     strict: bool = False,
     multiline: bool = False,
+    check_binary: bool = True,
 ) -> Profile:
     """Profile a delimited or JSON-lines file and write the report if asked to."""
     config = ProfileConfig(config) if isinstance(config, str) else config
     table = read_text_table(
-        spark, config.infile, sep=sep, header=header, names=names, infer=infer, multiline=multiline
+        spark, config.infile, sep=sep, header=header, names=names, infer=infer, multiline=multiline,
+        check_binary=check_binary,
     )
     attributes = {"filetype": table.filetype, "inputfile": config.infile}
     if table.filetype == "CSV":

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.operators.upsert import fold_versions, resolve_batch
 from isobar.schemas import LATEST
-from isobar.sources.versions import complete_versions, delete_version, read_versions, version_path
+from isobar.sources.versions import complete_versions, delete_folder, read_versions, version_path
 
 
 @dataclass(frozen=True)
@@ -57,10 +57,10 @@ class LatestState:
             return
         oldest = bases[-keep_bases]
         for version in bases[:-keep_bases]:
-            delete_version(spark, self._bases, version)
+            delete_folder(spark, version_path(self._bases, version))
         for version in complete_versions(spark, self._batches):
             if version <= oldest:
-                delete_version(spark, self._batches, version)
+                delete_folder(spark, version_path(self._batches, version))
 
     def _read(self, spark: SparkSession, as_of: int | None, older_base_than: int | None) -> DataFrame:
         bases = [

@@ -1,4 +1,5 @@
-"""Numbered output folders, complete once the committer has left its marker."""
+"""Numbered output folders, complete once the committer has left its marker, on any
+filesystem Spark writes to."""
 
 from __future__ import annotations
 
@@ -28,6 +29,6 @@ def read_versions(spark: SparkSession, root: str, versions: list[int], schema: T
     return spark.read.option("basePath", root).schema(numbered).parquet(*paths)
 
 
-def delete_version(spark: SparkSession, root: str, version: int) -> None:
-    path, fs = _filesystem(spark, version_path(root, version))
-    fs.delete(path, True)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)

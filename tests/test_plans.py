@@ -53,6 +53,13 @@ def test_groups_shrink_before_the_shuffle(spark, name):
         assert re.search(r"\bHashAggregate.*partial_", match.group(1)), text
 
 
+def test_value_tables_are_not_shuffled_by_field_alone(spark):
+    """Shuffles by field carry aggregates only: most rows may belong to one field."""
+    text = plan(queries()["string_profile"](spark, SF_DIR))
+    for match in re.finditer(r"Exchange hashpartitioning\(field#\d+, \d+\)[^\n]*\n([^\n]*)", text):
+        assert "partial_" in match.group(1), text
+
+
 def test_messages_are_parsed_once(spark):
     readings = telegrams(spark, SF_DIR)
     assert plan(accepted(parse_messages(to_messages(readings)))).count("from_json") == 1

@@ -82,6 +82,7 @@ def test_inference_by_cast(spark, tmp_path):
 def test_binary_is_refused(spark, tmp_path):
     with pytest.raises(BinaryInput):
         table(spark, tmp_path / "t", "a,b\n1,2\n3,\x00\n")
+    assert table(spark, tmp_path / "t", "a,b\n1,2\n3,4\n", check_binary=False).delimiter == ","
 
 
 def test_nul_count(spark):
