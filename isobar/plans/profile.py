@@ -6,6 +6,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -128,22 +129,57 @@ def type_frame(df: DataFrame, infer: str = "regex") -> Typed:
 
 @dataclass(frozen=True)
 class Profile:
-    """The parts of a profile, all DataFrames keyed by ``field`` (``x``, ``y`` for the
-    correlations). ``frequencies`` and ``distinct`` hold every value of the text fields."""
+    """The parts of a profile, each computed when first asked for.
+
+    All are DataFrames keyed by ``field`` (``x``, ``y`` for the correlations), or None
+    where the table has no field of that kind. ``frequencies`` and ``distinct`` hold
+    every value of the text fields.
+    """
 
     typed: Typed
-    numeric: DataFrame | None
-    strings: DataFrame | None
-    histograms: DataFrame | None
-    frequencies: DataFrame | None
-    distinct: DataFrame | None
-    correlations: DataFrame
+    pairs: list[tuple[str, str]]
+    listed: int = LISTED_VALUES
     attributes: dict[str, object] = field(default_factory=dict)
-    landed: str | None = None
+
+    @cached_property
+    def numeric(self) -> DataFrame | None:
+        numbers = self.typed.of_kind("Numeric")
+        return numeric_records(self.typed.df, numbers) if numbers else None
+
+    @cached_property
+    def histograms(self) -> DataFrame | None:
+        numbers = self.typed.of_kind("Numeric")
+        return histogram10(self.typed.df, numbers) if numbers else None
+
+    @cached_property
+    def frequencies(self) -> DataFrame | None:
+        """Written once and read back, so that its uses share one computation."""
+        texts = self.typed.of_kind("String")
+        if not texts:
+            return None
+        counted = text_frequencies(self.typed.df, texts)
+        counted.write.parquet(self.frequencies_path)
+        return counted.sparkSession.read.schema(counted.schema).parquet(self.frequencies_path)
+
+    @cached_property
+    def frequencies_path(self) -> str:
+        return shared_dir(self.typed.df.sparkSession, "frequencies")
+
+    @cached_property
+    def strings(self) -> DataFrame | None:
+        return None if self.frequencies is None else string_summary(self.frequencies, self.listed)
+
+    @cached_property
+    def distinct(self) -> DataFrame | None:
+        return None if self.frequencies is None else distinct_values(self.frequencies)
+
+    @cached_property
+    def correlations(self) -> DataFrame:
+        return pearson(self.typed.df, self.pairs)
 
     def discard(self) -> None:
         """Delete what was landed in the shared folder; the parts cannot be read after."""
-        for path in (self.landed, self.typed.landed):
+        for path in (self.frequencies_path, self.typed.landed):
             if path:
                 delete_folder(self.typed.df.sparkSession, path)
 
@@ -153,20 +189,8 @@ def profile(
 ) -> Profile:
     """Profile a typed table. With exactly two numeric fields their correlation is
     included; with more, ``pairs`` chooses."""
-    numbers, texts = typed.of_kind("Numeric"), typed.of_kind("String")
-    numeric = strings = histograms = frequencies = distinct = landed = None
-    if numbers:
-        numeric = numeric_records(typed.df, numbers)
-        histograms = histogram10(typed.df, numbers)
-    if texts:
-        counted, landed = text_frequencies(typed.df, texts), shared_dir(typed.df.sparkSession, "frequencies")
-        # Written once and read back, so that its uses share one computation.
-        counted.write.parquet(landed)
-        frequencies = typed.df.sparkSession.read.schema(counted.schema).parquet(landed)
-        strings = string_summary(frequencies, listed)
-        distinct = distinct_values(frequencies)
-    correlations = pearson(typed.df, default_pairs(numbers) if pairs is None else pairs)
-    return Profile(typed, numeric, strings, histograms, frequencies, distinct, correlations, attributes, landed)
+    pairs = default_pairs(typed.of_kind("Numeric")) if pairs is None else list(pairs)
+    return Profile(typed, pairs, listed, attributes)
 
 
 def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -76,7 +76,9 @@ def _telegram_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "window-means")
     out = f"{root}/out"
-    run_window_means(_telegram_stream(spark, sf_dir), out, f"{root}/checkpoint", drain=True).awaitTermination()
+    run_window_means(
+        _telegram_stream(spark, sf_dir), out, f"{root}/checkpoint", drain=True, name=None
+    ).awaitTermination()
     newest = spark.read.option("basePath", out).parquet(
         *[version_path(out, v) for v in complete_versions(spark, out)]
     )
@@ -89,7 +91,7 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "latest-state")
     state = LatestState(f"{root}/state")
     run_station_means(
-        _telegram_stream(spark, sf_dir), state, f"{root}/quarantine", f"{root}/checkpoint", drain=True
+        _telegram_stream(spark, sf_dir), state, f"{root}/quarantine", f"{root}/checkpoint", drain=True, name=None
     ).awaitTermination()
     return rounded(state.read(spark))
 
@@ -101,7 +103,7 @@ def stream_acquire_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landed")
     raw = RawStore(f"{root}/raw")
     run_acquisition(
-        stream, publish_to_files(f"{root}/messages"), raw, f"{root}/checkpoint", drain=True
+        stream, publish_to_files(f"{root}/messages"), raw, f"{root}/checkpoint", drain=True, name=None
     ).awaitTermination()
     return _plain_time(raw.read(spark))
 

@@ -111,7 +111,8 @@ def read_delimited(
 ) -> TextTable:
     """Scan a delimited table. ``sep`` and ``header`` are detected unless given.
 
-    Blank cells stay blank text. ``multiline`` allows line breaks inside quotes, at the
+    Blank cells stay blank text. In a folder every file has the header or none has.
+    ``multiline`` allows line breaks inside quotes, at the
     price of unsplittable files. The check for NUL characters reads the whole input
     once; ``check_binary=False`` spares that pass for a trusted source.
     """

@@ -22,8 +22,12 @@ BATCH = "60 seconds"
 Publisher = Callable[[DataFrame, int], None]
 
 
-def _start(stream: DataFrame, handle: Publisher, checkpoint: str, every: str, drain: bool, name: str):
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).queryName(name)
+def _start(
+    stream: DataFrame, handle: Publisher, checkpoint: str, every: str, drain: bool, name: str | None, mode: str = "append"
+) -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)).start()
 
 
@@ -37,12 +41,14 @@ def run_acquisition(
     box: tuple[float, float, float, float] | None = None,
     every: str = POLL,
     drain: bool = False,
+    name: str | None = "acquisition",
 ) -> StreamingQuery:
     """Responses to telegrams; each batch is published and kept in the raw table.
 
     ``box`` is left, bottom, right, top. The ingest time is when the response landed if
     the stream says so, which makes a repeated batch identical, and else the clock.
-    ``drain`` stops once what is there has been handled.
+    ``drain`` stops once what is there has been handled. Running queries of one session
+    differ in ``name``.
     """
     landed = F.col("landed_at") if "landed_at" in responses.columns else None
 
@@ -57,7 +63,7 @@ def run_acquisition(
         finally:
             telegrams.unpersist()
 
-    return _start(responses, handle, checkpoint, every, drain, "acquisition")
+    return _start(responses, handle, checkpoint, every, drain, name)
 
 
 def run_station_means(
@@ -68,6 +74,7 @@ def run_station_means(
     *,
     every: str = BATCH,
     drain: bool = False,
+    name: str | None = "station_means",
 ) -> StreamingQuery:
     """Means per station of what arrived in each batch, upserted into the latest state.
     Messages that cannot be used go to ``quarantine``."""
@@ -80,7 +87,7 @@ def run_station_means(
         finally:
             parsed.unpersist()
 
-    return _start(messages, handle, checkpoint, every, drain, "station_means")
+    return _start(messages, handle, checkpoint, every, drain, name)
 
 
 def run_window_means(
@@ -92,6 +99,7 @@ def run_window_means(
     delay: str = BATCH,
     every: str = BATCH,
     drain: bool = False,
+    name: str | None = "window_means",
 ) -> StreamingQuery:
     """Means per station and event-time window, written as updates per batch. The rows
     of the highest ``v`` per window and station are the current ones."""
@@ -100,6 +108,4 @@ def run_window_means(
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(version_path(output, batch_id))
 
-    writer = means.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.queryName("window_means")
-    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)).start()
+    return _start(means, handle, checkpoint, every, drain, name, mode="update")

@@ -37,9 +37,9 @@ def test_report_of_a_file(spark, people, tmp_path):
     assert document["Pearsons CC (age Vs height)"] == pytest.approx(1.0)
     assert done.histograms.filter("field = 'age'").count() == 10
     assert done.frequencies.filter("field = 'name'").count() == 3
-    assert all(os.path.isdir(p) for p in (done.landed, done.typed.landed))
+    assert all(os.path.isdir(p) for p in (done.frequencies_path, done.typed.landed))
     done.discard()
-    assert not any(os.path.exists(p) for p in (done.landed, done.typed.landed))
+    assert not any(os.path.exists(p) for p in (done.frequencies_path, done.typed.landed))
 
 
 def test_settings():
