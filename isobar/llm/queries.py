@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import lm_scoring, packing, syncmers
+from isobar.llm import (
+    chat, decontamination, langid, lm_scoring, packing, quality, simhash, syncmers, toxicity,
+)
 from isobar.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,42 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that match, with the window and its edits."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold control strings."""
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    done = chat.format_conversations(turns.unionByName(extra)).withColumn("formatted", chat.formatted(F.col("segments")))
+    read = done.withColumn("turns", chat.parsed(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod("doc_id", 3) == 1
+    scored = quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), teach=~held_out
+    )
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return pieces.select(
@@ -32,5 +70,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_fingerprints, op6_packing)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, likeliest grade, chance of any toxicity and whether the text is rejected."""
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "toxicity.*")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod("doc_id", 4) == 2
+    return langid.identify(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_lm_scoring, op2_fingerprints, op3_decontamination, op4_chat_formatting, op5_quality, op6_packing,
+        op7_toxicity, op9_simhash, op10_language_id,
+    )
+}
 SQL: dict[str, str] = {}
