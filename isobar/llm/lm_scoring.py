@@ -4,13 +4,16 @@ The model. Counts c(.) come from the training documents, each read as start, wor
 N tokens and V different ones, a token has P(w) = (c(w) + 1) / (N + V + 1); what was never seen
 shares the remaining 1 / (N + V + 1). After a context h,
 
-    P(w | h) = (c(hw) + mu * P(w | h')) / (c(h) + mu)
+    P(w | h) = (1 - z) * c(hw) / c(h) + z * P(w | h')
 
-where h' is h without its first word: Dirichlet smoothing, which sums to one over all words.
+where h' is h without its first word and z is how often contexts as frequent as h go on with something new:
+the share of their tokens whose n-gram occurs once in all, by powers of two of c(h). That sums to
+one over all words. The two dozen values z are measured on ``SAMPLE_BLOCKS`` blocks of documents;
+all counts cover all of them.
 
 The automaton. A state is a context that was seen. An arc leads from h by w if hw was seen and
-weighs log10 P(w | h); the failure arc of h leads to h' and weighs log10(mu / (c(h) + mu)). One
-traversal from left to right adds up the weights, so an unseen word costs one failure arc more.
+weighs log10 P(w | h); the failure arc of h leads to h' and weighs log10 z. One traversal from left
+to right adds up the weights, so an unseen word costs one failure arc more.
 
 At scale. Neither the model nor a text has to fit anywhere: documents are dealt into blocks of a
 few MB, a block asks for the counts of just the n-grams that occur in it, and builds the part of
@@ -39,6 +42,7 @@ from isobar.session import shared_dir
 START, END = b" start", b" end"
 KEY_OF_START = np.uint64(xxhash.xxh64_intdigest(START))
 BLOCK_BYTES = 4 << 20
+SAMPLE_BLOCKS = 8
 
 
 def words(text: bytes) -> list[bytes]:
@@ -183,10 +187,55 @@ def count_answers(rows: DataFrame, order: int, buckets: int) -> DataFrame:
     )
 
 
+def totals_of(block: Block, counts: pa.Table, buckets: int) -> list[np.ndarray]:
+    """The answers to a block by n-gram, for each length."""
+    counts, totals = counts.sort_by([("length", "ascending"), ("bucket", "ascending")]), []
+    for k, grams in enumerate(block.grams, 1):
+        own = counts.filter(pc.equal(counts.column("length"), k)).column("totals").combine_chunks()
+        by, _ = request_order(grams.key, buckets)
+        total = np.zeros(len(by), dtype=np.int64)
+        total[by] = own.flatten().to_numpy()
+        totals.append(total)
+    return totals
+
+
+def magnitude(count: np.ndarray) -> np.ndarray:
+    """Power of two at or below a count."""
+    return np.frexp(np.maximum(count, 1).astype(np.float64))[1] - 1
+
+
+def novelty(rows: DataFrame, answers: DataFrame, order: int, buckets: int) -> list[np.ndarray]:
+    """For each length of context, by magnitude of its count: how often something new follows."""
+
+    def measure(group: pa.Table, counts: pa.Table) -> pa.Table:
+        block = read_block(binaries(group.column("text")), train_flags(group), order)
+        totals, out = totals_of(block, counts, buckets), []
+        for k in range(1, order):
+            grams = block.grams[k]
+            size = magnitude(totals[k - 1][grams.prefix])
+            all_of, new = (np.bincount(size, weights=w, minlength=64) for w in (grams.count, grams.count * (totals[k] == 1)))
+            out += [(k, m, int(all_of[m]), int(new[m])) for m in range(64)]
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("length", "size", "n", "new"), columns, strict=True)})
+
+    few = [df.where(F.col("block").between(0, SAMPLE_BLOCKS - 1)) for df in (rows, answers)]
+    found = few[0].groupBy("block").cogroup(few[1].groupBy("block")).applyInArrow(
+        measure, "length long, size long, n long, new long"
+    ).groupBy("length", "size").agg(F.sum("n").alias("n"), F.sum("new").alias("new")).where("n > 0").collect()
+    out = []
+    for k in range(1, order):
+        seen = sorted((r["size"], (r["new"] + 0.5) / (r["n"] + 1.0)) for r in found if r["length"] == k)
+        sizes, shares = zip(*seen, strict=True) if seen else ((0,), (0.5,))
+        out.append(np.interp(np.arange(64), sizes, shares))
+    return out
+
+
 class Automaton:
     """The states and arcs that the texts of one block can reach."""
 
-    def __init__(self, block: Block, totals: list[np.ndarray], tokens: int, kinds: int, mu: float) -> None:
+    def __init__(
+        self, block: Block, totals: list[np.ndarray], tokens: int, kinds: int, new_after: list[np.ndarray]
+    ) -> None:
         self.block, self.known = block, totals[0] > 0
         base, probability = [1], (totals[0] + 1.0) / (tokens + kinds + 1.0)
         self.root = np.log10(probability).tolist()
@@ -199,13 +248,15 @@ class Automaton:
             seen = total > 0
             if k:
                 context = totals[k - 1][grams.prefix]
-                probability = (total + mu * probability[grams.suffix]) / (context + mu)
+                z = new_after[k - 1][magnitude(context)]
+                probability = (1 - z) * total / np.maximum(context, 1) + z * probability[grams.suffix]
                 states = base[-2] + grams.prefix[seen]
                 arcs |= dict(zip((states * width + grams.word[seen]).tolist(), at[seen].tolist(), strict=True))
                 weight[at] = np.log10(probability)
                 fail[at] = np.where(totals[k - 1][grams.suffix] > 0, base[-2] + grams.suffix, 0)
-            falling[at] = np.log10(mu / (total + mu))
             last = k == len(totals) - 1
+            if not last:
+                falling[at] = np.log10(new_after[k][magnitude(total)])
             after[at] = np.where(seen, fail[at] if last and k else at, 0)
             base.append(base[-1] + len(total))
         self.arcs, self.weight, self.after = arcs, weight.tolist(), after.tolist()
@@ -236,7 +287,7 @@ class Automaton:
 
 def score(
     docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
-    mu: float = 2.0, block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Per document (id, n_tokens, n_known, train_tokens, base_score, score): see the module.
 
@@ -251,6 +302,7 @@ def score(
     answers = spark.read.parquet(path)
     seen = answers.where("block = -1").select(F.sum(F.col("totals")[0]), F.sum(F.col("totals")[1])).first()
     kinds, tokens = (int(x or 0) for x in seen)
+    new_after = novelty(rows, answers, order, buckets) if order > 1 else []
     kind = id_type(docs, id_col)
     schema = T.StructType(
         [T.StructField(id_col, kind), *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
@@ -259,15 +311,8 @@ def score(
 
     def walk(group: pa.Table, counts: pa.Table) -> pa.Table:
         block = read_block(binaries(group.column("text")), train_flags(group), order)
-        totals = []
-        counts = counts.sort_by([("length", "ascending"), ("bucket", "ascending")])
-        for k, grams in enumerate(block.grams, 1):
-            own = counts.filter(pc.equal(counts.column("length"), k)).column("totals").combine_chunks()
-            by, _ = request_order(grams.key, buckets)
-            total = np.zeros(len(by), dtype=np.int64)
-            total[by] = own.flatten().to_numpy()
-            totals.append(total)
-        automaton = Automaton(block, totals, tokens, kinds, mu)
+        totals = totals_of(block, counts, buckets)
+        automaton = Automaton(block, totals, tokens, kinds, new_after)
         root, known = np.array(automaton.root), automaton.known
         names: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
         for a, b in zip(block.first[:-1] + 1, block.first[1:], strict=True):
