@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isobar.llm import (
-    chat, decontamination, langid, lm_scoring, packing, quality, simhash, syncmers, toxicity,
+    chat, decontamination, langid, licenses, lm_scoring, packing, quality, simhash, syncmers, toxicity,
 )
 from isobar.llm.common import crc_mod, table
 
@@ -76,6 +76,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "toxicity.*")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files source/thousands/id."""
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"), id_col="doc_id", path=path)
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -89,7 +96,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_fingerprints, op3_decontamination, op4_chat_formatting, op5_quality, op6_packing,
-        op7_toxicity, op9_simhash, op10_language_id,
+        op7_toxicity, op8_license_scan, op9_simhash, op10_language_id,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_license_scan": licenses.sql(
+        "doc_id", "concat_ws('/', source, (doc_id // 1000)::VARCHAR, doc_id::VARCHAR)", "documents"
+    ),
+}
