@@ -211,9 +211,9 @@ def learn(
 def score_quality(
     docs: DataFrame, labels: DataFrame, *, keep: list[str] | None = None, id_col: str = "doc_id",
     text_col: str = "text", label_col: str = "quality", teach: Column | None = None, sample_rows: int = SAMPLE_ROWS,
-    learn_from: DataFrame | None = None,
+    learn_from: DataFrame | None = None, result: str = "score",
 ) -> DataFrame:
-    """The columns ``keep`` (the id alone) of every document and ``score``, the chance of label 1.
+    """The columns ``keep`` (the id alone) of every document and ``result``, the chance of label 1.
 
     ``teach`` says which rows of ``labels`` may be learned from; ``learn_from`` holds their texts (``docs``).
     """
@@ -226,7 +226,7 @@ def score_quality(
     names = keep or [id_col]
     rows = docs.select(*[col(c).alias(f"c{k}") for k, c in enumerate(names)], text_of(text_col).alias("scored"))
     schema = T.StructType(
-        [*(T.StructField(c, id_type(docs, c)) for c in names), T.StructField("score", T.DoubleType())]
+        [*(T.StructField(c, id_type(docs, c)) for c in names), T.StructField(result, T.DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

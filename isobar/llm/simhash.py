@@ -12,7 +12,7 @@ some of the segments find candidates; the lower bound and then the exact distanc
 * ``exact_grids``: the segments fall into ``max_bits + 3`` runs. Within the radius at most
   ``max_bits`` runs differ, so three agree: one grid for each three runs finds every pair.
 * ``sampled_grids``: for wide radii, so many random sets of segments that a pair is found with a
-  given probability.
+  given probability. A second fingerprint, of other hashes, then has to be as close as the first.
 
 Rows are distinct fingerprints, so copies are one row. A cell gives a spanning forest of its
 links once they are many, never all pairs; one with more than ``SPLIT`` rows is dealt in
@@ -28,9 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from isobar.llm.common import col, slices, text_of
+from isobar.llm.common import col, id_type, mixed, slices, text_of
 from isobar.llm.components import components, written
 
 SEGMENTS = 32
@@ -70,31 +70,31 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, *, text_col: str, size: int, repeats: bool, keep: dict[str, Column]) -> DataFrame:
-    """The columns of ``keep``, the fingerprint ``fp`` and a hash ``shingles`` of the set of shingles.
+def fingerprints(docs: DataFrame, *, text_col: str, size: int, keep: dict[str, Column], as_sets: bool = False) -> DataFrame:
+    """The columns of ``keep`` and the fingerprint ``fp``. A null text is empty; its fingerprint is zero.
 
-    Without ``repeats`` a shingle counts once. A null text is empty; its fingerprint is zero.
+    ``as_sets`` counts a shingle once and adds a second fingerprint ``fp2`` and a hash ``shingles`` of the set.
     """
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], text_of(text_col).alias("text"))
-    names = list(keep)
-    schema = ", ".join(f"`{n}` {dict(rows.dtypes)[n]}" for n in names) + ", fp long, shingles long"
+    names, made = list(keep), ["fp", "fp2", "shingles"] if as_sets else ["fp"]
+    schema = T.StructType(
+        [*(T.StructField(n, id_type(rows, n)) for n in keep), *(T.StructField(n, T.LongType()) for n in made)]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                fps, sets = [], []
+                found: list[tuple] = []
                 for text in part.column("text").cast(pa.binary()).to_pylist():
                     hashes = shingle_hashes(text, size)
-                    if not repeats:
+                    if as_sets:
                         hashes = np.unique(hashes)
-                        sets.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
+                        of_set = xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63)
+                        found.append((majority(hashes), majority(mixed(hashes)), of_set))
                     else:
-                        sets.append(0)
-                    fps.append(majority(hashes))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in names), pa.array(fps, pa.int64()), pa.array(sets, pa.int64())],
-                    names=[*names, "fp", "shingles"],
-                )
+                        found.append((majority(hashes),))
+                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], names=[*names, *made])
 
     return rows.mapInArrow(run, schema)
 
@@ -144,23 +144,31 @@ def unary(fp: np.ndarray) -> np.ndarray:
     return ((fp & high & even) << np.uint64(1)) | ((fp | high) & even)
 
 
-def walked(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def close_to(fps: list[np.ndarray], a: np.ndarray, b: np.ndarray | int, max_bits: int) -> np.ndarray:
+    """Which pairs of rows are within the radius by every fingerprint; the lower bound goes first."""
+    near = np.bitwise_count(unary(fps[0][a]) ^ unary(fps[0][b])) <= max_bits
+    for fp in fps:
+        k = np.flatnonzero(near)
+        near[k] = np.bitwise_count(fp[a[k]] ^ (fp[b] if np.ndim(b) == 0 else fp[b[k]])) <= max_bits
+    return near
+
+
+def walked(fps: list[np.ndarray], max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links in one cell, and each row's nearest neighbours."""
-    code, n = unary(fp), len(fp)
-    unseen = np.ones(n, dtype=bool)
+    rows = np.arange(len(fps[0]))
+    unseen = np.ones(len(rows), dtype=bool)
     a, b = [], []
-    for root in range(n):
+    for root in rows.tolist():
         if not unseen[root]:
             continue
         unseen[root], waiting = False, [root]
         while waiting:
             k = waiting.pop()
-            near = np.flatnonzero(np.bitwise_count(code ^ code[k]) <= max_bits)
-            bits = np.bitwise_count(fp[near] ^ fp[k])
-            near, bits = near[bits <= max_bits], bits[bits <= max_bits]
+            near = np.flatnonzero(close_to(fps, rows, k, max_bits))
             new = near[unseen[near]]
             unseen[new] = False
             waiting += new.tolist()
+            bits = sum(np.bitwise_count(fp[near] ^ fp[k]).astype(int) for fp in fps)
             nearest = near[np.argsort(bits, kind="stable")[: PER_ROW + 1]]
             other = np.union1d(new, nearest[nearest != k])
             a.append(np.full(len(other), k))
@@ -168,44 +176,43 @@ def walked(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def cell_links(cell: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def cell_links(cell: np.ndarray, fps: list[np.ndarray], max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of row numbers that link; rows of a cell are consecutive."""
     starts = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1)) if len(cell) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, len(cell)))
     size = np.repeat(sizes, sizes)
-    code = unary(fp)
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     rows = np.flatnonzero((size > 1) & (size <= SMALL))
     shift = 1
     while len(rows):
         rows = rows[rows + shift < len(cell)]
         rows = rows[cell[rows] == cell[rows + shift]]
-        close = rows[np.bitwise_count(code[rows] ^ code[rows + shift]) <= max_bits]
-        close = close[np.bitwise_count(fp[close] ^ fp[close + shift]) <= max_bits]
+        close = rows[close_to(fps, rows, rows + shift, max_bits)]
         left.append(close)
         right.append(close + shift)
         shift += 1
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    a, b = np.concatenate(left), np.concatenate(right)
     group = np.repeat(np.arange(len(sizes)), sizes)
     found = np.bincount(group[a], minlength=len(sizes))
     many = (sizes > SMALL) | (found > PER_ROW * sizes)
     stay = ~many[group[a]]
     parts = [(a[stay], b[stay])]
     for k in np.flatnonzero(many):
-        x, y = walked(fp[starts[k] : starts[k] + sizes[k]], max_bits)
+        x, y = walked([fp[starts[k] : starts[k] + sizes[k]] for fp in fps], max_bits)
         parts.append((x + starts[k], y + starts[k]))
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
-    """(a, b): nodes (columns node, fp) whose fingerprints differ in ``max_bits`` bits or fewer.
+    """(a, b): nodes (columns node, fp and perhaps fp2) whose fingerprints differ in ``max_bits``
+    bits or fewer, each of them. Grids are laid over fp.
 
     Where a cell has many links, a spanning forest of them and the nearest neighbours.
     """
-    spark = nodes.sparkSession
     code = embedded(F.col("fp"))
+    fps = [c for c in ("fp", "fp2") if c in nodes.columns]
     keys = F.array(*[F.xxhash64(F.lit(g), code.bitwiseAND(F.lit(mask))) for g, mask in enumerate(grids)])
-    cells = nodes.select("node", "fp", F.explode(keys).alias("cell"))
+    cells = nodes.select("node", *fps, F.explode(keys).alias("cell"))
     hot = written(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT), "hot-cells")
     n_hot = hot.count()
     if n_hot:
@@ -216,17 +223,17 @@ def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
             F.sequence(F.lit(0), blocks - 1), lambda k: F.xxhash64("cell", F.least(k, own), F.greatest(k, own))
         )
         cells = cells.join(hot, "cell", "left").select(
-            "node", "fp", F.explode(F.when(F.col("n").isNull(), F.array("cell")).otherwise(shares)).alias("cell")
+            "node", *fps, F.explode(F.when(F.col("n").isNull(), F.array("cell")).otherwise(shares)).alias("cell")
         )
 
-    def pairs(cell: np.ndarray, fp: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        a, b = cell_links(cell, fp.view(np.uint64), max_bits)
+    def pairs(cell: np.ndarray, node: np.ndarray, *fps: np.ndarray) -> pa.RecordBatch:
+        a, b = cell_links(cell, [fp.view(np.uint64) for fp in fps], max_bits)
         return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_rows = [np.zeros(0, np.int64)] * 3
+        open_rows = [np.zeros(0, np.int64)] * (2 + len(fps))
         for batch in batches:
-            fresh = [batch.column(c).to_numpy() for c in ("cell", "fp", "node")]
+            fresh = [batch.column(c).to_numpy() for c in ("cell", "node", *fps)]
             rows = [np.concatenate(x) for x in zip(open_rows, fresh, strict=True)]
             # The last cell may go on in the next batch.
             cut = int(np.searchsorted(rows[0], rows[0][-1], "left")) if len(rows[0]) else 0
@@ -237,7 +244,7 @@ def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
             yield pairs(*open_rows)
 
     dealt = cells.repartition("cell").sortWithinPartitions("cell")
-    return dealt.select("cell", "fp", "node").mapInArrow(run, "a long, b long").distinct()
+    return dealt.select("cell", "node", *fps).mapInArrow(run, "a long, b long").distinct()
 
 
 def simhash_components(
@@ -250,8 +257,7 @@ def simhash_components(
     zero. Repeated rows come back each; a null id is never a component's id unless all are null.
     """
     found = written(
-        fingerprints(docs, text_col=text_col, size=size, repeats=True, keep={id_col: col(id_col)}).drop("shingles"),
-        "fingerprints",
+        fingerprints(docs, text_col=text_col, size=size, keep={id_col: col(id_col)}), "fingerprints"
     )
     distinct = found.groupBy(F.col("fp").alias("node")).agg(F.min(col(id_col)).alias("least"))
     nodes = distinct.select("node", F.col("node").alias("fp"))
@@ -272,18 +278,18 @@ def similar_texts(
 ) -> DataFrame:
     """(node, root) over hashes of texts: groups linked by Jaccard similarity of word shingles.
 
-    Candidates differ in ``max_bits`` of the fingerprints at most, verified on the sets of shingles.
+    Candidates differ in ``max_bits`` of each fingerprint at most, and are verified on the sets of shingles.
     """
     found = written(
-        fingerprints(docs, text_col=text_col, size=size, repeats=False, keep={"node": F.xxhash64(text_of(text_col))}),
+        fingerprints(docs, text_col=text_col, size=size, as_sets=True, keep={"node": F.xxhash64(text_of(text_col))})
+        .groupBy("node").agg(*[F.min(c).alias(c) for c in ("fp", "fp2", "shingles")]),
         "fingerprints",
-    ).groupBy("node").agg(F.min("fp").alias("fp"), F.min("shingles").alias("shingles"))
-    found = written(found, "texts")
+    )
     # Texts with the same shingles are one row of the join, the rest of them hang on it.
-    sets = found.groupBy("shingles").agg(F.min("node").alias("node"), F.min("fp").alias("fp"))
+    sets = found.groupBy("shingles").agg(*[F.min(c).alias(c) for c in ("node", "fp", "fp2")])
     same = found.join(sets.select("shingles", F.col("node").alias("a")), "shingles").select("a", F.col("node").alias("b"))
     grids = sampled_grids(sets.count(), expected_change(similarity), recall)
-    candidates = written(links(sets.select("node", "fp"), grids, max_bits), "candidates")
+    candidates = written(links(sets.select("node", "fp", "fp2"), grids, max_bits), "candidates")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
     texts = texts.join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
@@ -312,7 +318,7 @@ def similar_texts(
 
 def drop_near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    max_bits: int = 16, recall: float = 0.95,
+    max_bits: int = 20, recall: float = 0.99,
 ) -> DataFrame:
     """One whole row of each group of texts alike: that with the smallest id, ties by text.
 

@@ -164,8 +164,9 @@ def score_toxicity(
     docs: DataFrame, labels: DataFrame, *, keep: list[str] | None = None, id_col: str = "doc_id",
     text_col: str = "text", label_col: str = "toxic", graded: bool = False, sample_rows: int = SAMPLE_ROWS,
     reject_at: float = REJECT_AT, learn_from: DataFrame | None = None, teach: Column | None = None,
+    result: str = "toxicity",
 ) -> DataFrame:
-    """The columns ``keep`` (the id alone) of every document and ``toxicity``: a struct of the
+    """The columns ``keep`` (the id alone) of every document and ``result``: a struct of the
     expected ``severity``, the likeliest ``grade``, the ``chance`` of grade 1 or more, and ``rejected``.
 
     ``graded`` says that labels are grades rather than yes or no; ``teach`` which of their rows may
@@ -181,7 +182,7 @@ def score_toxicity(
     fields = [("severity", T.DoubleType()), ("grade", T.IntegerType()), ("chance", T.DoubleType()), ("rejected", T.BooleanType())]
     schema = T.StructType(
         [*(T.StructField(c, id_type(docs, c)) for c in names),
-         T.StructField("toxicity", T.StructType([T.StructField(n, t) for n, t in fields]))]
+         T.StructField(result, T.StructType([T.StructField(n, t) for n, t in fields]))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
