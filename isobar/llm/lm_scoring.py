@@ -27,6 +27,7 @@ has probability one. Repeated rows are scored one by one; other columns are not
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,13 +36,16 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from isobar.llm.common import GOLDEN, binaries, col, id_type, mixed, pieces_for, text_of, total_bytes
+from isobar.llm.common import GOLDEN, binaries, col, id_type, mixed, text_of, total_bytes
 from isobar.session import shared_dir
 
 # Keys of the two marks hold a space, which no word does.
 START, END = b" start", b" end"
 KEY_OF_START = np.uint64(xxhash.xxh64_intdigest(START))
 BLOCK_BYTES = 4 << 20
+#: Blocks for each bucket of answers; each pair of them is a row.
+BLOCKS_PER_BUCKET = 4
+LEAST_BLOCKS = 32
 SAMPLE_BLOCKS = 8
 
 
@@ -295,7 +299,8 @@ def score(
     """
     spark = docs.sparkSession
     size = total_bytes(docs, text_col)
-    blocks, buckets = (pieces_for(spark, size, block_bytes, times) for times in (4, 2))
+    blocks = max(math.ceil(size / block_bytes), LEAST_BLOCKS)
+    buckets = math.ceil(blocks / BLOCKS_PER_BUCKET)
     rows = blocks_of(docs, train, id_col, text_col, blocks)
     path = shared_dir(spark, "lm-counts")
     count_answers(rows, order, buckets).write.parquet(path)
