@@ -32,6 +32,18 @@ def field_types(df: DataFrame, first_by: str, infer: str = "regex") -> DataFrame
     )
 
 
+def field_kinds(df: DataFrame, first_by: str, infer: str = "regex") -> DataFrame:
+    """Kind per field from the row that is first by ``first_by``; no other cell is looked at."""
+    fields = df.columns
+    values = [f"v{i}" for i in range(len(fields))]
+    head = df.selectExpr(
+        f"{ident(first_by)} AS first_by", f"struct({', '.join(map(ident, fields))}) AS row"
+    ).selectExpr("min_by(row, first_by) AS row").selectExpr("row.*")
+    texts = head.selectExpr(*[f"{as_text(head, f)} AS {v}" for f, v in zip(fields, values)])
+    records = ", ".join(f"struct({text(f)} AS field, {kind_of(v, infer)} AS kind)" for f, v in zip(fields, values))
+    return texts.selectExpr(f"inline(array({records}))")
+
+
 def type_counts(types: DataFrame) -> DataFrame:
     """How many fields there are, and of which kind."""
     return types.selectExpr(

@@ -10,10 +10,6 @@ from isobar.functions.nested import as_text
 from isobar.functions.sql import ident
 from isobar.operators.numeric import double_of
 
-# Fields with at most this many distinct values have them listed in the report;
-# the distinct values of every field are always available as a table.
-LISTED_VALUES = 1000
-
 
 def text_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(field, value, n)`` over the texts of the columns."""
@@ -48,18 +44,3 @@ def modes(frequencies: DataFrame) -> DataFrame:
 def distinct_values(frequencies: DataFrame) -> DataFrame:
     return frequencies.select("field", "value")
 
-
-def string_summary(frequencies: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
-    """``modes`` plus the sorted distinct values of fields that have at most ``listed``.
-
-    Only such fields are gathered, so a list never exceeds the bound. What is broadcast
-    has one row per field; shuffling by field instead would bring most rows together.
-    """
-    summary = modes(frequencies)
-    small = summary.filter(F.col("n_unique") <= listed).select("field")
-    lists = (
-        frequencies.join(F.broadcast(small), "field", "left_semi")
-        .groupBy("field")
-        .agg(F.expr("sort_array(collect_list(value)) AS unique_values"))
-    )
-    return summary.join(lists, "field", "left")

@@ -18,13 +18,14 @@ def station_means(telegrams: DataFrame) -> DataFrame:
     return telegrams.groupBy(*STATION_KEY).agg(*_aggregates())
 
 
-def station_means_sql(telegrams: DataFrame, view: str = "telegrams") -> DataFrame:
-    """Four means per id, over a temporary view."""
-    telegrams.createOrReplaceTempView(view)
+def station_means_sql(telegrams: DataFrame) -> DataFrame:
+    """Four means per id, as SQL text."""
+    # Which means, under which names.
     return telegrams.sparkSession.sql(
-        f"""SELECT id, AVG(temp) AS temp, AVG(humidity) AS humidity,
-                   AVG(winddirection) AS winddirection, AVG(windspeed) AS windspeed
-            FROM {view} GROUP BY id"""
+        """SELECT id, AVG(temp) AS temp, AVG(humidity) AS humidity,
+                  AVG(winddirection) AS winddirection, AVG(windspeed) AS windspeed
+           FROM {telegrams} GROUP BY id""",
+        telegrams=telegrams,
     )
 
 

@@ -18,6 +18,7 @@ magnitude per round; 10^13 rows need five.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +28,10 @@ from isobar.operators.numeric import as_doubles, chunks, numeric_columns
 
 # An interval with at most this many values is sorted inside one aggregate buffer.
 SORTED_VALUES = 20_000
+
+# Scans that run at the same time.
+CHUNKS_AT_ONCE = 4
+
 SPLITS = 256
 SKETCH_K = 1024
 # Sketches are merged in this many groups before the final merge.
@@ -89,9 +94,11 @@ def order_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     null when their part of the values is empty.
     """
     columns = numeric_columns(df) if columns is None else list(columns)
-    rows = []
-    for part in chunks(columns, COLUMNS_PER_SCAN):
-        rows += _order_statistics(as_doubles(df, part), part)
+    parts = list(chunks(columns, COLUMNS_PER_SCAN))
+    # Groups of columns don't wait for each other.
+    with ThreadPoolExecutor(min(len(parts), CHUNKS_AT_ONCE) or 1) as pool:
+        found = pool.map(lambda part: _order_statistics(as_doubles(df, part), part), parts)
+        rows = [row for part in found for row in part]
     return df.sparkSession.createDataFrame(rows, SCHEMA)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from isobar.functions import times
 from isobar.schemas import CSV_READING, ENVELOPE, RESPONSE, TELEGRAM
 
-# Fixed value: the constant key of published telegrams.
+# Fixed value: a constant key for published telegrams, for those who want one partition.
 MESSAGE_KEY = "unitedkingdom"
 
 _CORRUPT = "_corrupt"
@@ -66,9 +66,13 @@ def within_box(df: DataFrame, left: float, bottom: float, right: float, top: flo
     return df.filter(F.col("longitude").between(left, right) & F.col("latitude").between(bottom, top))
 
 
-def to_messages(telegrams: DataFrame, key: str | Column = MESSAGE_KEY) -> DataFrame:
-    """Telegrams as ``(key, value)`` text; nulls are left out of the JSON."""
-    key = F.lit(key) if isinstance(key, str) else key
+def to_messages(telegrams: DataFrame, key: str | Column | None = None) -> DataFrame:
+    """Telegrams as ``(key, value)`` text; nulls are left out of the JSON.
+
+    The key is the station's id, which spreads the stations over the partitions of a topic
+    and keeps each in order, or what is given: a text for all or a column.
+    """
+    key = F.col("id").cast("string") if key is None else F.lit(key) if isinstance(key, str) else key
     return telegrams.select(key.alias("key"), F.to_json(F.struct(*TELEGRAM.names)).alias("value"))
 
 

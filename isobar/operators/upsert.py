@@ -41,10 +41,17 @@ def resolve_batch(means: DataFrame) -> DataFrame:
     )
 
 
+def flag_known(current: DataFrame, batch: DataFrame, flag: str = "known") -> DataFrame:
+    """The batch with a column that tells whether the id is in the current state, which
+    holds each id once."""
+    known = current.select("id", F.lit(True).alias(flag))
+    return batch.join(known, "id", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
 def classify(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The batch rows that insert and those that update, by presence of the id."""
-    known = current.select("id")
-    return batch.join(known, "id", "left_anti"), batch.join(known, "id", "left_semi")
+    flagged = flag_known(current, batch)
+    return tuple(flagged.where(F.col("known") == update).drop("known") for update in (False, True))
 
 
 def upsert(current: DataFrame, batch: DataFrame) -> DataFrame:

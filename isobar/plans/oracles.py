@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isobar.plans.queries import BOX, LINE_MEASURES, SPLIT_SECOND
+from isobar.plans.queries import BOX, LINE_MEASURES, SPLIT_SECOND, SPLIT_SECONDS
 
 _T = """t AS (
   SELECT event_id, CAST(user_id AS INTEGER) AS id, event_type AS location,
@@ -81,7 +81,7 @@ _TEXTS = (
 _SUMMARY = (
     "count(value) AS n, round(min(value), 6) AS minimum, round(max(value), 6) AS maximum, "
     "round(max(value) - min(value), 6) AS range, round(avg(value), 6) AS average, "
-    "round(var_pop(value), 2) AS variance, round(stddev_pop(value), 6) AS stddev"
+    "CAST(format('{:.7e}', var_pop(value)) AS DOUBLE) AS variance, round(stddev_pop(value), 6) AS stddev"
 )
 
 
@@ -107,6 +107,7 @@ fr AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value) A
 m AS (SELECT field, n_unique, n > 1 AS has_mode, CASE WHEN n > 1 THEN value END AS mode FROM fr WHERE rn = 1)"""
 
 
+# Fixed value: the pattern of a numeric first cell, as in ``functions/numbers.py``.
 _NUMERIC_TEXT = r"^[-+]?\d*\.*\d+E*[-+]?\d*$"
 _EVENT_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 _ORDER_FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -164,7 +165,82 @@ SELECT event_id, CAST(id + 1000 * i AS INTEGER) AS id, location, latitude, longi
        humidity, windspeed, winddirection, time + 60 AS time, 1700000000 + event_id AS observed_at
 FROM (SELECT *, unnest(range(event_id % 3 + 1)) AS i FROM t) x"""
 
+def _four_batches() -> str:
+    """The fold of four states: first place and position, newest measures that are not null."""
+    bounds = ["-1", *map(str, SPLIT_SECONDS), "9223372036854775807"]
+    parts = ", ".join(
+        _resolved(f"s{k}", f"time >= {low} AND time < {high}") for k, (low, high) in enumerate(zip(bounds, bounds[1:]))
+    )
+    first = ", ".join(f"coalesce({', '.join(f's{k}.{c}' for k in range(4))}) AS {c}" for c in ("place", "location"))
+    newest = ", ".join(
+        f"coalesce({', '.join(f's{k}.{c}' for k in (3, 2, 1, 0))}) AS {c}"
+        for c in ("windspeed", "winddirection", "pressure", "humidity", "temperature", "time")
+    )
+    ids = " UNION ".join(f"SELECT id FROM s{k}" for k in range(4))
+    joins = " ".join(f"LEFT JOIN s{k} ON s{k}.id = ids.id" for k in range(4))
+    return f"""WITH {_T}, {parts}, ids AS ({ids}),
+folded AS (SELECT ids.id, {first}, {newest} FROM ids {joins})
+SELECT id, place, location, {_STATE}, time FROM folded"""
+
+
+def _report_rows(name: str, numbers: list[str], texts: list[str], source: str) -> str:
+    """The records of a report as source, field, metric, number, text."""
+    metrics = {
+        "Minimum": "round(s.minimum, 6)", "Maximum": "round(s.maximum, 6)", "Range": "round(s.range, 6)",
+        "Average": "round(s.average, 6)", "Variance": "s.variance", "Standard Deviation": "s.stddev",
+        "Median": "round(q.median, 6)", "First Quartile": "round(q.q1, 6)", "Third Quartile": "round(q.q3, 6)",
+        "IQR": "round(q.q3 - q.q1, 6)", "Mode": "round(m.mode, 6)",
+    }
+    listed = " UNION ALL ".join(
+        f"SELECT s.field, '{metric}' AS metric, CAST({value} AS DOUBLE) AS number, "
+        + ("CASE WHEN NOT has_mode THEN 'No Mode' END" if metric == "Mode" else "CAST(NULL AS VARCHAR)")
+        + " AS text FROM s JOIN q ON q.field = s.field JOIN m ON m.field = s.field"
+        for metric, value in metrics.items()
+    )
+    parts = [
+        f"""SELECT '{name}' AS source, r.* FROM (WITH v AS ({_unpivoted(numbers, source)}), {_quartiles('v')}, {_modes('v')},
+s AS (SELECT field, {_SUMMARY} FROM v GROUP BY field)
+{listed} UNION ALL SELECT field, 'Type', NULL, 'Numeric' FROM s) r""",
+        f"""SELECT '{name}', NULL, 'filetype', NULL, 'TABLE'
+UNION ALL SELECT '{name}', NULL, 'No Of Fields', {float(len(numbers) + len(texts))}, NULL""",
+    ]
+    if texts:
+        parts.append(f"""SELECT '{name}', r.* FROM (WITH v AS ({_unpivoted(texts, source, 'VARCHAR')}), {_modes('v')}
+SELECT field, 'Mode', NULL, coalesce(mode, 'No Mode') FROM m
+UNION ALL SELECT field, 'NumUniqueValues', CAST(n_unique AS DOUBLE), NULL FROM m
+UNION ALL SELECT field, 'Type', NULL, 'String' FROM m) r""")
+    return " UNION ALL ".join(parts)
+
+
+_LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_MEASURES]
+_LINE_TEXTS = ["l_returnflag", "l_linestatus", "l_shipdate"]
+_REPORT = f"""{_report_rows('lineitem', _LINE_NUMBERS, _LINE_TEXTS, 'lineitem')}
+UNION ALL {_report_rows('orders', ['o_orderkey', 'o_custkey', 'o_totalprice'],
+                        ['o_orderstatus', 'o_orderdate', 'o_orderpriority'], 'orders')}
+UNION ALL {_report_rows('pair', ['l_quantity', 'l_extendedprice'], [], 'lineitem')}
+UNION ALL SELECT 'pair', NULL, 'Pearsons CC (l_quantity Vs l_extendedprice)',
+    round(corr(CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE)), 6), NULL FROM lineitem"""
+
+_DAMAGED = """WITH o AS (SELECT o_orderkey AS k, o_totalprice AS p FROM orders)
+SELECT 'json' AS source, count(*) FILTER (WHERE k % 7 = 4) AS n_malformed, count(*) FILTER (WHERE k % 7 = 4 OR p IS NULL) AS n_blank,
+       CAST(0 AS BIGINT) AS n_invalid, CAST(0 AS BIGINT) AS n_nan, count(p) FILTER (WHERE k % 7 <> 4) AS n FROM o
+UNION ALL
+SELECT 'csv', count(*) FILTER (WHERE k % 5 IN (3, 4)), count(*) FILTER (WHERE k % 5 = 3),
+       count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 <> 5 AND k % 13 = 6),
+       count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 = 5),
+       count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 <> 5 AND k % 13 <> 6) FROM o"""
+
 SQL: dict[str, str] = {
+    "stream_latest_state_batches": _four_batches(),
+    "stream_acquire_messages": f"""WITH flat AS ({_FLAT})
+SELECT CAST(id AS VARCHAR) AS key, {_COLUMNS} FROM flat""",
+    "landed_responses": f"""WITH flat AS ({_FLAT}) SELECT * EXCLUDE (event_id) REPLACE (CAST(0 AS BIGINT) AS time) FROM flat""",
+    "raw_file_order": f"""WITH {_T}, one AS (SELECT DISTINCT id, time FROM t)
+SELECT strftime(make_timestamp(time * 1000000), '%Y-%m-%d') AS day, count(*) AS n, CAST(0 AS BIGINT) AS n_inverted FROM one GROUP BY 1""",
+    "headerless_names": """SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_quantity AS DOUBLE) AS var1, CAST(l_extendedprice AS DOUBLE) AS price,
+       CAST(l_discount AS DOUBLE) AS var3, CAST(l_tax AS DOUBLE) AS var4 FROM lineitem""",
+    "profile_damaged": _DAMAGED,
+    "profile_report": _REPORT,
     "station_means": f"""WITH {_T} SELECT id, location, latitude, longitude, {_ROUNDED_MEANS}
 FROM t GROUP BY id, location, latitude, longitude""",
     "station_means_sql": f"""WITH {_T} SELECT id, round(avg(temp), 6) AS temp, round(avg(humidity), 6) AS humidity,
@@ -178,9 +254,10 @@ FROM events GROUP BY event_type""",
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id, time ORDER BY observed_at DESC) AS rn FROM flat)
 {_RAW} FROM ranked WHERE rn = 1""",
     "telegram_parse": f"WITH {_T} SELECT {_COLUMNS} FROM t",
-    "telegram_quarantine": """SELECT 'malformed' AS rejected, count(*) AS n FROM events
-UNION ALL SELECT 'no id' AS rejected, count(*) AS n FROM events""",
-    "telegram_serialize": f"WITH {_T} SELECT 'unitedkingdom' AS key, 10 AS n_keys, {_COLUMNS} FROM t",
+    "telegram_quarantine": f"""WITH {_T}
+SELECT 'malformed' AS rejected, CAST(id AS VARCHAR) AS id, location, '' AS time FROM t
+UNION ALL SELECT 'no id', '', location, CAST(time AS VARCHAR) FROM t""",
+    "telegram_serialize": f"WITH {_T} SELECT CAST(id AS VARCHAR) AS key, 10 AS n_keys, {_COLUMNS} FROM t",
     "response_flatten": _FLAT,
     "response_envelope": """SELECT event_id, 200 AS cod, (event_id % 3 + 1) / 1000 AS calctime,
        CAST(event_id % 3 + 1 AS INTEGER) AS cnt, CAST(event_id % 3 + 1 AS INTEGER) AS n_stations FROM events""",
@@ -214,8 +291,7 @@ UNION ALL {_unpivoted(['o_orderkey', 'o_totalprice'], 'orders')}), {_modes('v')}
 SELECT field, n_unique, has_mode, mode FROM m""",
     "string_profile": f"""WITH {_TEXTS}, {_modes('v')}
 SELECT m.field, n_unique, has_mode, mode,
-       CASE WHEN n_unique <= 100 THEN (SELECT string_agg(f.value, '|' ORDER BY f.value) FROM f
-                                       WHERE f.field = m.field) END AS unique_values FROM m""",
+ FROM m""".replace("mode,\n FROM", "mode FROM"),
     "distinct_values": f"WITH {_TEXTS} SELECT DISTINCT field, value FROM v WHERE value IS NOT NULL",
     "discrete_histogram": f"""WITH v AS ({_unpivoted(['l_returnflag', 'l_linestatus'], 'lineitem', 'VARCHAR')}
 UNION ALL {_unpivoted(['event_type'], 'events', 'VARCHAR')})

@@ -11,20 +11,20 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from isobar.functions.nested import as_text
-from isobar.functions.numbers import is_blank, is_invalid, number_or_zero, to_double
+from isobar.functions.numbers import is_blank, to_double
 from isobar.functions.sql import ident
 from isobar.operators.correlation import default_pairs, pearson
 from isobar.operators.fieldtypes import sample_kinds
-from isobar.operators.frequency import (
-    LISTED_VALUES, distinct_values, modes, number_frequencies, string_summary, text_frequencies,
-)
+from isobar.operators.frequency import distinct_values, modes, number_frequencies, text_frequencies
 from isobar.operators.histogram import histogram10
 from isobar.operators.numeric import numeric_summary
 from isobar.operators.orderstats import order_statistics
 from isobar.session import shared_dir
-from isobar.sources.tables import TextTable, read_text_table
-from isobar.sources.versions import delete_folder
+from isobar.sources.tables import DAMAGED, BinaryInput, TextTable, nul_test, read_text_table
+from isobar.sources.versions import delete_folder, write_text
 
+# The word for no mode, and the names in ``_string_record``, ``_numeric_record`` and
+# ``report``.
 NO_MODE = "No Mode"
 BLANK_RULES = ("skip", "zero", "fail")
 
@@ -61,6 +61,8 @@ class Typed:
     kinds: dict[str, str]
     n_blank: dict[str, int] = field(default_factory=dict)
     n_invalid: dict[str, int] = field(default_factory=dict)
+    n_nan: dict[str, int] = field(default_factory=dict)
+    n_malformed: int = 0
     landed: str | None = None
 
     def of_kind(self, kind: str) -> list[str]:
@@ -70,48 +72,63 @@ class Typed:
 def type_text_table(table: TextTable, *, blank: str = "skip", strict: bool = False) -> Typed:
     """Cast the numeric fields and land the table as parquet in the shared folder.
 
-    The text is parsed once; the blanks and the values that do not cast are counted
-    while it is written, and every later pass reads columns.
+    The text is parsed once. While it is written, blanks, values that do not cast, values that are
+    no number by their own account (``nan``), damaged lines and NUL characters are counted; every
+    later pass reads columns. ``strict`` refuses all of these but blanks.
     """
     if blank not in BLANK_RULES:
         raise ValueError(f"blank must be one of {BLANK_RULES}, not {blank!r}")
-    spark, rows, kinds = table.rows.sparkSession, table.rows, table.kinds
-    numeric = [f for f in rows.columns if kinds[f] == "Numeric"]
-    metrics = ["count(*) AS n_rows"]
-    for i, f in enumerate(numeric):
-        metrics += [f"count_if({is_blank(ident(f))}) AS blank{i}", f"count_if({is_invalid(ident(f))}) AS bad{i}"]
-    # ``skip`` leaves blank cells out, ``zero`` counts them as 0, ``fail`` is checked below.
-    cell = number_or_zero if blank == "zero" else to_double
-    counted = Observation()
-    # Positional names: field names from a file need not be valid parquet names.
-    typed = rows.observe(counted, *map(F.expr, metrics)).selectExpr(
-        *[
-            f"{cell(ident(f)) if kinds[f] == 'Numeric' else ident(f)} AS c{i}"
-            for i, f in enumerate(rows.columns)
+    spark, rows, kinds = table.parsed.sparkSession, table.rows, table.kinds
+    numeric = [i for i, f in enumerate(rows.columns) if kinds[f] == "Numeric"]
+    # Positional names: field names from a file need not be valid parquet names. A number is
+    # matched and cast once, below the place where it is counted.
+    cells = table.parsed.selectExpr(
+        *[f"{ident(f)} AS t{i}" for i, f in enumerate(rows.columns)],
+        *[f"{to_double(ident(rows.columns[i]))} AS d{i}" for i in numeric],
+        f"{DAMAGED} IS NOT NULL AS damaged", f"{nul_test(table)} AS nul",
+    )
+    metrics = ["count_if(damaged) AS damaged", "count_if(nul) AS nul"]
+    for i in numeric:
+        metrics += [
+            f"count_if({is_blank(f't{i}')}) AS blank{i}", f"count_if(isnan(d{i})) AS nan{i}",
+            f"count_if(d{i} IS NULL AND NOT {is_blank(f't{i}')}) AS bad{i}",
         ]
+    counted = Observation()
+    # ``skip`` leaves blank cells out, ``zero`` counts them as 0, ``fail`` is checked below.
+    value = {i: f"if({is_blank(f't{i}')}, 0D, d{i})" if blank == "zero" else f"d{i}" for i in numeric}
+    typed = cells.observe(counted, *map(F.expr, metrics)).selectExpr(
+        *[f"{value.get(i, f't{i}')} AS c{i}" for i in range(len(rows.columns))]
     )
     path = shared_dir(spark, "typed")
     typed.write.parquet(path)
     seen = counted.get
-    n_blank = {f: seen[f"blank{i}"] for i, f in enumerate(numeric)}
-    n_invalid = {f: seen[f"bad{i}"] for i, f in enumerate(numeric)}
-    if blank == "fail" and any(n_blank.values()):
-        raise InvalidValues(f"blank numeric cells: {_positive(n_blank)}")
-    if strict and any(n_invalid.values()):
-        raise InvalidValues(f"values that are no numbers: {_positive(n_invalid)}")
+    counts = {kind: {rows.columns[i]: seen[f"{kind}{i}"] for i in numeric} for kind in ("blank", "bad", "nan")}
+    problems = [
+        (table.check_binary and seen["nul"], BinaryInput, "lines with NUL characters, probably no text"),
+        (blank == "fail" and _positive(counts["blank"]), InvalidValues, "blank numeric cells"),
+        (strict and _positive(counts["bad"]), InvalidValues, "values that are no numbers"),
+        (strict and _positive(counts["nan"]), InvalidValues, "values that are not a number"),
+        (strict and seen["damaged"], InvalidValues, "damaged lines"),
+    ]
+    for found, kind, what in problems:
+        if found:
+            delete_folder(spark, path)
+            raise kind(f"{what}: {found}")
     landed = spark.read.schema(typed.schema).parquet(path).toDF(*rows.columns)
-    return Typed(landed, kinds, n_blank, n_invalid, path)
+    return Typed(landed, kinds, counts["blank"], counts["bad"], counts["nan"], seen["damaged"], path)
 
 
 def _positive(counts: dict[str, int]) -> dict[str, int]:
     return {name: n for name, n in counts.items() if n}
 
 
-def type_frame(df: DataFrame, infer: str = "regex") -> Typed:
-    """A DataFrame for profiling: numeric columns are numeric, text columns go by their
-    first row, everything else is text."""
+def type_frame(df: DataFrame, infer: str = "regex", first_by: str | None = None) -> Typed:
+    """A DataFrame for profiling: numeric columns are numeric, text columns go by the row
+    that is first by the column ``first_by``, everything else is text."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    first = df.select(*map(ident, texts)).head() if texts else None
+    if texts and first_by is None:
+        raise ValueError("text columns go by their first row: first_by names the column that orders rows")
+    first = df.orderBy(ident(first_by)).select(*map(ident, texts)).head() if texts else None
     kinds = sample_kinds(df, dict(zip(texts, first)) if first else {}, infer)
     columns = []
     for f in df.schema.fields:
@@ -138,8 +155,8 @@ class Profile:
 
     typed: Typed
     pairs: list[tuple[str, str]]
-    listed: int = LISTED_VALUES
     attributes: dict[str, object] = field(default_factory=dict)
+    values: str | None = None
 
     @cached_property
     def numeric(self) -> DataFrame | None:
@@ -158,16 +175,17 @@ class Profile:
         if not texts:
             return None
         counted = text_frequencies(self.typed.df, texts)
-        counted.write.parquet(self.frequencies_path)
+        counted.write.mode("overwrite").parquet(self.frequencies_path)
         return counted.sparkSession.read.schema(counted.schema).parquet(self.frequencies_path)
 
     @cached_property
     def frequencies_path(self) -> str:
-        return shared_dir(self.typed.df.sparkSession, "frequencies")
+        """Where the values of the text fields are: ``values``, or below the shared folder."""
+        return self.values or shared_dir(self.typed.df.sparkSession, "frequencies")
 
     @cached_property
     def strings(self) -> DataFrame | None:
-        return None if self.frequencies is None else string_summary(self.frequencies, self.listed)
+        return None if self.frequencies is None else modes(self.frequencies)
 
     @cached_property
     def distinct(self) -> DataFrame | None:
@@ -179,18 +197,18 @@ class Profile:
 
     def discard(self) -> None:
         """Delete what was landed in the shared folder; the parts cannot be read after."""
-        for path in (self.frequencies_path, self.typed.landed):
+        for path in (None if self.values else self.frequencies_path, self.typed.landed):
             if path:
                 delete_folder(self.typed.df.sparkSession, path)
 
 
 def profile(
-    typed: Typed, pairs: Sequence[tuple[str, str]] | None = None, listed: int = LISTED_VALUES, **attributes
+    typed: Typed, pairs: Sequence[tuple[str, str]] | None = None, values: str | None = None, **attributes
 ) -> Profile:
     """Profile a typed table. With exactly two numeric fields their correlation is
-    included; with more, ``pairs`` chooses."""
+    included; with more, ``pairs`` chooses. ``values`` is where the values of the text fields go."""
     pairs = default_pairs(typed.of_kind("Numeric")) if pairs is None else list(pairs)
-    return Profile(typed, pairs, listed, attributes)
+    return Profile(typed, pairs, attributes, values)
 
 
 def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -202,8 +220,20 @@ def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def profile_frame(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None, infer: str = "regex") -> Profile:
-    return profile(type_frame(df, infer), pairs, filetype="TABLE")
+def profile_frame(
+    df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None, infer: str = "regex", first_by: str | None = None,
+    land: bool = False,
+) -> Profile:
+    """The parts scan the frame several times and rely on equal rows each time. ``land`` writes
+    it to the shared folder first: for a frame that is costly, or not the same when computed again."""
+    typed = type_frame(df, infer, first_by)
+    if land:
+        path = shared_dir(df.sparkSession, "frame")
+        plain = typed.df.toDF(*[f"c{i}" for i in range(len(typed.df.columns))])
+        plain.write.parquet(path)
+        landed = df.sparkSession.read.schema(plain.schema).parquet(path).toDF(*typed.df.columns)
+        typed = Typed(landed, typed.kinds, landed=path)
+    return profile(typed, pairs, filetype="TABLE")
 
 
 def profile_file(
@@ -229,18 +259,19 @@ def profile_file(
     attributes = {"filetype": table.filetype, "inputfile": config.infile}
     if table.filetype == "CSV":
         attributes |= {"FieldSeparator": table.delimiter, "HeaderPresent": str(table.header)}
-    done = profile(type_text_table(table, blank=blank, strict=strict), pairs, **attributes)
+    values = f"{config.metafile}.values" if config.metafile else None
+    done = profile(type_text_table(table, blank=blank, strict=strict), pairs, values, **attributes)
     if config.metafile:
         write_report(done, config.metafile)
     return done
 
 
-def _string_record(row) -> dict:
+def _string_record(row, values: str) -> dict:
     return {
         "Name": row["field"],
         "Type": "String",
         "NumUniqueValues": row["n_unique"],
-        "UniqueValues": row["unique_values"],
+        "UniqueValues": values,
         "Mode": row["mode"] if row["has_mode"] else NO_MODE,
     }
 
@@ -265,14 +296,14 @@ def _numeric_record(row) -> dict:
 
 def report(done: Profile) -> dict:
     """The report document. It holds one record per field, so only summaries reach the
-    driver. ``UniqueValues`` is null for a field with more values than are listed;
-    ``Profile.distinct`` has them all."""
+    driver. ``UniqueValues`` names the parquet folder with the values of all text fields: field,
+    value and n, each value once."""
     records = {}
     if done.numeric is not None:
         records |= {r["field"]: _numeric_record(r) for r in done.numeric.collect()}
     if done.strings is not None:
-        records |= {r["field"]: _string_record(r) for r in done.strings.collect()}
-    empty = {"Numeric": {}, "String": {"NumUniqueValues": 0, "UniqueValues": [], "Mode": NO_MODE}}
+        records |= {r["field"]: _string_record(r, done.frequencies_path) for r in done.strings.collect()}
+    empty = {"Numeric": {}, "String": {"NumUniqueValues": 0, "UniqueValues": done.frequencies_path, "Mode": NO_MODE}}
     fields = [
         records.get(name, {"Name": name, "Type": done.typed.kinds[name], **empty[done.typed.kinds[name]]})
         for name in done.typed.df.columns
@@ -288,11 +319,5 @@ def report_json(done: Profile) -> str:
 
 
 def write_report(done: Profile, path: str) -> None:
-    """Write the report: a plain file, or through Spark where the path has a scheme."""
-    text = report_json(done)
-    if "://" in path:
-        spark = done.typed.df.sparkSession
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    else:
-        with open(path, "w", encoding="utf-8") as out:
-            out.write(text)
+    """Write the report as one file of whatever filesystem the path is on."""
+    write_text(done.typed.df.sparkSession, path, report_json(done))

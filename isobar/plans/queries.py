@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from isobar.functions.nested import as_text
 from isobar.functions.numbers import number_or_zero, to_double
@@ -13,15 +14,15 @@ from isobar.functions.times import date_text
 from isobar.operators import (
     correlation, fieldtypes, frequency, histogram, means, numeric, orderstats, rawday, telegram, upsert,
 )
-from isobar.plans.profile import ProfileConfig, profile_file
+from isobar.plans.profile import ProfileConfig, profile_file, profile_frame, report_json, type_text_table
 from isobar.plans.stations import as_lines, as_responses, as_telegrams, counter, table, telegrams
-from isobar.schemas import MEASURES, STATION_KEY, TELEGRAM
+from isobar.schemas import MEASURES, RESPONSE, STATION_KEY, TELEGRAM
 from isobar.session import shared_dir
 from isobar.sources.lateststate import LatestState
-from isobar.sources.messages import publish_to_files
+from isobar.sources.messages import MESSAGE, landed_responses as file_responses, publish_to_files
 from isobar.sources.rawstore import RawStore
-from isobar.sources.tables import contains_nul
-from isobar.sources.versions import complete_versions, version_path
+from isobar.sources.tables import contains_nul, read_text_table
+from isobar.sources.versions import complete_versions, version_path, write_version
 from isobar.streaming.jobs import run_acquisition, run_station_means, run_window_means
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,17 +31,21 @@ LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # Readings before this second make the current state of the upsert queries, the others
 # the batch: 2024-01-02 00:00 UTC.
 SPLIT_SECOND = 1704153600
+# Bounds of the four batches: the 2nd, 10th and 20th of January.
+SPLIT_SECONDS = [SPLIT_SECOND, 1704844800, 1705708800]
 BOX = (-3.0, 52.0, 0.0, 60.0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places, variances to two: sums of doubles depend on the order of
-    the rows, and a large variance has no more places to compare."""
+    """Doubles to six places, variances to eight significant digits: sums of doubles depend
+    on the order of the rows, and variances differ in size."""
 
     def value(f: T.StructField) -> str:
         if not isinstance(f.dataType, T.DoubleType):
             return ident(f.name)
-        return f"round({ident(f.name)}, {2 if f.name == 'variance' else 6}) AS {ident(f.name)}"
+        if f.name == "variance":
+            return "CAST(format_string('%.7e', variance) AS DOUBLE) AS variance"
+        return f"round({ident(f.name)}, 6) AS {ident(f.name)}"
 
     return df.selectExpr(*map(value, df.schema.fields))
 
@@ -67,10 +72,10 @@ def window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _telegram_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as a stream of messages."""
+    """The events table as a stream of messages. The pattern has the source list the files of
+    the table, whether it is one file or a folder of them."""
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return telegram.to_messages(as_telegrams(events))
+    return telegram.to_messages(as_telegrams(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")))
 
 
 def stream_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,16 +101,72 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(state.read(spark))
 
 
-def stream_acquire_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _quarter(quarter: int) -> Column:
+    """The rows of one of four parts by time."""
+    at = F.col("time")
+    after = at >= SPLIT_SECONDS[quarter - 1] if quarter else F.lit(True)
+    return after & (at < SPLIT_SECONDS[quarter]) if quarter < 3 else after
+
+
+def stream_latest_state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four parts of the readings by time, landed one after the other and a batch each."""
+    root = shared_dir(spark, "latest-batches")
+    state = LatestState(f"{root}/state", compact_every=2)
+    messages = telegram.to_messages(telegrams(spark, sf_dir))
+    for quarter in range(4):
+        part = telegrams(spark, sf_dir).where(_quarter(quarter))
+        telegram.to_messages(part).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(messages.schema).parquet(f"{root}/landed")
+        run_station_means(
+            stream, state, f"{root}/quarantine", f"{root}/checkpoint", drain=True, name=None
+        ).awaitTermination()
+    return rounded(state.read(spark))
+
+
+def _acquired(spark: SparkSession, sf_dir: str) -> tuple[RawStore, str]:
+    """The raw store and the folder of messages after two batches of responses."""
     root = shared_dir(spark, "acquire")
-    landed = as_responses(telegrams(spark, sf_dir)).select("value", "landed_at")
-    landed.write.parquet(f"{root}/landed")
-    stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landed")
+    landed = as_responses(telegrams(spark, sf_dir)).select("event_id", "value", "landed_at")
     raw = RawStore(f"{root}/raw")
-    run_acquisition(
-        stream, publish_to_files(f"{root}/messages"), raw, f"{root}/checkpoint", drain=True, name=None
-    ).awaitTermination()
-    return _plain_time(raw.read(spark))
+    for half in (0, 1):
+        part = landed.where(F.col("event_id") % 2 == half).drop("event_id")
+        part.write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/landed")
+        run_acquisition(
+            stream, publish_to_files(f"{root}/messages"), raw, f"{root}/checkpoint", drain=True, name=None
+        ).awaitTermination()
+    return raw, f"{root}/messages"
+
+
+def stream_acquire_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_time(_acquired(spark, sf_dir)[0].read(spark))
+
+
+def stream_acquire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was published."""
+    _, path = _acquired(spark, sf_dir)
+    messages = spark.read.schema(MESSAGE).option("recursiveFileLookup", "true").json(path)
+    return telegram.accepted(telegram.parse_messages(messages, keep=["key"]))
+
+
+def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses landed as text files, a document of some hundred stations each, streamed and flattened."""
+    root = shared_dir(spark, "landed-text")
+    responses = as_responses(telegrams(spark, sf_dir)).select("event_id", "value")
+    files = F.lit(1 + responses.count() // 200)
+    stations = responses.select("event_id", F.explode(F.from_json("value", RESPONSE)["list"]).alias("station"))
+    documents = stations.groupBy(F.pmod(F.xxhash64("event_id"), files).alias("file")).agg(
+        F.to_json(F.struct(F.collect_list("station").alias("list"))).alias("value")
+    )
+    documents.write.partitionBy("file").text(f"{root}/in")
+    out = f"{root}/out"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_version(telegram.flatten_responses(batch, F.lit(0)), out, batch_id)
+
+    writer = file_responses(spark, f"{root}/in").writeStream.foreachBatch(handle)
+    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).drop("v")
 
 
 def telegram_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +174,14 @@ def telegram_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telegram_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected texts, by the fields that can still be read from them."""
     bad = telegram.quarantined(telegram.parse_messages(_with_bad_messages(spark, sf_dir)))
-    return bad.groupBy("rejected").agg(F.count(F.lit(1)).alias("n"))
+    return bad.select(
+        "rejected",
+        F.regexp_extract("value", r'^\{"id":(\d+)', 1).alias("id"),
+        F.regexp_extract("value", '"location":"([^"]*)"', 1).alias("location"),
+        F.regexp_extract("value", r'"time":(\d+)\}$', 1).alias("time"),
+    )
 
 
 def _with_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,10 +238,8 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def upsert_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     current, batch = _two_batches(spark, sf_dir)
-    inserts, updates = upsert.classify(current, batch)
-    return inserts.select("id", F.lit("insert").alias("action")).unionByName(
-        updates.select("id", F.lit("update").alias("action"))
-    )
+    flagged = upsert.flag_known(current, batch)
+    return flagged.select("id", F.when(F.col("known"), "update").otherwise("insert").alias("action"))
 
 
 def station_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +270,20 @@ def raw_by_day_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(store.read(spark))
 
 
+def raw_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each day, and how many come before their predecessor in a file of the store."""
+    root = shared_dir(spark, "raw-order")
+    RawStore(root).write(telegrams(spark, sf_dir), 0, arrival="event_id")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    stored = spark.read.parquet(f"{root}/v=0").withColumn("place", place)
+    before = Window.partitionBy("place.file").orderBy("place.at")
+    key = F.struct("id", "eventtime")
+    checked = stored.withColumn("inverted", F.coalesce(F.lag(key).over(before) > key, F.lit(False)))
+    return checked.groupBy(F.col("day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("inverted").alias("n_inverted")
+    )
+
+
 # --- profiling ----------------------------------------------------------------
 
 
@@ -217,7 +296,7 @@ def field_types_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def field_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fieldtypes.type_counts(fieldtypes.field_types(table(spark, sf_dir, "orders"), "o_orderkey"))
+    return fieldtypes.type_counts(fieldtypes.field_kinds(table(spark, sf_dir, "orders"), "o_orderkey"))
 
 
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,9 +325,7 @@ def _text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def string_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = frequency.string_summary(_text_values(spark, sf_dir), listed=100)
-    listed = F.when(F.col("unique_values").isNotNull(), F.concat_ws("|", "unique_values"))
-    return summary.withColumn("unique_values", listed)
+    return frequency.modes(_text_values(spark, sf_dir))
 
 
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,11 +394,69 @@ def profile_json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def headerless_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a header; some columns have names given."""
+    path = shared_dir(spark, "headerless")
+    table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_MEASURES).write.csv(path)
+    read = read_text_table(spark, path, sep=",", header=False, names=["order", None, "price", ""])
+    return read.rows.select("order", *[F.col(c).cast("double").alias(c) for c in ("var1", "price", "var3", "var4")])
+
+
+def profile_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is counted where lines and cells are damaged."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey")
+    key = F.col("o_orderkey")
+    as_json = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    cut = F.when(key % 7 == 4, F.substring(as_json, F.lit(1), F.length(as_json) - 4)).otherwise(as_json)
+    price = F.when(key % 11 == 5, "nan").when(key % 13 == 6, "oops").otherwise(F.col("o_totalprice").cast("string"))
+    line = (
+        F.when(key % 5 == 3, key.cast("string")).when(key % 5 == 4, F.concat_ws(",", key, price, F.lit("more")))
+        .otherwise(F.concat_ws(",", key, price))
+    )
+    found = []
+    for name, text, options in (("json", cut, {}), ("csv", line, {"sep": ",", "header": False, "names": ["k", "price"]})):
+        path = shared_dir(spark, f"damaged-{name}")
+        orders.select(text.alias("value")).write.text(path)
+        done = type_text_table(read_text_table(spark, path, **options))
+        last = done.df.columns[-1]
+        n = done.df.select(F.count(F.nanvl(F.col(last), F.lit(None).cast("double")))).first()[0]
+        found.append((name, done.n_malformed, done.n_blank[last], done.n_invalid[last], done.n_nan[last], n))
+    return spark.createDataFrame(
+        found, "source string, n_malformed long, n_blank long, n_invalid long, n_nan long, n long"
+    )
+
+
+def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports on all columns of three tables, as rows."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    sources = {
+        "lineitem": (lines, "l_orderkey"), "orders": (orders, "o_orderkey"),
+        "pair": (lines.select("l_quantity", "l_extendedprice"), None),
+    }
+    rows = []
+    for name, (df, first_by) in sources.items():
+        document = json.loads(report_json(profile_frame(df, first_by=first_by)))
+        for record in document.pop("Fields"):
+            for metric, value in record.items():
+                if metric not in ("Name", "UniqueValues"):
+                    rows.append((name, record["Name"], metric, value))
+        rows += [(name, None, metric, value) for metric, value in document.items()]
+    places = {"Variance": "%.7e"}
+    parts = [
+        (source, of, metric, None if isinstance(v, str) or v is None else float(v), v if isinstance(v, str) else None)
+        for source, of, metric, v in rows
+    ]
+    df = spark.createDataFrame(parts, "source string, field string, metric string, number double, text string")
+    digits = F.when(F.col("metric") == "Variance", F.format_string(places["Variance"], "number").cast("double"))
+    return df.withColumn("number", F.coalesce(digits, F.round("number", 6)))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         station_means, station_means_sql, keyed_mean, window_means, stream_window_means,
-        stream_latest_state, stream_acquire_raw, telegram_parse, telegram_quarantine,
+        stream_latest_state, stream_latest_state_batches, stream_acquire_raw, stream_acquire_messages,
+        landed_responses, raw_file_order, headerless_names, profile_damaged, profile_report, telegram_parse, telegram_quarantine,
         telegram_serialize, response_flatten, response_envelope, bbox_filter,
         csv_reading_parse, date_render, upsert_classify, station_upsert, raw_by_day,
         raw_by_day_store, field_types, field_types_cast, field_type_counts, numeric_profile,

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Window state on local disk and in the checkpoint rather than on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -27,20 +28,12 @@ def build_session(app: str = "isobar", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="isobar-")
-
-
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local master
-    may do without the setting; it then gets a temporary folder.
+    The cluster names that folder in ``spark.checkpoint.dir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/isobar/{name}-{uuid.uuid4().hex}"

@@ -1,7 +1,8 @@
 """Latest-state table: a base snapshot and the batches since.
 
 A batch writes only its own rows, whatever the size of the state, and every
-``compact_every`` batches base and batches are folded into a new base. A batch writes
+``compact_every`` batches base and batches are folded into a new base, and what only older
+bases need is deleted, so the number of folders is bounded. A batch writes
 folder ``v=<batch_id>`` and a base is built from older folders only, so running a batch
 again gives the same files: restarts are harmless. The folder belongs to one stream
 checkpoint, since batch ids start over with a new one.
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.operators.upsert import fold_versions, resolve_batch
 from isobar.schemas import LATEST
-from isobar.sources.versions import complete_versions, delete_folder, read_versions, version_path
+from isobar.sources.versions import complete_versions, delete_folder, is_complete, read_versions, version_path, write_version
 
 
 @dataclass(frozen=True)
@@ -34,17 +35,19 @@ class LatestState:
 
     def apply(self, means: DataFrame, batch_id: int) -> None:
         """Upsert one batch of station means."""
-        resolve_batch(means).write.mode("overwrite").parquet(version_path(self._batches, batch_id))
+        write_version(resolve_batch(means), self._batches, batch_id)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(means.sparkSession, batch_id)
+            self.prune(means.sparkSession)
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Fold everything up to the batch into a base."""
-        state = self._read(spark, batch_id, older_base_than=batch_id)
-        state.write.mode("overwrite").parquet(version_path(self._bases, batch_id))
+        if not is_complete(spark, self._bases, batch_id):
+            write_version(self._read(spark, batch_id, older_base_than=batch_id), self._bases, batch_id)
 
     def read(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
-        """The state after batch ``as_of``, or after the newest one."""
+        """The state after batch ``as_of``, or after the newest one. What was pruned is gone:
+        asking for it is an error."""
         return self._read(spark, as_of, older_base_than=None)
 
     def ids(self, spark: SparkSession) -> DataFrame:
@@ -68,9 +71,10 @@ class LatestState:
             if (as_of is None or b <= as_of) and (older_base_than is None or b < older_base_than)
         ]
         base = bases[-1] if bases else -1
-        batches = [
-            b for b in complete_versions(spark, self._batches) if b > base and (as_of is None or b <= as_of)
-        ]
+        stored = complete_versions(spark, self._batches)
+        batches = [b for b in stored if b > base and (as_of is None or b <= as_of)]
+        if as_of is not None and not bases and 0 not in stored and complete_versions(spark, self._bases):
+            raise ValueError(f"the state after batch {as_of} has been pruned")
         if bases and not batches:
             return spark.read.schema(LATEST).parquet(version_path(self._bases, base))
         parts = []

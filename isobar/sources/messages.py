@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.sources.versions import version_path
+from isobar.sources.versions import write_version
 
 MESSAGE = "key STRING, value STRING"
 
@@ -53,10 +53,10 @@ def publish_to_kafka(brokers: str, topic: str):
 
 
 def publish_to_files(root: str):
-    """A batch publisher for a folder; a repeated batch replaces itself."""
+    """A batch publisher for a folder; a repeated batch is written once."""
 
     def publish(messages: DataFrame, batch_id: int) -> None:
-        messages.select("key", "value").write.mode("overwrite").json(version_path(root, batch_id))
+        write_version(messages.select("key", "value"), root, batch_id, format="json")
 
     return publish
 

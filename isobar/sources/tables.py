@@ -22,8 +22,8 @@ SAMPLE_CHARS = 1024
 JSON_LINE = r"^{.+}$"
 DEFAULT_DELIMITER = ","
 
-# Files of a folder that detection goes through for one that shows enough.
-FILES_LOOKED_AT = 16
+# Where the parser leaves a line that it cannot read.
+DAMAGED = "_damaged"
 
 
 class BinaryInput(ValueError):
@@ -34,28 +34,39 @@ class BinaryInput(ValueError):
 class TextTable:
     """A text table: its rows as strings and what was found out about it."""
 
-    rows: DataFrame
+    parsed: DataFrame  # the fields in order, then the text of a damaged line or null
     kinds: dict[str, str]
     filetype: str
     delimiter: str | None = None
     header: bool | None = None
+    check_binary: bool = True
 
+    @property
+    def rows(self) -> DataFrame:
+        return self.parsed.drop(DAMAGED)
 
-def first_lines(spark: SparkSession, path: str, lines: int, chars: int | None = None) -> list[str]:
-    """The first lines, each cut to ``chars`` if given, of the first file by name.
 
-    In a folder, a file of one line (perhaps a lone header) is passed over for one with
-    more among the next few.
+def first_lines(spark: SparkSession, path: str, lines: int = SAMPLE_CHARS) -> list[str]:
+    """The first lines of the first file by name that has more than one, and the first
+    line of the first file where none has.
+
+    Only where the first file is empty or a lone header are the lines of all files counted, by
+    Spark; one row comes back.
     """
-    value = F.col("value") if chars is None else F.substring("value", 1, chars)
-    found: list[str] = []
-    for file in sorted(spark.read.text(path).inputFiles())[:FILES_LOOKED_AT]:
-        here = [r[0] for r in spark.read.text(file).select(value).head(max(lines, 2))]
-        if len(here) > len(found):
-            found = here
-        if len(found) > 1:
-            break
-    return found[:lines]
+    text = spark.read.text(path)
+    files = text.inputFiles()
+    found = _head(spark, min(files), lines) if files else []
+    if len(found) < 2 and len(files) > 1:
+        name = F.col("_metadata.file_path").alias("file")
+        longer = text.select(name).groupBy("file").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.min_by("file", F.struct(F.col("n") < 2, "file")).alias("file")
+        ).first()["file"]
+        found = _head(spark, longer, lines) if longer else []
+    return found
+
+
+def _head(spark: SparkSession, file: str, lines: int) -> list[str]:
+    return [r[0] for r in spark.read.text(file).head(max(lines, 2))]
 
 
 def detect_format(first_line: str) -> str:
@@ -82,20 +93,29 @@ def contains_nul(lines: DataFrame, column: str = "value"):
     return lines.select(F.count_if(F.contains(F.col(column), F.char(F.lit(0)))).alias("n_nul"))
 
 
-def reject_binary(spark: SparkSession, path: str) -> None:
-    """Stop at the first NUL found anywhere in the input."""
-    nul = F.contains(F.col("value"), F.lit("\x00"))
-    if not spark.read.text(path).filter(nul).isEmpty():
-        raise BinaryInput(f"{path} holds NUL characters and is probably no text")
+def nul_test(table: TextTable) -> str:
+    """Whether a parsed line holds a NUL character, as SQL. JSON allows none outside of
+    escapes, so there it leaves a damaged line."""
+    columns = [DAMAGED] if table.filetype == "JSON" else table.parsed.columns
+    return " OR ".join(f"coalesce(contains({ident(c)}, char(0)), false)" for c in columns)
 
 
 def column_names(width: int, names: Sequence[str | None] | None = None) -> list[str]:
-    """Given names; blank or missing ones become ``var<i>``."""
+    """Given names; blank or missing ones become ``var<i>``. A name that was there before,
+    in whatever case, gets ``_2``, ``_3`` and so on at its end."""
     given = list(names or [])
     if len(given) > width:
         raise ValueError(f"{len(given)} names for {width} columns")
     given += [None] * (width - len(given))
-    return [name or f"var{i}" for i, name in enumerate(given)]
+    out: list[str] = []
+    for i, name in enumerate(given):
+        name = own = name or f"var{i}"
+        taken, n = {o.lower() for o in out}, 1
+        while own.lower() in taken:
+            n += 1
+            own = f"{name}_{n}"
+        out.append(own)
+    return out
 
 
 def read_delimited(
@@ -108,17 +128,17 @@ def read_delimited(
     infer: str = "regex",
     multiline: bool = False,
     check_binary: bool = True,
+    lines: list[str] | None = None,
 ) -> TextTable:
     """Scan a delimited table. ``sep`` and ``header`` are detected unless given.
 
     Blank cells stay blank text. In a folder every file has the header or none has.
-    ``multiline`` allows line breaks inside quotes, at the
-    price of unsplittable files. The check for NUL characters reads the whole input
-    once; ``check_binary=False`` spares that pass for a trusted source.
+    ``multiline`` allows line breaks inside quotes, at the price of unsplittable files. A line
+    with too few or too many cells is damaged. ``check_binary`` has the use of
+    the table refuse NUL characters. ``lines`` are the first ones, where they are known.
     """
-    if check_binary:
-        reject_binary(spark, path)
-    sample = "\n".join(first_lines(spark, path, SAMPLE_CHARS, SAMPLE_CHARS))[:SAMPLE_CHARS]
+    lines = first_lines(spark, path) if lines is None else lines
+    sample = "\n".join(line[:SAMPLE_CHARS] for line in lines)[:SAMPLE_CHARS]
     dialect = detect_dialect(sample)
     sep = sep or (dialect.delimiter if dialect else DEFAULT_DELIMITER)
     header = detect_header(sample) if header is None else header
@@ -132,7 +152,7 @@ def read_delimited(
         "emptyValue": "",
     }
 
-    head = first_lines(spark, path, 2)
+    head = lines[:2]
     cells = list(csv.reader(head, delimiter=sep, quotechar=quote, skipinitialspace=bool(dialect and dialect.skipinitialspace)))
     first = cells[0] if cells else []
     fields = column_names(len(first), first if header else names)
@@ -140,31 +160,39 @@ def read_delimited(
     values = row[0] if row else []
     sample_row = {f: (values[i] if i < len(values) else None) for i, f in enumerate(fields)}
 
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     # With the schema given, columns go by position and the header line is only skipped.
-    rows = spark.read.schema(schema).option("header", header).option("enforceSchema", "true").options(**options).csv(path)
-    rows = rows.selectExpr(*[f"coalesce({ident(f)}, '') AS {ident(f)}" for f in fields])
-    return TextTable(rows, sample_kinds(rows, sample_row, infer), "CSV", sep, header)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(fields))] + [_DAMAGED_FIELD])
+    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", "true")
+    rows = reader.option("columnNameOfCorruptRecord", DAMAGED).options(**options).csv(path)
+    rows = rows.selectExpr(*[f"coalesce(c{i}, '') AS {ident(f)}" for i, f in enumerate(fields)], DAMAGED)
+    return TextTable(rows, sample_kinds(rows, sample_row, infer), "CSV", sep, header, check_binary)
 
 
-def read_json_lines(spark: SparkSession, path: str, *, infer: str = "regex") -> TextTable:
+_DAMAGED_FIELD = T.StructField(DAMAGED, T.StringType())
+
+
+def read_json_lines(
+    spark: SparkSession, path: str, *, infer: str = "regex", check_binary: bool = True, lines: list[str] | None = None
+) -> TextTable:
     """Scan JSON lines. The columns are the keys of the first object; other keys are
-    ignored and missing ones are null. Nested values stay JSON text."""
-    lines = first_lines(spark, path, 1)
+    ignored and missing ones are null. Nested values stay JSON text. A line that is no
+    object is damaged."""
+    lines = first_lines(spark, path) if lines is None else lines
     first = json.loads(lines[0]) if lines else {}
     fields = list(first)
     numbers = [f for f in fields if isinstance(first[f], (int, float)) and not isinstance(first[f], bool)]
     texts = {f: first[f] if isinstance(first[f], str) else None for f in fields if f not in numbers}
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    rows = spark.read.schema(schema).json(path)
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields] + [_DAMAGED_FIELD])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", DAMAGED).json(path)
     kinds = sample_kinds(rows, texts, infer)
-    return TextTable(rows, {f: "Numeric" if f in numbers else kinds[f] for f in fields}, "JSON")
+    kinds = {f: "Numeric" if f in numbers else kinds[f] for f in fields}
+    return TextTable(rows, kinds, "JSON", check_binary=check_binary)
 
 
 def read_text_table(spark: SparkSession, path: str, **delimited_options) -> TextTable:
     """Scan a file in whichever of the two formats its first line shows."""
-    lines = first_lines(spark, path, 1)
-    infer = delimited_options.get("infer", "regex")
+    lines = first_lines(spark, path)
     if detect_format(lines[0] if lines else "") == "JSON":
-        return read_json_lines(spark, path, infer=infer)
-    return read_delimited(spark, path, **delimited_options)
+        own = {name: delimited_options[name] for name in ("infer", "check_binary") if name in delimited_options}
+        return read_json_lines(spark, path, lines=lines, **own)
+    return read_delimited(spark, path, lines=lines, **delimited_options)

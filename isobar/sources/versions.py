@@ -29,6 +29,40 @@ def read_versions(spark: SparkSession, root: str, versions: list[int], schema: T
     return spark.read.option("basePath", root).schema(numbered).parquet(*paths)
 
 
+def is_complete(spark: SparkSession, root: str, version: int) -> bool:
+    marker, fs = _filesystem(spark, f"{version_path(root, version)}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def write_version(df: DataFrame, root: str, version: int, *partitions: str, format: str = "parquet") -> None:
+    """Write a numbered folder once: one that is complete stays as it is, so that readers
+    never miss it while a batch runs again; one that was broken off is replaced."""
+    if not is_complete(df.sparkSession, root, version):
+        writer = df.write.mode("overwrite").format(format)
+        (writer.partitionBy(*partitions) if partitions else writer).save(version_path(root, version))
+
+
+def days_of(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The day partitions of a numbered folder."""
+    pattern, fs = _filesystem(spark, f"{version_path(root, version)}/day=*")
+    return sorted(s.getPath().getName().partition("=")[2] for s in fs.globStatus(pattern) or [])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _filesystem(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One file, replaced if it is there."""
+    hadoop_path, fs = _filesystem(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _filesystem(spark, path)
     fs.delete(hadoop_path, True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -11,29 +11,36 @@ log = logging.getLogger("isobar.streaming")
 
 
 class StreamHealth(StreamingQueryListener):
-    """Keeps the latest batch figures of every query and warns about empty batches.
+    """Logs the figures of every batch of every query and warns about empty batches and late rows.
 
-    An empty batch is a signal that the producer may be down; the query goes on.
+    An empty batch is a signal that the producer may be down; the query goes on. ``batches`` and
+    ``idle`` show the latest ``keep`` figures; the log has all, and ``late`` the rows that
+    the watermark has kept out so far, by query.
     """
 
     def __init__(self, keep: int = 1000):
         self.batches: deque[dict] = deque(maxlen=keep)
         self.idle: deque[str] = deque(maxlen=keep)
+        self.late: Counter[str] = Counter()
 
     def onQueryStarted(self, event) -> None:
         log.info("started %s", event.name)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.batches.append(
-            {
-                "name": p.name,
-                "batch_id": p.batchId,
-                "rows": p.numInputRows,
-                "rows_per_second": p.processedRowsPerSecond,
-                "elapsed_ms": p.durationMs.get("triggerExecution"),
-            }
-        )
+        figures = {
+            "name": p.name,
+            "batch_id": p.batchId,
+            "rows": p.numInputRows,
+            "rows_per_second": p.processedRowsPerSecond,
+            "elapsed_ms": p.durationMs.get("triggerExecution"),
+            "late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+        }
+        self.batches.append(figures)
+        log.info("batch %s", figures)
+        if figures["late"]:
+            self.late[p.name] += figures["late"]
+            log.warning("%s left out %d late rows", p.name, figures["late"])
         if p.numInputRows == 0:
             self._idle(p.name)
 

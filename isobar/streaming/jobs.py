@@ -9,11 +9,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from isobar.operators.means import station_means, window_means
 from isobar.operators.telegram import (
-    MESSAGE_KEY, accepted, flatten_responses, parse_messages, quarantined, to_messages, within_box,
+    accepted, flatten_responses, parse_messages, quarantined, to_messages, within_box,
 )
 from isobar.sources.lateststate import LatestState
 from isobar.sources.rawstore import RawStore
-from isobar.sources.versions import version_path
+from isobar.sources.versions import write_version
 
 # How often responses are picked up, and how long a batch of means is.
 POLL = "10 seconds"
@@ -37,7 +37,7 @@ def run_acquisition(
     raw: RawStore,
     checkpoint: str,
     *,
-    key: str = MESSAGE_KEY,
+    key: str | None = None,
     box: tuple[float, float, float, float] | None = None,
     every: str = POLL,
     drain: bool = False,
@@ -46,7 +46,8 @@ def run_acquisition(
     """Responses to telegrams; each batch is published and kept in the raw table.
 
     ``box`` is left, bottom, right, top. The ingest time is when the response landed if
-    the stream says so, which makes a repeated batch identical, and else the clock.
+    the stream says so, which makes a repeated batch identical, and else the clock. ``key``
+    replaces the station's id as the key of messages.
     ``drain`` stops once what is there has been handled. Running queries of one session
     differ in ``name``.
     """
@@ -82,7 +83,7 @@ def run_station_means(
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_messages(batch).persist()
         try:
-            quarantined(parsed).write.mode("overwrite").parquet(version_path(quarantine, batch_id))
+            write_version(quarantined(parsed), quarantine, batch_id)
             state.apply(station_means(accepted(parsed)), batch_id)
         finally:
             parsed.unpersist()
@@ -102,10 +103,14 @@ def run_window_means(
     name: str | None = "window_means",
 ) -> StreamingQuery:
     """Means per station and event-time window, written as updates per batch. The rows
-    of the highest ``v`` per window and station are the current ones."""
+    of the highest ``v`` per window and station are the current ones.
+
+    Readings that arrive more than ``delay`` behind the newest are left out;
+    ``StreamHealth`` counts them.
+    """
     means = window_means(accepted(parse_messages(messages)), width, delay)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(version_path(output, batch_id))
+        write_version(batch, output, batch_id)
 
     return _start(means, handle, checkpoint, every, drain, name, mode="update")

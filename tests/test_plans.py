@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from isobar.operators.rawday import clustered, last_write_wins, to_raw_day
 from isobar.operators.telegram import accepted, flatten_responses, parse_messages, to_messages, within_box
+from isobar.plans.queries import QUERIES
 from isobar.plans.stations import as_responses, telegrams
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,17 +16,17 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_workers_no_cross_joins(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_rows_meet_in_one_partition_only_as_aggregates(spark, name):
     """A single-partition exchange is fed by partial aggregates, never by rows."""
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for match in re.finditer(r"Exchange SinglePartition[^\n]*\n([^\n]*)", text):
         assert "partial_" in match.group(1), text
 
@@ -41,21 +41,21 @@ def test_rows_meet_in_one_partition_only_as_aggregates(spark, name):
     ],
 )
 def test_only_used_columns_are_read(spark, name, table, columns):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     schemas = re.findall(rf"{table}\.parquet\].*?ReadSchema: struct<(.*?)>", text)
     assert schemas and all(re.sub(r":\w+", "", s) == columns for s in schemas)
 
 
 @pytest.mark.parametrize("name", ["station_means", "keyed_mean", "window_means", "discrete_histogram", "raw_by_day"])
 def test_groups_shrink_before_the_shuffle(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for match in re.finditer(r"Exchange hashpartitioning[^\n]*\n([^\n]*)", text):
         assert re.search(r"\bHashAggregate.*partial_", match.group(1)), text
 
 
 def test_value_tables_are_not_shuffled_by_field_alone(spark):
     """Shuffles by field carry aggregates only: most rows may belong to one field."""
-    text = plan(queries()["string_profile"](spark, SF_DIR))
+    text = plan(QUERIES["string_profile"](spark, SF_DIR))
     for match in re.finditer(r"Exchange hashpartitioning\(field#\d+, \d+\)[^\n]*\n([^\n]*)", text):
         assert "partial_" in match.group(1), text
 

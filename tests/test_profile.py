@@ -27,8 +27,9 @@ def test_report_of_a_file(spark, people, tmp_path):
     }
     name, age, height = document["Fields"]
     assert name == {
-        "Name": "name", "Type": "String", "NumUniqueValues": 3, "UniqueValues": ["p0", "p1", "p2"], "Mode": "p1",
+        "Name": "name", "Type": "String", "NumUniqueValues": 3, "UniqueValues": f"{meta}.values", "Mode": "p1",
     }
+    assert {r.value for r in spark.read.parquet(f"{meta}.values").collect()} == {"p0", "p1", "p2"}
     assert age == {
         "Name": "age", "Type": "Numeric", "Minimum": 1.0, "Maximum": 8.0, "Range": 7.0, "Average": 4.5,
         "Median": 4.5, "Mode": NO_MODE, "Variance": 5.25, "Standard Deviation": pytest.approx(5.25**0.5),
@@ -39,7 +40,11 @@ def test_report_of_a_file(spark, people, tmp_path):
     assert done.frequencies.filter("field = 'name'").count() == 3
     assert all(os.path.isdir(p) for p in (done.frequencies_path, done.typed.landed))
     done.discard()
-    assert not any(os.path.exists(p) for p in (done.frequencies_path, done.typed.landed))
+    assert os.path.exists(done.frequencies_path) and not os.path.exists(done.typed.landed)
+    unwritten = profile_file(spark, people)
+    assert unwritten.strings.count() == 1
+    unwritten.discard()
+    assert not any(os.path.exists(p) for p in (unwritten.frequencies_path, unwritten.typed.landed))
 
 
 def test_settings():
@@ -74,21 +79,27 @@ def test_blank_rules(spark, gaps):
 def test_json_file(spark, tmp_path):
     path = tmp_path / "rows.json"
     path.write_text("".join(json.dumps({"id": i, "tag": "t", "at": {"x": i % 2}}) + "\n" for i in range(6)))
-    document = report(profile_file(spark, str(path)))
+    done = profile_file(spark, str(path))
+    document = report(done)
     assert document["filetype"] == "JSON" and "FieldSeparator" not in document
     kinds = {f["Name"]: f["Type"] for f in document["Fields"]}
     assert kinds == {"id": "Numeric", "tag": "String", "at": "String"}
-    assert document["Fields"][2]["UniqueValues"] == ['{"x": 0}', '{"x": 1}']
+    assert document["Fields"][2]["NumUniqueValues"] == 2
+    at = done.distinct.filter("field = 'at'").select("value").collect()
+    assert sorted(r[0] for r in at) == ['{"x": 0}', '{"x": 1}']
 
 
 def test_frame(spark):
     df = spark.createDataFrame(
         [(1, "3", "x", {"a": 1}), (2, "4", "x", {"a": 1})], "n int, t string, s string, m map<string, int>"
     ).withColumnRenamed("s", "odd `name`")
-    typed = type_frame(df)
+    with pytest.raises(ValueError, match="first_by"):
+        type_frame(df)
+    typed = type_frame(df, first_by="n")
     assert typed.kinds == {"n": "Numeric", "t": "Numeric", "odd `name`": "String", "m": "String"}
-    fields = {f["Name"]: f for f in report(profile_frame(df))["Fields"]}
-    assert fields["odd `name`"]["Mode"] == "x" and fields["m"]["UniqueValues"] == ['{"a":1}']
+    done = profile_frame(df, first_by="n", land=True)
+    fields = {f["Name"]: f for f in report(done)["Fields"]}
+    assert fields["odd `name`"]["Mode"] == "x" and fields["m"]["Mode"] == '{"a":1}'
     assert fields["t"]["Average"] == 3.5
 
 
@@ -99,7 +110,7 @@ def test_pairs(spark):
 
 
 def test_table_without_rows(spark):
-    document = report(profile_frame(spark.createDataFrame([], "a double, s string")))
+    document = report(profile_frame(spark.createDataFrame([], "a double, s string"), first_by="a"))
     numeric, text = document["Fields"]
     assert numeric["Minimum"] is None and numeric["Median"] is None and numeric["Mode"] == NO_MODE
     assert text["NumUniqueValues"] == 0

@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pytest
+
 from isobar.schemas import RAW_DAY
 from isobar.sources.rawstore import RawStore
+from isobar.sources.versions import complete_versions
 
 FIELDS = "id int, temp double, humidity double, pressure double, winddirection double, windspeed double, " \
          "time bigint, arrival bigint"
@@ -74,10 +77,41 @@ def test_single_precision(spark, tmp_path):
 
 
 def test_archive_of_closed_days(spark, tmp_path):
-    store, archive = RawStore(str(tmp_path / "raw")), str(tmp_path / "archive")
+    archive = str(tmp_path / "archive")
+    store = RawStore(str(tmp_path / "raw"), archive_root=archive)
     store.write(telegrams(spark, (1, 5.0, JANUARY, 0), (1, 6.0, FEBRUARY, 0)), 0, "arrival")
     store.write(telegrams(spark, (1, 8.0, JANUARY, 0)), 1, "arrival")
     for _ in range(2):
-        store.archive(spark, archive, "2024-01-01", "2024-01-31")
-    store.archive(spark, archive, "2024-02-01", "2024-02-29")
+        store.archive(spark, "2024-01-31")
+    # The first batch has an open day, and its closed one must not come back over the second's.
+    assert complete_versions(spark, store.root) == [0, 1]
+    assert [r[3] for r in brief(store.read(spark))] == [8.0, 6.0]
+    store.archive(spark, "2024-02-29")
+    assert complete_versions(spark, store.root) == []
     assert [r[3] for r in brief(spark.read.parquet(archive))] == [8.0, 6.0]
+    assert [r[3] for r in brief(store.read(spark))] == [8.0, 6.0]
+    # A late batch for a closed day: first over the archive, then in it.
+    store.write(telegrams(spark, (1, 9.0, JANUARY, 0)), 2, "arrival")
+    assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0]
+    store.archive(spark, "2024-02-29")
+    assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0]
+    assert complete_versions(spark, store.root) == []
+    with pytest.raises(ValueError):
+        RawStore(store.root).archive(spark, "2024-01-31")
+
+
+def test_number_of_batches_read_stays_bounded(spark, tmp_path):
+    store = RawStore(str(tmp_path / "raw"), archive_root=str(tmp_path / "archive"))
+    for k in range(12):
+        store.write(telegrams(spark, (1, float(k), JANUARY + k, 0)), k, "arrival")
+        if k % 4 == 3:
+            store.archive(spark, "2024-01-31")
+        assert len(complete_versions(spark, store.root)) <= 3
+    assert [r[3] for r in brief(store.read(spark))] == [float(k) for k in range(12)]
+
+
+def test_complete_batch_is_left_alone(spark, tmp_path):
+    store = RawStore(str(tmp_path))
+    store.write(telegrams(spark, (1, 5.0, JANUARY, 0)), 0, "arrival")
+    store.write(telegrams(spark, (1, 6.0, JANUARY, 0)), 0, "arrival")
+    assert [r[3] for r in brief(store.read(spark))] == [5.0]

@@ -4,6 +4,7 @@ import time
 import pytest
 
 from isobar.operators.means import window_means
+from isobar.plans.queries import QUERIES
 from isobar.sources.lateststate import LatestState
 from isobar.sources.messages import (
     file_messages, kafka_messages, landed_responses, publish_to_files, topic_set,
@@ -81,7 +82,7 @@ def test_acquisition(spark, tmp_path):
         ).awaitTermination()
     assert [(r.id, r.temperature) for r in raw.read(spark).collect()] == [("1", 10.0)]
     sent = spark.read.json(version_path(str(tmp_path / "out"), 0)).collect()
-    assert len(sent) == 1 and sent[0].key == "unitedkingdom"
+    assert len(sent) == 1 and sent[0].key == "1"
     value = json.loads(sent[0].value)
     assert value["id"] == 1 and "observed_at" not in value
     assert value["time"] == int((inbox / "r1.json").stat().st_mtime)
@@ -155,3 +156,25 @@ def test_topics():
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         kafka_messages(spark, "localhost:9092", "test")
+
+
+@pytest.mark.parametrize("name", ["stream_latest_state", "stream_window_means", "stream_acquire_raw"])
+def test_registered_streams_over_a_folder_of_parts(spark, tmp_path, name):
+    """A table of three part files gives what one file gives."""
+    single = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{single}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    found, expected = (sorted(map(tuple, QUERIES[name](spark, d).collect()), key=repr) for d in (str(tmp_path), single))
+    assert len(found) > 0 and found == expected
+
+
+def test_late_rows_are_counted():
+    class Progress:
+        class state:  # noqa: N801
+            numRowsDroppedByWatermark = 3
+
+        name, batchId, numInputRows, processedRowsPerSecond, durationMs, stateOperators = "w", 1, 5, 1.0, {}, [state]
+
+    health = StreamHealth()
+    for _ in range(2):
+        health.onQueryProgress(type("Event", (), {"progress": Progress}))
+    assert health.late == {"w": 6} and health.batches[-1]["late"] == 3

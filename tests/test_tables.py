@@ -1,5 +1,6 @@
 import pytest
 
+from isobar.plans.profile import InvalidValues, type_text_table
 from isobar.sources.tables import (
     BinaryInput, column_names, contains_nul, detect_format, first_lines, read_text_table,
 )
@@ -80,9 +81,29 @@ def test_inference_by_cast(spark, tmp_path):
 
 
 def test_binary_is_refused(spark, tmp_path):
-    with pytest.raises(BinaryInput):
-        table(spark, tmp_path / "t", "a,b\n1,2\n3,\x00\n")
-    assert table(spark, tmp_path / "t", "a,b\n1,2\n3,4\n", check_binary=False).delimiter == ","
+    for text in ("a,b\n1,2\n3,\x00\n", "a,b\n1,2\n3,4,\x00\n", '{"a": 1}\n{"a": "\x00"}\n'):
+        given = {"sep": ",", "header": True}
+        with pytest.raises(BinaryInput):
+            type_text_table(table(spark, tmp_path / "t", text, **given))
+        assert type_text_table(table(spark, tmp_path / "t", text, check_binary=False, **given)).df.count() == 2
+    escaped = '{"a": "x"}\n{"a": "\\u0000"}\n'
+    assert type_text_table(table(spark, tmp_path / "t", escaped)).n_malformed == 0
+
+
+def test_damaged_lines_are_counted(spark, tmp_path):
+    done = type_text_table(table(spark, tmp_path / "t", "n,s\n1,a\n2\n3,b,more\nnan,c\nx,d\n", sep=",", header=True))
+    assert (done.n_malformed, done.n_blank, done.n_invalid, done.n_nan) == (2, {"n": 0}, {"n": 1}, {"n": 1})
+    done = type_text_table(table(spark, tmp_path / "t", '{"a": 1}\n{"a": 2\n{"a": 3}\n'))
+    assert (done.n_malformed, done.n_blank) == (1, {"a": 1})
+    for text in ("n,s\n1,a\n2\n", "n,s\n1,a\nnan,b\n", "n,s\n1,a\nx,b\n", '{"a": 1}\n{"a"\n'):
+        with pytest.raises(InvalidValues):
+            type_text_table(table(spark, tmp_path / "t", text, sep=",", header=True), strict=True)
+
+
+def test_repeated_header_names(spark, tmp_path):
+    t = table(spark, tmp_path / "t", "a,A,a_2,b,a\n1,2,3,4,5\n", sep=",", header=True)
+    assert t.rows.columns == ["a", "A_2", "a_2_2", "b", "a_3"]
+    assert rows(t) == [("1", "2", "3", "4", "5")]
 
 
 def test_nul_count(spark):
@@ -103,3 +124,17 @@ def test_first_lines_pass_over_a_lone_header(spark, tmp_path):
     assert first_lines(spark, str(tmp_path), 2) == ["n,s", "1,x"]
     t = read_text_table(spark, str(tmp_path), sep=",", header=True)
     assert rows(t) == [("1", "x"), ("2", "y")]
+
+
+def test_first_lines_after_many_lone_headers(spark, tmp_path):
+    for k in range(20):
+        (tmp_path / f"a{k:02}").write_text("temp,s\n" if k % 2 else "")
+    (tmp_path / "b").write_text("temp,s\n1,x\n2,y\n3,z\n")
+    t = read_text_table(spark, str(tmp_path), sep=",", header=True)
+    assert t.kinds == {"temp": "Numeric", "s": "String"} and len(rows(t)) == 3
+
+
+def test_only_lone_headers(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"a{k}").write_text("temp,s\n")
+    assert rows(read_text_table(spark, str(tmp_path), sep=",", header=True)) == []

@@ -9,7 +9,7 @@ STATION = {
     "id": 1, "name": "Alpha", "coord": {"lon": -1.5, "lat": 50.1},
     "main": {"temp": 10.0, "temp_min": 9.0, "temp_max": 11.0, "pressure": 1000.0, "humidity": 60},
     "dt": 1700000000, "wind": {"speed": 2.0, "deg": 90.0}, "clouds": {"all": 80},
-    "weather": [{"id": 803, "main": "Clouds", "description": "broken clouds", "icon": "04n"}],
+    "weather": [{"id": 1, "main": "Dry", "description": "dry and still", "icon": "x1"}],
 }
 TELEGRAMS = [
     {"id": 1, "location": "Alpha", "latitude": 50.1, "longitude": -1.5, "temp": 10.0, "pressure": 1000.0,
@@ -21,7 +21,7 @@ TELEGRAMS = [
 
 def responses(spark, *stations_lists):
     docs = [
-        json.dumps({"cod": "200", "calctime": 0.0059, "cnt": len(s) + extra, "list": s})
+        json.dumps({"cod": "200", "calctime": 0.25, "cnt": len(s) + extra, "list": s})
         for s, extra in stations_lists
     ]
     return spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "n int, value string")
@@ -56,7 +56,7 @@ def test_ingest_clock(spark):
 
 def test_envelope(spark):
     df = responses(spark, ([STATION], 4))
-    assert tuple(telegram.response_envelope(df).head()) == (200, 0.0059, 5, 1)
+    assert tuple(telegram.response_envelope(df).head()) == (200, 0.25, 5, 1)
 
 
 def test_box_is_closed(spark):
@@ -83,7 +83,8 @@ def test_whole_numbers_and_absent_fields(spark):
 def test_round_trip(spark):
     df = telegram.accepted(telegram.parse_messages(messages(spark, *TELEGRAMS)))
     sent = telegram.to_messages(df)
-    assert {r.key for r in sent.collect()} == {telegram.MESSAGE_KEY}
+    assert {r.key for r in sent.collect()} == {"1"}
+    assert {r.key for r in telegram.to_messages(df, telegram.MESSAGE_KEY).collect()} == {telegram.MESSAGE_KEY}
     again = telegram.accepted(telegram.parse_messages(sent))
     assert sorted(again.collect()) == sorted(df.collect())
 

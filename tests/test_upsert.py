@@ -94,7 +94,21 @@ def test_state_on_disk(spark, tmp_path, compact_every):
         expected = upsert(expected, resolve_batch(batch))
         assert rows(state.read(spark)) == rows(expected)
     assert sorted(r.id for r in state.ids(spark).collect()) == [1, 2, 3, 4]
-    assert brief(state.read(spark, as_of=0)).keys() == {1, 2}
+    if compact_every == 60:
+        assert brief(state.read(spark, as_of=0)).keys() == {1, 2}
+    else:
+        with pytest.raises(ValueError, match="pruned"):
+            state.read(spark, as_of=0)
+
+
+def test_many_batches_keep_few_folders(spark, tmp_path):
+    state = LatestState(str(tmp_path / "state"), compact_every=3)
+    one = batches(spark)[0]
+    for k in range(20):
+        state.apply(one, k)
+        folders = complete_versions(spark, f"{state.root}/batch") + complete_versions(spark, f"{state.root}/base")
+        assert len(folders) <= 2 + 2 * 3
+    assert brief(state.read(spark)).keys() == {1, 2}
 
 
 @pytest.mark.parametrize("compact_every", [1, 2])
