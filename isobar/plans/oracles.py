@@ -230,6 +230,14 @@ SELECT 'csv', count(*) FILTER (WHERE k % 5 IN (3, 4)), count(*) FILTER (WHERE k
        count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 = 5),
        count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 <> 5 AND k % 13 <> 6) FROM o"""
 
+
+def _acquired(batches: int) -> str:
+    """The last batch that has a station and second counts, and its last reading of them."""
+    return f"""WITH flat AS ({_FLAT}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id, time ORDER BY event_id % {batches} DESC, observed_at DESC) AS rn FROM flat)
+{_RAW} FROM ranked WHERE rn = 1"""
+
+
 SQL: dict[str, str] = {
     "stream_latest_state_batches": _four_batches(),
     "stream_acquire_messages": f"""WITH flat AS ({_FLAT})
@@ -250,9 +258,8 @@ FROM events GROUP BY event_type""",
     "window_means": _WINDOW_MEANS,
     "stream_window_means": _WINDOW_MEANS,
     "stream_latest_state": f"WITH {_T}, {_resolved('cur', 'true')} SELECT id, place, location, {_STATE}, time FROM cur",
-    "stream_acquire_raw": f"""WITH flat AS ({_FLAT}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY id, time ORDER BY observed_at DESC) AS rn FROM flat)
-{_RAW} FROM ranked WHERE rn = 1""",
+    "stream_acquire_raw": _acquired(1),
+    "stream_acquire_raw_batches": _acquired(3),
     "telegram_parse": f"WITH {_T} SELECT {_COLUMNS} FROM t",
     "telegram_quarantine": f"""WITH {_T}
 SELECT 'malformed' AS rejected, CAST(id AS VARCHAR) AS id, location, '' AS time FROM t

@@ -123,13 +123,13 @@ def stream_latest_state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(state.read(spark))
 
 
-def _acquired(spark: SparkSession, sf_dir: str) -> tuple[RawStore, str]:
-    """The raw store and the folder of messages after two batches of responses."""
+def _acquired(spark: SparkSession, sf_dir: str, batches: int) -> tuple[RawStore, str]:
+    """The raw store and the folder of messages after so many batches of responses."""
     root = shared_dir(spark, "acquire")
     landed = as_responses(telegrams(spark, sf_dir)).select("event_id", "value", "landed_at")
     raw = RawStore(f"{root}/raw")
-    for half in (0, 1):
-        part = landed.where(F.col("event_id") % 2 == half).drop("event_id")
+    for k in range(batches):
+        part = landed.where(F.col("event_id") % batches == k).drop("event_id")
         part.write.mode("append").parquet(f"{root}/landed")
         stream = spark.readStream.schema(part.schema).parquet(f"{root}/landed")
         run_acquisition(
@@ -139,12 +139,16 @@ def _acquired(spark: SparkSession, sf_dir: str) -> tuple[RawStore, str]:
 
 
 def stream_acquire_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_time(_acquired(spark, sf_dir)[0].read(spark))
+    return _plain_time(_acquired(spark, sf_dir, 1)[0].read(spark))
+
+
+def stream_acquire_raw_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_time(_acquired(spark, sf_dir, 3)[0].read(spark))
 
 
 def stream_acquire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was published."""
-    _, path = _acquired(spark, sf_dir)
+    _, path = _acquired(spark, sf_dir, 2)
     messages = spark.read.schema(MESSAGE).option("recursiveFileLookup", "true").json(path)
     return telegram.accepted(telegram.parse_messages(messages, keep=["key"]))
 
@@ -455,7 +459,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         station_means, station_means_sql, keyed_mean, window_means, stream_window_means,
-        stream_latest_state, stream_latest_state_batches, stream_acquire_raw, stream_acquire_messages,
+        stream_latest_state, stream_latest_state_batches, stream_acquire_raw, stream_acquire_raw_batches, stream_acquire_messages,
         landed_responses, raw_file_order, headerless_names, profile_damaged, profile_report, telegram_parse, telegram_quarantine,
         telegram_serialize, response_flatten, response_envelope, bbox_filter,
         csv_reading_parse, date_render, upsert_classify, station_upsert, raw_by_day,
