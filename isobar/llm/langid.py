@@ -33,6 +33,8 @@ PART_BYTES = 1024
 TAKEN_BYTES = 4096
 LEVEL = 3
 MARGIN = 0.01
+#: Every task holds a dictionary for each language; more is an error, not a cut.
+MAX_LANGUAGES = 1000
 SLICE_BYTES = 4 << 20
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
@@ -51,7 +53,10 @@ def dictionaries(
     )
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     gain = F.least(F.octet_length("text"), F.lit(TAKEN_BYTES))
-    found = rows.groupBy("lang").agg(F.sum(gain).alias("gain")).where("gain > 0")
+    totals = rows.groupBy("lang").agg(F.sum(gain).alias("gain")).where("gain > 0").limit(MAX_LANGUAGES + 1).collect()
+    if len(totals) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: {lang_col} seems to hold something else")
+    found = docs.sparkSession.createDataFrame([tuple(r) for r in totals], "lang string, gain long")
     # Three times as much as needed, in expectation: copies and white space fall away.
     taken = rows.join(F.broadcast(found), "lang").where(chance * F.col("gain") <= 3.0 * size)
 

@@ -99,7 +99,32 @@ QUERIES: dict[str, Query] = {
         op7_toxicity, op8_license_scan, op9_simhash, op10_language_id,
     )
 }
+_CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+placed AS (
+    SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS opens,
+        length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS text_chars,
+        length(replace(replace(role, '\', '\\'), '<|', '<\|')) AS role_chars
+    FROM turns
+),
+whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+        -- A message opens with <|role|>, the role and <|body|> and closes with <|end|>; <|turn|> parts its texts.
+        sum(text_chars + CASE WHEN opens THEN 8 + role_chars + 8 + 7 ELSE 8 END) AS formatted_chars
+    FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+    CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM whole"""
+
 SQL: dict[str, str] = {
+    "op4_chat_formatting": _CHAT,
     "op8_license_scan": licenses.sql(
         "doc_id", "concat_ws('/', source, (doc_id // 1000)::VARCHAR, doc_id::VARCHAR)", "documents"
     ),

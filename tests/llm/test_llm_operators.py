@@ -453,9 +453,9 @@ def test_components_of_chains_and_stars(spark):
 # --- licences -----------------------------------------------------------------------
 
 
-def test_licenses_match_sql(spark):
-    sf = "/root/testdata/sf0.001"
-    assert differences(queries.op8_license_scan(spark, sf), connect(sf), queries.SQL["op8_license_scan"]) == []
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_match_sql(spark, name):
+    assert differences(queries.QUERIES[name](spark, SF), connect(SF), queries.SQL[name]) == []
 
 
 def test_licence_inheritance(spark):
