@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from isobar.llm import decontamination, packing, quality, simhash, toxicity
+from isobar.llm.components import written
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = {}
     for name, stage in corpus_pipeline.STAGES:
-        result = corpus_pipeline.written(stage(spark, docs, SF), name)
+        result = written(stage(spark, docs, SF), name)
         out[name] = ([r.asDict() for r in docs.collect()], [r.asDict() for r in result.collect()])
         docs = result
     return out
