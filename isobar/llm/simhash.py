@@ -38,8 +38,8 @@ EVEN = 0x5555555555555555
 SPLIT = 8192
 #: Cells up to this size compare row by row, shifted; larger ones by a walk over neighbours.
 SMALL = 256
-#: Links of a cell for each row before a forest and the nearest neighbours stand for them.
-PER_ROW = 8
+#: Links of a cell for each row before a forest and the nearest neighbour stand for them.
+PER_ROW = 4
 #: More broadcast rows than this (24 bytes each) are joined by a shuffle instead.
 BROADCAST_ROWS = 100_000
 SLICE_BYTES = 2 << 20
@@ -154,7 +154,7 @@ def close_to(fps: list[np.ndarray], a: np.ndarray, b: np.ndarray | int, max_bits
 
 
 def walked(fps: list[np.ndarray], max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links in one cell, and each row's nearest neighbours."""
+    """A spanning forest of the links in one cell, and each row's nearest neighbour."""
     rows = np.arange(len(fps[0]))
     unseen = np.ones(len(rows), dtype=bool)
     a, b = [], []
@@ -169,8 +169,8 @@ def walked(fps: list[np.ndarray], max_bits: int) -> tuple[np.ndarray, np.ndarray
             unseen[new] = False
             waiting += new.tolist()
             bits = sum(np.bitwise_count(fp[near] ^ fp[k]).astype(int) for fp in fps)
-            nearest = near[np.argsort(bits, kind="stable")[: PER_ROW + 1]]
-            other = np.union1d(new, nearest[nearest != k])
+            bits[near == k] = 999
+            other = np.union1d(new, near[bits.argmin()]) if len(near) > 1 else new
             a.append(np.full(len(other), k))
             b.append(other)
     return np.concatenate(a), np.concatenate(b)
@@ -207,7 +207,7 @@ def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
     """(a, b): nodes (columns node, fp and perhaps fp2) whose fingerprints differ in ``max_bits``
     bits or fewer, each of them. Grids are laid over fp.
 
-    Where a cell has many links, a spanning forest of them and the nearest neighbours.
+    Where a cell has many links, a spanning forest of them and each row's nearest neighbour.
     """
     code = embedded(F.col("fp"))
     fps = [c for c in ("fp", "fp2") if c in nodes.columns]
@@ -243,7 +243,8 @@ def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
         if len(open_rows[0]):
             yield pairs(*open_rows)
 
-    dealt = cells.repartition("cell").sortWithinPartitions("cell")
+    # Rows of a cell in the order of nodes: cells that share members then grow the same forests.
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "node")
     return dealt.select("cell", "node", *fps).mapInArrow(run, "a long, b long").distinct()
 
 
