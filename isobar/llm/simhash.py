@@ -293,6 +293,9 @@ def similar_texts(
     candidates = written(links(sets.select("node", "fp", "fp2"), grids, max_bits), "candidates")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
+    involved = written(involved, "involved")
+    if involved.count() <= BROADCAST_ROWS:  # texts then stay where they are
+        involved = F.broadcast(involved)
     texts = texts.join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +324,7 @@ def drop_near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
     max_bits: int = 20, recall: float = 0.99,
 ) -> DataFrame:
-    """One whole row of each group of texts alike: that with the smallest id, ties by text.
+    """One whole row of each group of texts alike: that with the smallest id, ties by a hash of the text.
 
     Texts are alike if the Jaccard similarity of their ``size``-word shingles is ``similarity``
     or more; groups join what a chain of such pairs joins. A pair that is just similar enough is
@@ -332,9 +335,13 @@ def drop_near_duplicates(
     roots = similar_texts(
         docs, text_col=text_col, size=size, similarity=similarity, max_bits=max_bits, recall=recall
     )
-    row = F.struct(*[col(n) for n in docs.columns])
-    rows = docs.select(
-        row.alias("kept"), F.xxhash64(text_of(text_col)).alias("node"), F.struct(col(id_col), text_of(text_col)).alias("rank")
+    node = F.xxhash64(text_of(text_col))
+    # Which rows stay is found without their texts; those move once, to the kept keys.
+    small = docs.select(col(id_col).alias("id"), node.alias("node"))
+    chosen = small.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
+        F.min(F.struct("id", "node")).alias("least")
     )
-    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return rows.groupBy("root").agg(F.min_by("kept", "rank").alias("kept")).select("kept.*")
+    keys = chosen.select(F.xxhash64("least.id", "least.node").alias("key"))
+    rows = docs.select(F.struct(*[col(n) for n in docs.columns]).alias("kept"), F.xxhash64(col(id_col), node).alias("key"))
+    # Rows that share id and text are copies too.
+    return rows.join(keys, "key", "left_semi").groupBy("key").agg(F.first("kept").alias("kept")).select("kept.*")
