@@ -36,6 +36,8 @@ from isobar.llm.components import components, written
 SEGMENTS = 32
 EVEN = 0x5555555555555555
 SPLIT = 8192
+#: Shingles of the texts of one block, eight bytes each.
+SPLIT_HASHES = 2 << 20
 #: Cells up to this size compare row by row, shifted; larger ones by a walk over neighbours.
 SMALL = 256
 #: Links of a cell for each row before a forest and the nearest neighbour stand for them.
@@ -274,12 +276,99 @@ def simhash_components(
 # --- documents that are alike --------------------------------------------------------
 
 
+def forest(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between sets, whose Jaccard similarity is ``similarity`` or more.
+
+    Every row is compared with all rows not yet reached, so rows link in the forest exactly if a chain
+    of links joins them.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    values, token = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    owner = np.repeat(np.arange(n), sizes)
+    # Rows by token, for sets that share little; the tokens of what is left, for those that share much.
+    by = np.argsort(token, kind="stable")
+    holders, first = owner[by], np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(values)))])
+    spread = np.bincount(owner, weights=(first[1:] - first[:-1])[token], minlength=n)
+    unseen, mark = np.ones(n, dtype=bool), np.zeros(len(values), dtype=bool)
+    left_token, left_owner = token, owner
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for root in range(n):
+        if not unseen[root]:
+            continue
+        unseen[root], waiting = False, [root]
+        while waiting and unseen.any():
+            k = waiting.pop()
+            own = token[starts[k] : starts[k + 1]]
+            if len(left_token) > 2 * np.dot(unseen, sizes):
+                stay = unseen[left_owner]
+                left_token, left_owner = left_token[stay], left_owner[stay]
+            if spread[k] < len(left_token):
+                met = np.concatenate([np.zeros(0, np.int64), *(holders[first[t] : first[t + 1]] for t in own)])
+            else:
+                mark[own] = True
+                met = left_owner[mark[left_token]]
+                mark[own] = False
+            common = np.bincount(met, minlength=n)
+            new = np.flatnonzero(unseen & (common > 0) & (common >= similarity * (sizes + sizes[k] - common)))
+            unseen[new] = False
+            waiting += new.tolist()
+            a.append(np.full(len(new), k))
+            b.append(new)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def alike(held: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links of a similarity or more that join what all such links in a family join.
+
+    ``held`` has family, node and set. A family that is too much for a task is dealt in blocks to pairs of blocks.
+    """
+    weights = held.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("set")).alias("n_hashes"))
+    blocks = F.ceil(F.greatest(F.col("n") / SPLIT, F.col("n_hashes") / SPLIT_HASHES)).cast("int")
+    hot = written(weights.select("family", blocks.alias("blocks")).where("blocks > 1"), "hot-families")
+    n_hot = hot.count()
+    dealt = held.select(F.xxhash64("family").alias("share"), "node", "set", "family")
+    if n_hot:
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        shares = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda k: F.xxhash64("family", F.least(k, own), F.greatest(k, own)),
+        )
+        dealt = dealt.join(F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot, "family", "left").select(
+            F.explode(F.when(F.col("blocks").isNull(), F.array("share")).otherwise(shares)).alias("share"), "node", "set"
+        )
+
+    def linked(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = forest(sets, similarity)
+        node = np.array(nodes, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, sets = None, [], []
+        for batch in batches:
+            rows = zip(batch.column("share").to_pylist(), batch.column("node").to_pylist(), batch.column("set"), strict=True)
+            for share, node, held_set in rows:
+                if share != now and nodes:
+                    yield linked(nodes, sets)
+                    nodes, sets = [], []
+                now = share
+                nodes.append(node)
+                sets.append(held_set.values.to_numpy().copy())
+        if nodes:
+            yield linked(nodes, sets)
+
+    dealt = dealt.select("share", "node", "set").repartition("share").sortWithinPartitions("share", "node")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def similar_texts(
     docs: DataFrame, *, text_col: str, size: int, similarity: float, max_bits: int, recall: float
 ) -> DataFrame:
     """(node, root) over hashes of texts: groups linked by Jaccard similarity of word shingles.
 
-    Candidates differ in ``max_bits`` of each fingerprint at most, and are verified on the sets of shingles.
+    Candidates differ in ``max_bits`` of each fingerprint at most. They only say which texts may belong
+    together: in each family that they join, all pairs are up for the check on the sets of shingles.
     """
     found = written(
         fingerprints(docs, text_col=text_col, size=size, as_sets=True, keep={"node": F.xxhash64(text_of(text_col))})
@@ -291,12 +380,12 @@ def similar_texts(
     same = found.join(sets.select("shingles", F.col("node").alias("a")), "shingles").select("a", F.col("node").alias("b"))
     grids = sampled_grids(sets.count(), expected_change(similarity), recall)
     candidates = written(links(sets.select("node", "fp", "fp2"), grids, max_bits), "candidates")
-    involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    groups = components(candidates, "a", "b").select("node", F.col("root").alias("family"))
+    groups = written(groups, "families")
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
-    involved = written(involved, "involved")
-    if involved.count() <= BROADCAST_ROWS:  # texts then stay where they are
-        involved = F.broadcast(involved)
-    texts = texts.join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+    # Texts stay where they are if the rows to join are few.
+    rows = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
+    texts = texts.join(rows, "node").groupBy("node", "family").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,18 +395,12 @@ def similar_texts(
                     for t in part.column("text").cast(pa.binary()).to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(sets_of, pa.list_(pa.int64()))], names=["node", "set"]
+                    [part.column("family"), part.column("node"), pa.array(sets_of, pa.list_(pa.int64()))],
+                    names=["family", "node", "set"],
                 )
 
-    held = written(texts.mapInArrow(run, "node long, `set` array<long>"), "sets")
-    common = F.size(F.array_intersect("x", "y"))
-    alike = (
-        candidates.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-        .join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        .where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
-        .select("a", "b")
-    )
-    return components(alike.unionByName(same), "a", "b")
+    held = written(texts.mapInArrow(run, "family long, node long, `set` array<long>"), "sets")
+    return components(alike(held, similarity).unionByName(same), "a", "b")
 
 
 def drop_near_duplicates(

@@ -444,6 +444,47 @@ def test_near_duplicates_by_jaccard(spark):
     assert expected <= kept and len(kept - expected) <= 1
 
 
+def _variants(rng, n, words=180, edits=(1, 6), tree=True):
+    """Texts each edited from an earlier one (or all from the first), most of them close to 0.8 alike."""
+    vocabulary = [f"w{k}" for k in range(5000)]
+    out = [rng.choices(vocabulary, k=words)]
+    while len(out) < n:
+        own = list(rng.choice(out) if tree else out[0])
+        for _ in range(rng.randrange(*edits)):
+            own[rng.randrange(words)] = rng.choice(vocabulary)
+        out.append(own)
+    return [" ".join(x) for x in out]
+
+
+def _roots_by_jaccard(texts, similarity=0.8):
+    """The smallest row that chains of pairs join with a row; all pairs are compared."""
+    sets = [frozenset(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    root = list(range(len(sets)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    return root
+
+
+def test_near_duplicates_in_a_family_of_many_variants(spark, monkeypatch):
+    """Hundreds of variants around the threshold meet in the same cells; most links there fail the check."""
+    rng = random.Random(3)
+    texts = _variants(rng, 600) + _variants(rng, 300, edits=(4, 9), tree=False)
+    expected = _roots_by_jaccard(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert set(expected) <= kept and len(kept - set(expected)) <= 0.02 * len(texts)
+
+    sets = [np.unique(simhash.shingle_hashes(t.encode(), 5)).view(np.int64).tolist() for t in texts]
+    held = spark.createDataFrame([(1, k, x) for k, x in enumerate(sets)], "family long, node long, `set` array<long>")
+    for split, hashes in ((simhash.SPLIT, simhash.SPLIT_HASHES), (200, 1 << 30), (simhash.SPLIT, 20_000)):
+        monkeypatch.setattr(simhash, "SPLIT", split)
+        monkeypatch.setattr(simhash, "SPLIT_HASHES", hashes)
+        roots = dict(components.components(simhash.alike(held, 0.8), "a", "b").collect())
+        assert [roots.get(k, k) for k in range(len(texts))] == expected
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(200)] + [(1000, 1000 + k) for k in range(1, 300)] + [(5, 5)]
     roots = dict(components.components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect())
