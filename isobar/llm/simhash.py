@@ -7,16 +7,18 @@ The join. A fingerprint is embedded as 32 counts, the set bits of its 2-bit segm
 one bit changes one count by one, so the Manhattan distance of two embeddings never exceeds the
 number of differing bits. Counts are kept in unary (00, 01, 11), which makes an embedding 64 bits
 again and its Manhattan distance one exclusive-or and a bit count. Grids of cell width one over
-some of the segments find candidates; the lower bound and then the exact distance decide.
-
-* ``exact_grids``: the segments fall into ``max_bits + 3`` runs. Within the radius at most
-  ``max_bits`` runs differ, so three agree: one grid for each three runs finds every pair.
-* ``sampled_grids``: for wide radii, so many random sets of segments that a pair is found with a
-  given probability. A second fingerprint, of other hashes, then has to be as close as the first.
+some of the segments find candidates; the lower bound and then the exact distance decide. The
+segments fall into ``max_bits + 3`` runs. Within the radius at most ``max_bits`` runs differ, so
+three agree: one grid for each three runs (``exact_grids``) finds every pair.
 
 Rows are distinct fingerprints, so copies are one row. A cell gives a spanning forest of its
 links once they are many, never all pairs; one with more than ``SPLIT`` rows is dealt in
 blocks to pairs of blocks, each a task's share of bounded size.
+
+Texts that are alike (``drop_near_duplicates``) differ in too many bits for that. Their candidates share one
+of several bands of ``BAND`` minimum hashes of their shingles, each minimum under a hash of its own. Two sets
+of Jaccard similarity s agree in a minimum with chance s, whatever their sizes and the number of
+rows, and the minima are drawn apart, so a pair is missed with chance (1 - s**BAND)**bands.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from isobar.llm.common import col, id_type, mixed, slices, text_of
+from isobar.llm.common import GOLDEN, col, id_type, mixed, slices, text_of
 from isobar.llm.components import components, written
 
 SEGMENTS = 32
@@ -45,6 +47,8 @@ PER_ROW = 4
 #: More broadcast rows than this (24 bytes each) are joined by a shuffle instead.
 BROADCAST_ROWS = 100_000
 SLICE_BYTES = 2 << 20
+#: Minimum hashes of a band: texts that are not alike should hardly ever share one.
+BAND = 8
 SEED = 42
 
 
@@ -72,31 +76,19 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, *, text_col: str, size: int, keep: dict[str, Column], as_sets: bool = False) -> DataFrame:
-    """The columns of ``keep`` and the fingerprint ``fp``. A null text is empty; its fingerprint is zero.
-
-    ``as_sets`` counts a shingle once and adds a second fingerprint ``fp2`` and a hash ``shingles`` of the set.
-    """
+def fingerprints(docs: DataFrame, *, text_col: str, size: int, keep: dict[str, Column]) -> DataFrame:
+    """The columns of ``keep`` and the fingerprint ``fp``. A null text is empty; its fingerprint is zero."""
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], text_of(text_col).alias("text"))
-    names, made = list(keep), ["fp", "fp2", "shingles"] if as_sets else ["fp"]
-    schema = T.StructType(
-        [*(T.StructField(n, id_type(rows, n)) for n in keep), *(T.StructField(n, T.LongType()) for n in made)]
-    )
+    names = list(keep)
+    schema = T.StructType([*(T.StructField(n, id_type(rows, n)) for n in keep), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                found: list[tuple] = []
-                for text in part.column("text").cast(pa.binary()).to_pylist():
-                    hashes = shingle_hashes(text, size)
-                    if as_sets:
-                        hashes = np.unique(hashes)
-                        of_set = xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63)
-                        found.append((majority(hashes), majority(mixed(hashes)), of_set))
-                    else:
-                        found.append((majority(hashes),))
-                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], names=[*names, *made])
+                found = [majority(shingle_hashes(t, size)) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(n) for n in names), pa.array(found, pa.int64())], names=[*names, "fp"]
+                )
 
     return rows.mapInArrow(run, schema)
 
@@ -122,24 +114,6 @@ def exact_grids(max_bits: int) -> list[int]:
     return [mask_of(sum(chosen, [])) for chosen in itertools.combinations(groups, 3)]
 
 
-def expected_change(similarity: float) -> float:
-    """The share of bits that differ between two sets of equal size and this Jaccard similarity."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def sampled_grids(rows: int, changed: float, recall: float, mates: int = 64) -> list[int]:
-    """Grids that find a pair whose bits differ with chance ``changed`` with chance ``recall``.
-
-    They hold so many segments that a row has ``mates`` chance neighbours in a cell at most.
-    """
-    chance = 0.375  # of equal counts of two random bits
-    same = (1 - changed) ** 2 + changed**2 / 2
-    width = min(SEGMENTS, max(1, math.ceil(math.log(max(rows, 1) / mates) / -math.log(chance))))
-    tables = math.ceil(math.log(1 - recall) / math.log1p(-min(same**width, 0.999)))
-    dice = np.random.default_rng(SEED)
-    return [mask_of(dice.choice(SEGMENTS, width, replace=False).tolist()) for _ in range(tables)]
-
-
 def unary(fp: np.ndarray) -> np.ndarray:
     """As ``embedded``."""
     even, high = np.uint64(EVEN), fp >> np.uint64(1)
@@ -206,13 +180,12 @@ def cell_links(cell: np.ndarray, fps: list[np.ndarray], max_bits: int) -> tuple[
 
 
 def links(nodes: DataFrame, grids: list[int], max_bits: int) -> DataFrame:
-    """(a, b): nodes (columns node, fp and perhaps fp2) whose fingerprints differ in ``max_bits``
-    bits or fewer, each of them. Grids are laid over fp.
+    """(a, b): nodes (columns node and fp) whose fingerprints differ in ``max_bits`` bits or fewer.
 
     Where a cell has many links, a spanning forest of them and each row's nearest neighbour.
     """
     code = embedded(F.col("fp"))
-    fps = [c for c in ("fp", "fp2") if c in nodes.columns]
+    fps = ["fp"]
     keys = F.array(*[F.xxhash64(F.lit(g), code.bitwiseAND(F.lit(mask))) for g, mask in enumerate(grids)])
     cells = nodes.select("node", *fps, F.explode(keys).alias("cell"))
     hot = written(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT), "hot-cells")
@@ -276,6 +249,65 @@ def simhash_components(
 # --- documents that are alike --------------------------------------------------------
 
 
+def bands_for(similarity: float, recall: float) -> int:
+    """So many bands that a pair of this Jaccard similarity shares one with chance ``recall`` at least."""
+    return math.ceil(math.log(1 - recall) / math.log1p(-(min(similarity, 1 - 1e-9) ** BAND)))
+
+
+def minima(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The minimum of a set, which is not empty, under each of ``n`` hashes."""
+    dice = np.random.default_rng(SEED)
+    turn, times = (dice.integers(0, 1 << 64, (n, 1), dtype=np.uint64) for _ in range(2))
+    out = np.full(n, np.iinfo(np.uint64).max)
+    for k in range(0, len(hashes), 1 << 12):
+        part = (hashes[k : k + (1 << 12)] ^ turn) * (times | np.uint64(1))
+        np.minimum(out, (part ^ (part >> np.uint64(32))).min(axis=1), out=out)
+    return out
+
+
+def banded(docs: DataFrame, *, text_col: str, size: int, bands: int) -> DataFrame:
+    """Per row (node, shingles, bands): hashes of the text, of its set of shingles and of each band. No
+    shingles, no bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                sets = [np.unique(shingle_hashes(t, size)) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                full = [x for x in sets if len(x)]
+                least = np.array([minima(x, bands * BAND) for x in full], dtype=np.uint64).reshape(len(full), bands, BAND)
+                key = np.tile(np.arange(bands, dtype=np.uint64), (len(full), 1))
+                for k in range(BAND):
+                    key = mixed(key * GOLDEN + least[:, :, k])
+                ends = np.concatenate([[0], np.cumsum([bands * (len(x) > 0) for x in sets])])
+                of_set = [xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.array(of_set, pa.int64()), lists], names=["node", "shingles", "bands"]
+                )
+
+    rows = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
+    return rows.mapInArrow(run, "node long, shingles long, bands array<long>")
+
+
+def sharing(sets: DataFrame) -> DataFrame:
+    """(a, b): each node with the smallest one that shares a band with it, for every such band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = node = np.zeros(0, np.int64)  # the open cell and its smallest node
+        for batch in batches:
+            cells, nodes = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((cell, "cell"), (node, "node")))
+            if not len(cells):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+            least = np.repeat(nodes[starts], np.diff(np.append(starts, len(cells))))
+            more = least != nodes
+            yield pa.RecordBatch.from_arrays([pa.array(least[more]), pa.array(nodes[more])], names=["a", "b"])
+            cell, node = cells[-1:], least[-1:]
+
+    cells = sets.select(F.explode("bands").alias("cell"), "node")
+    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long").distinct()
+
+
 def forest(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between sets, whose Jaccard similarity is ``similarity`` or more.
 
@@ -362,24 +394,20 @@ def alike(held: DataFrame, similarity: float) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_texts(
-    docs: DataFrame, *, text_col: str, size: int, similarity: float, max_bits: int, recall: float
-) -> DataFrame:
+def similar_texts(docs: DataFrame, *, text_col: str, size: int, similarity: float, recall: float) -> DataFrame:
     """(node, root) over hashes of texts: groups linked by Jaccard similarity of word shingles.
 
-    Candidates differ in ``max_bits`` of each fingerprint at most. They only say which texts may belong
-    together: in each family that they join, all pairs are up for the check on the sets of shingles.
+    Candidates share a band. They only say which texts may belong together: in each family that they
+    join, all pairs are up for the check on the sets of shingles.
     """
-    found = written(
-        fingerprints(docs, text_col=text_col, size=size, as_sets=True, keep={"node": F.xxhash64(text_of(text_col))})
-        .groupBy("node").agg(*[F.min(c).alias(c) for c in ("fp", "fp2", "shingles")]),
-        "fingerprints",
-    )
+    found = written(banded(docs, text_col=text_col, size=size, bands=bands_for(similarity, recall)), "bands")
     # Texts with the same shingles are one row of the join, the rest of them hang on it.
-    sets = found.groupBy("shingles").agg(*[F.min(c).alias(c) for c in ("node", "fp", "fp2")])
-    same = found.join(sets.select("shingles", F.col("node").alias("a")), "shingles").select("a", F.col("node").alias("b"))
-    grids = sampled_grids(sets.count(), expected_change(similarity), recall)
-    candidates = written(links(sets.select("node", "fp", "fp2"), grids, max_bits), "candidates")
+    sets = found.groupBy("shingles").agg(F.min("node").alias("node"), F.min("bands").alias("bands"))
+    texts_of = found.select("node", "shingles").distinct()
+    same = texts_of.join(
+        texts_of.groupBy("shingles").agg(F.min("node").alias("a")), "shingles"
+    ).select("a", F.col("node").alias("b"))
+    candidates = sharing(sets)
     groups = components(candidates, "a", "b").select("node", F.col("root").alias("family"))
     groups = written(groups, "families")
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
@@ -405,7 +433,7 @@ def similar_texts(
 
 def drop_near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    max_bits: int = 20, recall: float = 0.99,
+    recall: float = 0.99,
 ) -> DataFrame:
     """One whole row of each group of texts alike: that with the smallest id, ties by a hash of the text.
 
@@ -415,9 +443,7 @@ def drop_near_duplicates(
     Null ids come first; empty and null texts are one group. Repeated rows are copies. All
     columns stay as they are.
     """
-    roots = similar_texts(
-        docs, text_col=text_col, size=size, similarity=similarity, max_bits=max_bits, recall=recall
-    )
+    roots = similar_texts(docs, text_col=text_col, size=size, similarity=similarity, recall=recall)
     node = F.xxhash64(text_of(text_col))
     # Which rows stay is found without their texts; those move once, to the kept keys.
     small = docs.select(col(id_col).alias("id"), node.alias("node"))

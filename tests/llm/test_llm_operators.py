@@ -485,6 +485,30 @@ def test_near_duplicates_in_a_family_of_many_variants(spark, monkeypatch):
         assert [roots.get(k, k) for k in range(len(texts))] == expected
 
 
+@pytest.mark.parametrize("rows", [2_000, 40_000])
+def test_recall_of_pairs_just_alike_enough(spark, rows):
+    """Pairs right at the threshold, among many other texts: the recall asked for, however many there are."""
+    rng = random.Random(rows)
+    texts, pairs = [], 0
+    while len(texts) < rows:
+        own = [f"w{rng.randrange(50_000)}" for _ in range(60 if pairs >= 500 else 180)]
+        texts.append(" ".join(own))
+        if pairs < 500:
+            first = set(simhash.shingle_hashes(texts[-1].encode(), 5).tolist())
+            while True:
+                other = list(own)
+                for k in rng.sample(range(180), rng.randrange(3, 7)):
+                    other[k] = "x" + other[k]
+                second = set(simhash.shingle_hashes(" ".join(other).encode(), 5).tolist())
+                if 0.8 <= len(first & second) / len(first | second) < 0.83:
+                    break
+            texts.append(" ".join(other))
+            pairs += 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = simhash.drop_near_duplicates(docs).count()
+    assert rows - pairs <= kept <= rows - 0.98 * pairs
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(200)] + [(1000, 1000 + k) for k in range(1, 300)] + [(5, 5)]
     roots = dict(components.components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect())
