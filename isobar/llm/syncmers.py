@@ -8,8 +8,8 @@ the fingerprint keeps the 64 smallest different anchor hashes, and the likeness
 fingerprints estimates the Jaccard similarity of the anchor sets: of the 64 smallest of both
 together, the share that both hold.
 
-A text shorter than k has one anchor, itself; an empty or null text none. Two empty
-fingerprints are alike (1). Whole texts are read in parts of about a million code points.
+A text without a closed syncmer (all shorter than k, some of fewer than 2k - s - 1 code points) has one anchor,
+itself; only an empty or null text has none. Two empty fingerprints are alike (1). Whole texts are read in parts of about a million code points.
 """
 
 from __future__ import annotations
@@ -44,14 +44,11 @@ def codes(text: str) -> np.ndarray:
 
 
 def find_anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of the text, position, 32-bit hash) of the closed syncmers, in order."""
+    """(number of the text, position, 32-bit hash) of the closed syncmers, or of a text without any, in order."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     stops = np.cumsum(lengths)
     points = codes("".join(texts)).astype(np.uint64)
-    short = np.flatnonzero((lengths < K) & (lengths > 0))
-    which, place, value = short, np.zeros(len(short), np.int64), np.array(
-        [xxhash.xxh32_intdigest(texts[k].encode()) for k in short], dtype=np.uint32
-    )
+    which, place, value = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
     if len(points) >= K:
         n = len(points) - S + 1
         h = points[:n].copy()
@@ -68,9 +65,13 @@ def find_anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         whole = h[chosen] * M1 + h[chosen + S] * M2
         for at in (2 * S, K - S):
             whole = mixed(whole) + h[chosen + at] * GOLDEN
-        values = (mixed(whole) >> np.uint64(32)).astype(np.uint32)
+        which, place = text, chosen - (stops - lengths)[text]
+        value = (mixed(whole) >> np.uint64(32)).astype(np.uint32)
+    bare = np.flatnonzero((np.bincount(which, minlength=len(texts)) == 0) & (lengths > 0))
+    if len(bare):
+        own = np.array([xxhash.xxh32_intdigest(texts[k].encode()) for k in bare], dtype=np.uint32)
         which, place, value = (
-            np.concatenate(x) for x in ((which, text), (place, chosen - (stops - lengths)[text]), (value, values))
+            np.concatenate(x) for x in ((bare, which), (np.zeros(len(bare), np.int64), place), (own, value))
         )
         order = np.argsort(which, kind="stable")
         which, place, value = which[order], place[order], value[order]

@@ -112,6 +112,19 @@ def test_chances_after_a_context_sum_to_one():
 # --- fingerprints -------------------------------------------------------------------
 
 
+def test_texts_of_any_length_have_an_anchor():
+    rng = random.Random(4)
+    for n in range(1, 31):
+        texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for _ in range(100)]
+        found = [s.tolist() for s in syncmers.sketches(["", *texts, "x" * 40])]
+        assert not found[0] and all(found[1:])
+        for a, b, x, y in zip(texts, texts[1:], found[1:], found[2:]):
+            assert a == b or n < 3 or syncmers.likeness(x, y) < 1
+            assert syncmers.likeness(x, found[0]) == 0
+    which, place, _ = syncmers.find_anchors(["", *texts])
+    assert (np.diff(which) >= 0).all() and (place >= 0).all()
+
+
 def test_syncmers_by_definition():
     rng = random.Random(1)
     text = "".join(rng.choice("abcdé \U0001F600") for _ in range(400))
