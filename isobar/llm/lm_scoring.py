@@ -8,8 +8,7 @@ shares the remaining 1 / (N + V + 1). After a context h,
 
 where h' is h without its first word and z is how often contexts as frequent as h go on with something new:
 the share of their tokens whose n-gram occurs once in all, by powers of two of c(h). That sums to
-one over all words. The two dozen values z are measured on ``SAMPLE_BLOCKS`` blocks of documents;
-all counts cover all of them.
+one over all words. Both the counts and the two dozen values z cover all training documents.
 
 The automaton. A state is a context that was seen. An arc leads from h by w if hw was seen and
 weighs log10 P(w | h); the failure arc of h leads to h' and weighs log10 z. One traversal from left
@@ -46,7 +45,8 @@ BLOCK_BYTES = 4 << 20
 #: Blocks for each bucket of answers; each pair of them is a row.
 BLOCKS_PER_BUCKET = 4
 LEAST_BLOCKS = 32
-SAMPLE_BLOCKS = 8
+#: Blocks with smaller numbers are measured for the shares of unseen words: all.
+SAMPLE_BLOCKS = math.inf
 
 
 def words(text: bytes) -> list[bytes]:
@@ -222,8 +222,8 @@ def novelty(rows: DataFrame, answers: DataFrame, order: int, buckets: int) -> li
         columns = list(zip(*out, strict=True)) or [()] * 4
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("length", "size", "n", "new"), columns, strict=True)})
 
-    few = [df.where(F.col("block").between(0, SAMPLE_BLOCKS - 1)) for df in (rows, answers)]
-    found = few[0].groupBy("block").cogroup(few[1].groupBy("block")).applyInArrow(
+    asked = answers.where("block >= 0")
+    found = rows.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         measure, "length long, size long, n long, new long"
     ).groupBy("length", "size").agg(F.sum("n").alias("n"), F.sum("new").alias("new")).where("n > 0").collect()
     out = []

@@ -365,6 +365,23 @@ def test_prompts_bear_no_loss(spark):
     assert max(loss.values()) <= 8 and sum(loss.values()) == 50 * 5
 
 
+def test_lm_shares_of_new_words_cover_all_documents(spark, docs, texts):
+    train = F.col("doc_id") % 5 != 0
+    blocks, buckets = lm_scoring.LEAST_BLOCKS, 8
+    rows = lm_scoring.blocks_of(docs, train, "doc_id", "text", blocks)
+    answers = components.written(lm_scoring.count_answers(rows, 2, buckets), "answers")
+    (got,) = lm_scoring.novelty(rows, answers, 2, buckets)
+    marked = [[0, *t.encode().lower().split(), 1] for i, t in texts.items() if i % 5]
+    single = Counter(w for m in marked for w in m)
+    pairs = Counter(p for m in marked for p in itertools.pairwise(m))
+    seen, new = Counter(), Counter()
+    for (a, _), n in pairs.items():
+        seen[single[a].bit_length() - 1] += n
+        new[single[a].bit_length() - 1] += n == 1
+    sizes = sorted(seen)
+    assert got == pytest.approx(np.interp(range(64), sizes, [(new[x] + 0.5) / (seen[x] + 1) for x in sizes]))
+
+
 # --- SimHash ------------------------------------------------------------------------
 
 
