@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isobar.llm import (
-    chat, decontamination, langid, licenses, lm_scoring, packing, quality, simhash, syncmers, toxicity,
+    chat, decontamination, langid, licenses, lm_scoring, merkle, packing, quality, sentencepieces, simhash, spelling,
+    sql, syncmers, toxicity,
 )
 from isobar.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +95,41 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; one in five is tampered with before it is checked."""
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.translate("text", UPPER, LOWER) if n == "text" else F.col(n) for n in names]
+    keep = {"tampered": F.when(crc_mod("doc_id", 5) == 0, merkle.leaf_hash(tampered))}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), fields=names, keep=keep)
+    checked = found.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(words)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text that they decode to, as digests."""
+    model = public_tokenizers.path(PIECE_BPE)
+    done = sentencepieces.decode(sentencepieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_fingerprints, op3_decontamination, op4_chat_formatting, op5_quality, op6_packing,
-        op7_toxicity, op8_license_scan, op9_simhash, op10_language_id,
+        op7_toxicity, op8_license_scan, op9_simhash, op10_language_id, op11_merkle_manifest, op12_spelling_variants,
+        op13_sentencepiece,
     )
 }
 _CHAT = r"""
@@ -125,6 +158,8 @@ FROM whole"""
 
 SQL: dict[str, str] = {
     "op4_chat_formatting": _CHAT,
+    "op11_merkle_manifest": sql.merkle(["doc_id", "source", "lang", "n_chars", "text"]),
+    "op12_spelling_variants": sql.spelling(),
     "op8_license_scan": licenses.sql(
         "doc_id", "concat_ws('/', source, (doc_id // 1000)::VARCHAR, doc_id::VARCHAR)", "documents"
     ),

@@ -14,17 +14,11 @@ three agree: one grid for each three runs (``exact_grids``) finds every pair.
 Rows are distinct fingerprints, so copies are one row. A cell gives a spanning forest of its
 links once they are many, never all pairs; one with more than ``SPLIT`` rows is dealt in
 blocks to pairs of blocks, each a task's share of bounded size.
-
-Texts that are alike (``drop_near_duplicates``) differ in too many bits for that. Their candidates share one
-of several bands of ``BAND`` minimum hashes of their shingles, each minimum under a hash of its own. Two sets
-of Jaccard similarity s agree in a minimum with chance s, whatever their sizes and the number of
-rows, and the minima are drawn apart, so a pair is missed with chance (1 - s**BAND)**bands.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +26,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from isobar.llm.common import GOLDEN, col, id_type, mixed, slices, text_of
+from isobar.llm.common import col, id_type, slices, text_of
 from isobar.llm.components import components, written
 
 SEGMENTS = 32
 EVEN = 0x5555555555555555
 SPLIT = 8192
-#: Shingles of the texts of one block, eight bytes each.
-SPLIT_HASHES = 2 << 20
 #: Cells up to this size compare row by row, shifted; larger ones by a walk over neighbours.
 SMALL = 256
 #: Links of a cell for each row before a forest and the nearest neighbour stand for them.
@@ -47,8 +39,6 @@ PER_ROW = 4
 #: More broadcast rows than this (24 bytes each) are joined by a shuffle instead.
 BROADCAST_ROWS = 100_000
 SLICE_BYTES = 2 << 20
-#: Minimum hashes of a band: texts that are not alike should hardly ever share one.
-BAND = 8
 SEED = 42
 
 
@@ -246,211 +236,36 @@ def simhash_components(
     )
 
 
-# --- documents that are alike --------------------------------------------------------
-
-
-def bands_for(similarity: float, recall: float) -> int:
-    """So many bands that a pair of this Jaccard similarity shares one with chance ``recall`` at least."""
-    return math.ceil(math.log(1 - recall) / math.log1p(-(min(similarity, 1 - 1e-9) ** BAND)))
-
-
-def minima(hashes: np.ndarray, n: int) -> np.ndarray:
-    """The minimum of a set, which is not empty, under each of ``n`` hashes."""
-    dice = np.random.default_rng(SEED)
-    turn, times = (dice.integers(0, 1 << 64, (n, 1), dtype=np.uint64) for _ in range(2))
-    out = np.full(n, np.iinfo(np.uint64).max)
-    for k in range(0, len(hashes), 1 << 12):
-        part = (hashes[k : k + (1 << 12)] ^ turn) * (times | np.uint64(1))
-        np.minimum(out, (part ^ (part >> np.uint64(32))).min(axis=1), out=out)
-    return out
-
-
-def banded(docs: DataFrame, *, text_col: str, size: int, bands: int) -> DataFrame:
-    """Per row (node, shingles, bands): hashes of the text, of its set of shingles and of each band. No
-    shingles, no bands."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                sets = [np.unique(shingle_hashes(t, size)) for t in part.column("text").cast(pa.binary()).to_pylist()]
-                full = [x for x in sets if len(x)]
-                least = np.array([minima(x, bands * BAND) for x in full], dtype=np.uint64).reshape(len(full), bands, BAND)
-                key = np.tile(np.arange(bands, dtype=np.uint64), (len(full), 1))
-                for k in range(BAND):
-                    key = mixed(key * GOLDEN + least[:, :, k])
-                ends = np.concatenate([[0], np.cumsum([bands * (len(x) > 0) for x in sets])])
-                of_set = [xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(of_set, pa.int64()), lists], names=["node", "shingles", "bands"]
-                )
-
-    rows = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "node long, shingles long, bands array<long>")
-
-
-def sharing(sets: DataFrame) -> DataFrame:
-    """(a, b): each node with the smallest one that shares a band with it, for every such band."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = node = np.zeros(0, np.int64)  # the open cell and its smallest node
-        for batch in batches:
-            cells, nodes = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((cell, "cell"), (node, "node")))
-            if not len(cells):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-            least = np.repeat(nodes[starts], np.diff(np.append(starts, len(cells))))
-            more = least != nodes
-            yield pa.RecordBatch.from_arrays([pa.array(least[more]), pa.array(nodes[more])], names=["a", "b"])
-            cell, node = cells[-1:], least[-1:]
-
-    cells = sets.select(F.explode("bands").alias("cell"), "node")
-    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long").distinct()
-
-
-def forest(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between sets, whose Jaccard similarity is ``similarity`` or more.
-
-    Every row is compared with all rows not yet reached, so rows link in the forest exactly if a chain
-    of links joins them.
-    """
-    n = len(sets)
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    values, token = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    owner = np.repeat(np.arange(n), sizes)
-    # Rows by token, for sets that share little; the tokens of what is left, for those that share much.
-    by = np.argsort(token, kind="stable")
-    holders, first = owner[by], np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(values)))])
-    spread = np.bincount(owner, weights=(first[1:] - first[:-1])[token], minlength=n)
-    unseen, mark = np.ones(n, dtype=bool), np.zeros(len(values), dtype=bool)
-    left_token, left_owner = token, owner
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for root in range(n):
-        if not unseen[root]:
-            continue
-        unseen[root], waiting = False, [root]
-        while waiting and unseen.any():
-            k = waiting.pop()
-            own = token[starts[k] : starts[k + 1]]
-            if len(left_token) > 2 * np.dot(unseen, sizes):
-                stay = unseen[left_owner]
-                left_token, left_owner = left_token[stay], left_owner[stay]
-            if spread[k] < len(left_token):
-                met = np.concatenate([np.zeros(0, np.int64), *(holders[first[t] : first[t + 1]] for t in own)])
-            else:
-                mark[own] = True
-                met = left_owner[mark[left_token]]
-                mark[own] = False
-            common = np.bincount(met, minlength=n)
-            new = np.flatnonzero(unseen & (common > 0) & (common >= similarity * (sizes + sizes[k] - common)))
-            unseen[new] = False
-            waiting += new.tolist()
-            a.append(np.full(len(new), k))
-            b.append(new)
-    return np.concatenate(a), np.concatenate(b)
-
-
-def alike(held: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links of a similarity or more that join what all such links in a family join.
-
-    ``held`` has family, node and set. A family that is too much for a task is dealt in blocks to pairs of blocks.
-    """
-    weights = held.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("set")).alias("n_hashes"))
-    blocks = F.ceil(F.greatest(F.col("n") / SPLIT, F.col("n_hashes") / SPLIT_HASHES)).cast("int")
-    hot = written(weights.select("family", blocks.alias("blocks")).where("blocks > 1"), "hot-families")
-    n_hot = hot.count()
-    dealt = held.select(F.xxhash64("family").alias("share"), "node", "set", "family")
-    if n_hot:
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        shares = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda k: F.xxhash64("family", F.least(k, own), F.greatest(k, own)),
-        )
-        dealt = dealt.join(F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot, "family", "left").select(
-            F.explode(F.when(F.col("blocks").isNull(), F.array("share")).otherwise(shares)).alias("share"), "node", "set"
-        )
-
-    def linked(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = forest(sets, similarity)
-        node = np.array(nodes, dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, nodes, sets = None, [], []
-        for batch in batches:
-            rows = zip(batch.column("share").to_pylist(), batch.column("node").to_pylist(), batch.column("set"), strict=True)
-            for share, node, held_set in rows:
-                if share != now and nodes:
-                    yield linked(nodes, sets)
-                    nodes, sets = [], []
-                now = share
-                nodes.append(node)
-                sets.append(held_set.values.to_numpy().copy())
-        if nodes:
-            yield linked(nodes, sets)
-
-    dealt = dealt.select("share", "node", "set").repartition("share").sortWithinPartitions("share", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def similar_texts(docs: DataFrame, *, text_col: str, size: int, similarity: float, recall: float) -> DataFrame:
-    """(node, root) over hashes of texts: groups linked by Jaccard similarity of word shingles.
-
-    Candidates share a band. They only say which texts may belong together: in each family that they
-    join, all pairs are up for the check on the sets of shingles.
-    """
-    found = written(banded(docs, text_col=text_col, size=size, bands=bands_for(similarity, recall)), "bands")
-    # Texts with the same shingles are one row of the join, the rest of them hang on it.
-    sets = found.groupBy("shingles").agg(F.min("node").alias("node"), F.min("bands").alias("bands"))
-    texts_of = found.select("node", "shingles").distinct()
-    same = texts_of.join(
-        texts_of.groupBy("shingles").agg(F.min("node").alias("a")), "shingles"
-    ).select("a", F.col("node").alias("b"))
-    candidates = sharing(sets)
-    groups = components(candidates, "a", "b").select("node", F.col("root").alias("family"))
-    groups = written(groups, "families")
-    texts = docs.select(F.xxhash64(text_of(text_col)).alias("node"), text_of(text_col).alias("text"))
-    # Texts stay where they are if the rows to join are few.
-    rows = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
-    texts = texts.join(rows, "node").groupBy("node", "family").agg(F.min("text").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                sets_of = [
-                    np.unique(shingle_hashes(t, size)).view(np.int64)
-                    for t in part.column("text").cast(pa.binary()).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("family"), part.column("node"), pa.array(sets_of, pa.list_(pa.int64()))],
-                    names=["family", "node", "set"],
-                )
-
-    held = written(texts.mapInArrow(run, "family long, node long, `set` array<long>"), "sets")
-    return components(alike(held, similarity).unionByName(same), "a", "b")
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that tells nulls apart by their place."""
+    values = [F.to_json(F.struct(c)) if isinstance(f.dataType, T.MapType) else c for f in docs.schema for c in [col(f.name)]]
+    return F.xxhash64(*values, F.array(*[v.isNull() for v in values]))
 
 
 def drop_near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    recall: float = 0.99,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 3, max_bits: int = 3
 ) -> DataFrame:
-    """One whole row of each group of texts alike: that with the smallest id, ties by a hash of the text.
+    """One whole row of each component of ``simhash_components``: that with the smallest id, ties by a hash of all columns.
 
-    Texts are alike if the Jaccard similarity of their ``size``-word shingles is ``similarity``
-    or more; groups join what a chain of such pairs joins. A pair that is just similar enough is
-    compared with chance ``recall``, a closer one more surely, and equal sets of shingles always.
-    Null ids come first; empty and null texts are one group. Repeated rows are copies. All
-    columns stay as they are.
+    Null ids come first; empty and null texts are one component. All columns stay as they are. Texts stay where they
+    are as long as the rows that go are few; else they move once.
     """
-    roots = similar_texts(docs, text_col=text_col, size=size, similarity=similarity, recall=recall)
-    node = F.xxhash64(text_of(text_col))
-    # Which rows stay is found without their texts; those move once, to the kept keys.
-    small = docs.select(col(id_col).alias("id"), node.alias("node"))
-    chosen = small.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
-        F.min(F.struct("id", "node")).alias("least")
+    key = row_hash(docs)
+    found = written(fingerprints(docs, text_col=text_col, size=size, keep={"id": col(id_col), "key": key}), "fingerprints")
+    distinct = found.groupBy(F.col("fp").alias("node")).agg(F.min(F.struct("id", "key")).alias("least"))
+    roots = components(links(distinct.select("node", F.col("node").alias("fp")), exact_grids(max_bits), max_bits), "a", "b")
+    chosen = distinct.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
+        F.min("least").alias("least")
     )
-    keys = chosen.select(F.xxhash64("least.id", "least.node").alias("key"))
-    rows = docs.select(F.struct(*[col(n) for n in docs.columns]).alias("kept"), F.xxhash64(col(id_col), node).alias("key"))
-    # Rows that share id and text are copies too.
-    return rows.join(keys, "key", "left_semi").groupBy("key").agg(F.first("kept").alias("kept")).select("kept.*")
+    stay = written(chosen.select(F.col("least.key").alias("key")), "stay")
+    # Rows that share a key are equal in all columns.
+    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    go = written(counts.join(stay.withColumn("stays", F.lit(True)), "key", "left").where("n > 1 or stays is null"), "go")
+    n_go, n_repeated = go.agg(F.count(F.lit(1)), F.count(F.when(F.col("stays"), 1))).first()
+    keyed = docs.select(F.struct(*[col(n) for n in docs.columns]).alias("kept"), key.alias("key"))
+    gone = go.select("key")
+    kept = keyed.join(F.broadcast(gone) if n_go <= BROADCAST_ROWS else gone, "key", "left_anti").select("kept")
+    if n_repeated:
+        repeated = keyed.join(go.where("stays").select("key"), "key", "left_semi")
+        kept = kept.unionByName(repeated.groupBy("key").agg(F.first("kept").alias("kept")).select("kept"))
+    return kept.select("kept.*")

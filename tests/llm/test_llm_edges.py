@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from isobar.llm import (
-    chat, decontamination, langid, licenses, lm_scoring, packing, quality, simhash, syncmers, toxicity,
+    chat, decontamination, langid, licenses, lm_scoring, merkle, packing, quality, sentencepieces, simhash, spelling,
+    syncmers, toxicity,
 )
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -118,6 +119,35 @@ def test_simhash(tables):
     assert ids(kept) == ([None, 1, 2, 5, 7] if rows else [])
 
 
+def test_merkle(tables):
+    docs, *_ = tables
+    rows = merkle.manifest(docs, fields=["doc_id", "text", "source"], keep={"node": F.col("node")}).collect()
+    assert sorted(map(str, ids(docs))) == sorted(str(r["doc_id"]) for r in rows)
+    assert sorted((r["group"] or "", r["position"]) for r in rows) == (
+        [("", 0), ("", 1), ("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1), ("b", 2)] if rows else []
+    )
+    # The two equal rows are neighbours, and the null id comes first.
+    assert {(r["doc_id"], r["position"]) for r in rows if r["doc_id"] in (None, 1)} == ({(None, 0), (1, 0), (1, 1)} if rows else set())
+    assert len({r["root"] for r in rows}) == bool(rows)
+
+
+def test_spelling(tables):
+    counted = spelling.word_counts(tables[0], least_n=1)
+    rows = spelling.spelling_variants(counted).collect()
+    assert {r["word"] for r in rows} == {r["word"] for r in counted.collect()}
+    assert not rows or {"letters", "words"}.isdisjoint(r["word"] for r in rows)
+
+
+def test_sentencepieces(tables):
+    docs, *_ = tables
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    done = sentencepieces.decode(sentencepieces.encode(docs, model), model)
+    texts = {str(r["doc_id"]): r["text"] or "" for r in docs.collect()}
+    rows = done.collect()
+    assert len(rows) == docs.count() and all(r["decoded"] == texts[str(r["doc_id"])] for r in rows)
+    assert all(r["ids"] == [] for r in rows if r["doc_id"] in (2, 3))
+
+
 def test_language(tables):
     docs, *_ = tables
     rows = langid.identify(docs, F.lit(True)).collect()
