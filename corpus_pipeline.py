@@ -40,8 +40,8 @@ def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates."""
-    return simhash.drop_near_duplicates(docs)
+    """The document with the smallest id of every group whose fingerprints (three-word shingles) link at 3 bits."""
+    return simhash.drop_near_duplicates(docs, size=3, max_bits=3)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
