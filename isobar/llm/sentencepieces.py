@@ -35,8 +35,10 @@ MARK = "▁"
 #: A run of markers (as spaces) and the word behind it.
 CHUNK = re.compile(" +[^ ]*")
 SLICE_BYTES = 2 << 20
-#: Marked words in each of the two generations of a worker's table.
-GENERATION = 400_000
+#: Rows that are decoded at a time.
+ROWS = 256
+#: Marked words in each of the two generations of a worker's table, some 200 bytes each.
+GENERATION = 100_000
 #: What normalising would change: runs of spaces, compatibility forms, composed letters, controls.
 PROBE = " a  ﬁ Ａé　​\t\r\nb "
 
@@ -127,18 +129,17 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, model: str, *, ids_col: str = "ids", result: str = "decoded") -> DataFrame:
-    """All columns, and the library's text of the ids as one more. A column named ``result`` is replaced."""
-    kept = [n for n in encoded.columns if n != result]
-    rows = encoded.select(
-        F.struct(*[col(n) for n in kept]).alias("kept"),
-        F.coalesce(col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias("ids"),
-    )
-    schema = T.StructType([rows.schema["kept"], T.StructField("text", T.StringType())])
+    """All columns, and the library's text of the ids (a list of ints) as one more. A column named ``result`` is replaced."""
+    rows = encoded.select(F.struct(*[col(n) for n in encoded.columns if n != result]).alias("kept"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = chunk_table(model)
         for batch in batches:
-            texts = pa.array([table.decode(ids.values.to_numpy().tolist()) for ids in batch.column("ids")], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), texts], names=["kept", "text"])
+            for k in range(0, len(batch), ROWS):
+                kept = batch.column("kept").slice(k, ROWS)
+                lists = kept.field(kept.type.get_field_index(ids_col))
+                texts = [table.decode(ids.values.to_numpy().tolist()) if ids.is_valid else "" for ids in lists]
+                yield pa.RecordBatch.from_arrays([kept, pa.array(texts, pa.string())], names=["kept", "text"])
 
     return rows.mapInArrow(run, schema).select("kept.*", col("text").alias(result))
