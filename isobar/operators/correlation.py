@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame
 from isobar.functions.sql import text
 from isobar.functions.strength import pearson_r, strength
 from isobar.operators.numeric import as_doubles, chunks, numeric_columns, stacked
+from isobar.operators.partials import Partial
+
+
+#: What r takes besides the moments of ``x``, for a pass that several operators share.
+COMOMENTS = (
+    Partial("low_y", "min(y)", "min(low_y)"),
+    Partial("high_y", "max(y)", "max(high_y)"),
+    Partial("spread_y", "var_pop(y) * count(y)", "sum(spread_y + n * pow(total_y / n - mean_y, 2))"),
+    Partial("product", "covar_pop(x, y) * count(x)", "sum(product + n * (total / n - mean_x) * (total_y / n - mean_y))"),
+)
+#: r of a merged row; null when either side is constant.
+R = "if(low = high OR low_y = high_y, NULL, try_divide(product, sqrt(spread) * sqrt(spread_y)))"
 
 
 def default_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:

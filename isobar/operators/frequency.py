@@ -27,17 +27,18 @@ def _frequencies(df: DataFrame) -> DataFrame:
     return long.filter("value IS NOT NULL").groupBy("field", "value").agg(F.expr("count(*) AS n"))
 
 
-def modes(frequencies: DataFrame) -> DataFrame:
+def modes(frequencies: DataFrame, with_count: bool = False) -> DataFrame:
     """Per field: number of distinct values and the mode.
 
     The smallest of equally frequent values is taken. ``has_mode`` is false, and the
-    mode null, when no value occurs twice.
+    mode null, when no value occurs twice. ``with_count`` adds how often the most frequent value occurs.
     """
     summary = frequencies.groupBy("field").agg(
         F.expr("count(*) AS n_unique"), F.expr("min(struct(-n AS rank, value)) AS top")
     )
     return summary.selectExpr(
-        "field", "n_unique", "top.rank < -1 AS has_mode", "if(top.rank < -1, top.value, NULL) AS mode"
+        "field", "n_unique", "top.rank < -1 AS has_mode", "if(top.rank < -1, top.value, NULL) AS mode",
+        *(["-top.rank AS n_mode"] if with_count else []),
     )
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, types as T
 
 from isobar.functions.sql import ident, text
+from isobar.operators.partials import Partial
 
 # Columns handled by one aggregate. Wider tables take several scans, each reading only
 # its own columns: past some sixty aggregates the generated loop gets too long for the
@@ -15,6 +16,14 @@ from isobar.functions.sql import ident, text
 COLUMNS_PER_PASS = 8
 
 
+#: Moments and extremes of ``x``, for a pass that several operators share.
+MOMENTS = (
+    Partial("low", "min(x)", "min(low)"),
+    Partial("high", "max(x)", "max(high)"),
+    Partial("spread", "var_pop(x) * count(x)", "sum(spread + n * pow(total / n - mean_x, 2))"),
+)
+
+
 def chunks(columns: Sequence, size: int = COLUMNS_PER_PASS) -> Iterator[list]:
     for i in range(0, len(columns), size):
         yield list(columns[i : i + size])

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from isobar.functions.sql import number
 from isobar.operators.numeric import as_doubles, chunks, numeric_columns
+from isobar.operators.partials import Partial
 
 # An interval with at most this many values is sorted inside one aggregate buffer.
 SORTED_VALUES = 20_000
@@ -39,6 +40,16 @@ MERGE_GROUPS = 64
 # Columns per scan; bounds the number of aggregates and the buffers of the final sort.
 COLUMNS_PER_SCAN = 4
 
+RANKS = ", ".join(number(i / SPLITS) for i in range(SPLITS + 1))
+#: Proposed pivots of ``s``, for a pass that several operators share.
+QUANTILES = (
+    Partial("n_s", "count(s)", "sum(n_s)"),
+    Partial(
+        "splits", f"kll_sketch_agg_double(s, {SKETCH_K})",
+        f"if(sum(n_s) > 0, kll_sketch_get_quantile_double(kll_merge_agg_double(splits), array({RANKS})), NULL)",
+    ),
+)
+
 SCHEMA = "field string, n bigint, median double, q1 double, q3 double, iqr double"
 
 
@@ -59,7 +70,7 @@ def quartile_ranks(n: int) -> dict[str, tuple[int, int] | None]:
 
 
 @dataclass
-class _Interval:
+class Interval:
     """Values of a column strictly between two bounds, ``below`` values precede them."""
 
     column: str
@@ -103,25 +114,27 @@ def order_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def _order_statistics(df: DataFrame, names: list[str]) -> list[tuple]:
-    whole = [_Interval(c, None, None, 0, 0) for c in df.columns]
+    whole = [Interval(c, None, None, 0, 0) for c in df.columns]
     _sketch(df, whole)
-    wanted = [quartile_ranks(iv.size) for iv in whole]
-    for iv, pairs in zip(whole, wanted):
-        iv.ranks = {r for pair in pairs.values() if pair for r in pair}
-    found = _select_ranks(df, [iv for iv in whole if iv.ranks])
-
-    rows = []
-    for name, iv, pairs in zip(names, whole, wanted):
-        at = {
-            part: (found[iv.column, pair[0]] + found[iv.column, pair[1]]) / 2.0 if pair else None
-            for part, pair in pairs.items()
-        }
-        spread = None if at["q1"] is None or at["q3"] is None else at["q3"] - at["q1"]
-        rows.append((name, iv.size, at["median"], at["q1"], at["q3"], spread))
-    return rows
-
-
-def _select_ranks(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
+    for iv in whole:
+        iv.ranks = wanted_ranks(iv.size)
+    found = select_ranks(df, [iv for iv in whole if iv.ranks])
+    return [(name, iv.size, *quartiles(found, iv.column, iv.size)) for name, iv in zip(names, whole)]
+
+
+def wanted_ranks(n: int) -> set[int]:
+    return {r for pair in quartile_ranks(n).values() if pair for r in pair}
+
+
+def quartiles(found: dict[tuple[str, int], float], column: str, n: int) -> tuple[float | None, ...]:
+    """Median, quartiles and their distance from the values at the wanted ranks."""
+    median, q1, q3 = (
+        (found[column, pair[0]] + found[column, pair[1]]) / 2.0 if pair else None for pair in quartile_ranks(n).values()
+    )
+    return median, q1, q3, None if q1 is None or q3 is None else q3 - q1
+
+
+def select_ranks(df: DataFrame, intervals: list[Interval]) -> dict[tuple[str, int], float]:
     """Value at every wanted rank. Whole-column intervals carry their splits."""
     found: dict[tuple[str, int], float] = {}
     while intervals:
@@ -136,16 +149,16 @@ def _select_ranks(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str,
     return found
 
 
-def _rows_of(df: DataFrame, intervals: list[_Interval]) -> DataFrame:
+def _rows_of(df: DataFrame, intervals: list[Interval]) -> DataFrame:
     """Rows with a value in any of the intervals; reaches the scan as a filter."""
     if any(iv.lo is None and iv.hi is None for iv in intervals):
         return df
     return df.filter(" OR ".join(iv.inside() for iv in intervals))
 
 
-def _sketch(df: DataFrame, intervals: list[_Interval]) -> None:
+def _sketch(df: DataFrame, intervals: list[Interval]) -> None:
     """Fill in size and splits of the intervals."""
-    at = f"array({', '.join(number(i / SPLITS) for i in range(SPLITS + 1))})"
+    at = f"array({RANKS})"
     partial, total, result = [], [], []
     for i, iv in enumerate(intervals):
         value = f"if({iv.inside()}, {iv.column}, NULL)"
@@ -164,15 +177,22 @@ def _sketch(df: DataFrame, intervals: list[_Interval]) -> None:
         iv.size, iv.splits = row[2 * i], row[2 * i + 1] or []
 
 
-def _split(df: DataFrame, intervals: list[_Interval], found: dict) -> list[_Interval]:
+def _split(df: DataFrame, intervals: list[Interval], found: dict) -> list[Interval]:
     """Count around the pivots; settle ranks that hit one, narrow the others."""
     pivots = [iv.pivots() for iv in intervals]
     counts = [
         f"array({', '.join(_counts_around(iv, p) for p in values)})" for iv, values in zip(intervals, pivots)
     ]
     counted = _rows_of(df, intervals).selectExpr(*counts).head()
+    return settle(intervals, pivots, counted, found)
+
 
-    narrowed: dict[tuple, _Interval] = {}
+def settle(
+    intervals: list[Interval], pivots: list[list[float]], counted: Sequence[Sequence[tuple[int, int]]], found: dict
+) -> list[Interval]:
+    """What is left of the intervals once the values below and up to each pivot are counted; ranks that
+    hit a pivot go into ``found``."""
+    narrowed: dict[tuple, Interval] = {}
     for iv, values, around in zip(intervals, pivots, counted):
         for rank in iv.ranks:
             lo, hi, below, end = iv.lo, iv.hi, iv.below, iv.below + iv.size
@@ -187,12 +207,12 @@ def _split(df: DataFrame, intervals: list[_Interval], found: dict) -> list[_Inte
                     break
                 lo, below = p, past
             if not hit:
-                part = _Interval(iv.column, lo, hi, below, end - below)
+                part = Interval(iv.column, lo, hi, below, end - below)
                 narrowed.setdefault((iv.column, lo, hi), part).ranks.add(rank)
     return list(narrowed.values())
 
 
-def _counts_around(iv: _Interval, pivot: float) -> str:
+def _counts_around(iv: Interval, pivot: float) -> str:
     """How many values of the interval are smaller than the pivot, and how many not larger."""
     floor = "" if iv.lo is None else f"{iv.column} > {number(iv.lo)} AND "
     smaller, up_to = (
@@ -201,7 +221,7 @@ def _counts_around(iv: _Interval, pivot: float) -> str:
     return f"struct({smaller} AS smaller, {up_to} AS up_to)"
 
 
-def _read_off(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
+def _read_off(df: DataFrame, intervals: list[Interval]) -> dict[tuple[str, int], float]:
     """Sort the few values of each interval and take the wanted ones."""
     gathered, picked, keys = [], [], []
     for i, iv in enumerate(intervals):

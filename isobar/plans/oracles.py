@@ -104,7 +104,11 @@ def _modes(values: str) -> str:
     return f"""f AS (SELECT field, value, count(*) AS n FROM {values} WHERE value IS NOT NULL GROUP BY field, value),
 fr AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value) AS rn,
               count(*) OVER (PARTITION BY field) AS n_unique FROM f),
-m AS (SELECT field, n_unique, n > 1 AS has_mode, CASE WHEN n > 1 THEN value END AS mode FROM fr WHERE rn = 1)"""
+m AS (SELECT field, n_unique, n > 1 AS has_mode, CASE WHEN n > 1 THEN value END AS mode, n AS n_mode FROM fr WHERE rn = 1)"""
+
+
+_MODE_VALUES = f"""v AS ({_LINES} UNION ALL {_unpivoted(['value'], 'events')}
+UNION ALL {_unpivoted(['o_orderkey', 'o_totalprice'], 'orders')})"""
 
 
 # Fixed value: the pattern of a numeric first cell, as in ``functions/numbers.py``.
@@ -145,15 +149,55 @@ SELECT x, y, n, round(r, 6) AS r, CASE
        || (CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END) || ' relationship' END AS strength
 FROM p"""
 
-_HISTOGRAM = f"""WITH {_NUMBERS},
-e AS (SELECT field, min(value) AS mn, max(value) AS mx, (max(value) - min(value)) / 10 AS w FROM v GROUP BY field),
-b AS (SELECT v.field, {' + '.join(f'CAST(value > mn + {k} * w AS INTEGER)' for k in range(1, 10))} AS bin
-      FROM v JOIN e ON v.field = e.field),
+_INFINITE = """i AS (SELECT CASE WHEN l_linenumber = 3 THEN 'inf'::DOUBLE ELSE l_extendedprice::DOUBLE END AS some_above,
+  CASE WHEN l_linenumber = 3 THEN 'inf'::DOUBLE WHEN l_linenumber = 5 THEN '-inf'::DOUBLE ELSE l_extendedprice::DOUBLE END AS some_both,
+  CASE WHEN l_linenumber < 3 THEN 'inf'::DOUBLE ELSE '-inf'::DOUBLE END AS all_infinite FROM lineitem)"""
+_INFINITE_FIELDS = ["some_above", "some_both", "all_infinite"]
+_HISTOGRAM = f"""WITH {_INFINITE}, v AS ({_LINES} UNION ALL {_unpivoted(['value'], 'events')}
+  UNION ALL {_unpivoted(_INFINITE_FIELDS, 'i')}),
+e AS (SELECT field, min(value) FILTER (WHERE isfinite(value)) AS mn, max(value) FILTER (WHERE isfinite(value)) AS mx,
+  (mx - mn) / 10 AS w FROM v GROUP BY field),
+b AS (SELECT v.field, CASE WHEN value = 'inf' THEN 10 WHEN value = '-inf' THEN -1
+      ELSE {' + '.join(f'CAST(value > mn + {k} * w AS INTEGER)' for k in range(1, 10))} END AS bin
+      FROM v JOIN e ON v.field = e.field WHERE value IS NOT NULL),
 c AS (SELECT field, bin, count(*) AS n FROM b GROUP BY field, bin)
 SELECT e.field, CAST(g.k AS INTEGER) AS bin, round(mn + g.k * w, 6) AS lo, round(mn + (g.k + 1) * w, 6) AS hi,
        CAST(mn + g.k * w AS VARCHAR) || '-' || CAST(mn + (g.k + 1) * w AS VARCHAR) AS label,
        coalesce(c.n, 0) AS n
-FROM e CROSS JOIN range(10) g(k) LEFT JOIN c ON c.field = e.field AND c.bin = g.k"""
+FROM e CROSS JOIN range(10) g(k) LEFT JOIN c ON c.field = e.field AND c.bin = g.k
+UNION ALL SELECT field, CAST(bin AS INTEGER), NULL, NULL, CASE WHEN bin < 0 THEN '-Infinity' ELSE 'Infinity' END, n
+FROM c WHERE bin NOT BETWEEN 0 AND 9"""
+
+
+def _named(value: str) -> tuple[str, str]:
+    """A figure as the number and the text that JSON has for it."""
+    return (
+        f"CASE WHEN isfinite({value}) THEN round({value}, 6) END",
+        f"CASE WHEN {value} = 'inf' THEN 'Infinity' WHEN {value} = '-inf' THEN '-Infinity' END",
+    )
+
+
+def _infinite_report() -> str:
+    """Sums of infinite values are infinite or, of both signs, no number; so are their differences."""
+    # SQL refuses to subtract infinite values in aggregates, so the rules are spelt out.
+    both, some = "n_up > 0 AND n_down > 0", "n_up + n_down > 0"
+    total = f"CASE WHEN {both} THEN 'nan' WHEN n_up > 0 THEN 'inf' WHEN n_down > 0 THEN '-inf' ELSE total / n END::DOUBLE"
+    moment = f"CASE WHEN {some} THEN 'nan'::DOUBLE ELSE 0 END"
+    metrics = {
+        "Minimum": "low", "Maximum": "high", "Range": "high - low", "Average": total, "Median": "median", "First Quartile": "q1",
+        "Third Quartile": "q3", "IQR": "q3 - q1", "Variance": moment, "Standard Deviation": moment, "Mode": "mode",
+    }
+    listed = " UNION ALL ".join(
+        f"SELECT field, '{metric}' AS metric, {_named(f'({value})')[0]} AS number, {_named(f'({value})')[1]} AS text FROM s"
+        for metric, value in metrics.items()
+    )
+    return f"""WITH {_INFINITE}, v AS ({_unpivoted(_INFINITE_FIELDS, 'i')}), {_quartiles('v')}, {_modes('v')},
+s AS (SELECT field, count(value) AS n, min(value) AS low, max(value) AS high, count_if(value = 'inf') AS n_up,
+  count_if(value = '-inf') AS n_down, sum(value) FILTER (WHERE isfinite(value)) AS total, any_value(median) AS median,
+  any_value(q1) AS q1, any_value(q3) AS q3, any_value(mode) AS mode
+  FROM v JOIN q USING (field) JOIN m USING (field) GROUP BY field)
+{listed}"""
+
 
 _WINDOW_MEANS = f"""WITH {_T}
 SELECT (time // 60) * 60 AS window_start, (time // 60) * 60 + 60 AS window_end,
@@ -248,6 +292,7 @@ SELECT strftime(make_timestamp(time * 1000000), '%Y-%m-%d') AS day, count(*) AS
     "headerless_names": """SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_quantity AS DOUBLE) AS var1, CAST(l_extendedprice AS DOUBLE) AS price,
        CAST(l_discount AS DOUBLE) AS var3, CAST(l_tax AS DOUBLE) AS var4 FROM lineitem""",
     "profile_damaged": _DAMAGED,
+    "profile_infinite": _infinite_report(),
     "profile_report": _REPORT,
     "station_means": f"""WITH {_T} SELECT id, location, latitude, longitude, {_ROUNDED_MEANS}
 FROM t GROUP BY id, location, latitude, longitude""",
@@ -293,9 +338,9 @@ FROM ({_kinds(_ORDER_FIELDS, 'orders', 'o_orderkey')}) k""",
     "numeric_profile": f"SELECT field, {_SUMMARY} FROM ({_LINES}) v GROUP BY field",
     "numeric_quartiles": f"""WITH {_NUMBERS}, {_quartiles('v')}
 SELECT field, n, round(median, 6) AS median, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr FROM q""",
-    "mode_or_none": f"""WITH v AS ({_LINES} UNION ALL {_unpivoted(['value'], 'events')}
-UNION ALL {_unpivoted(['o_orderkey', 'o_totalprice'], 'orders')}), {_modes('v')}
-SELECT field, n_unique, has_mode, mode FROM m""",
+    "mode_or_none": f"""WITH {_MODE_VALUES}, {_modes('v')}
+SELECT field, (SELECT count(value) FROM v WHERE v.field = m.field) AS n, has_mode, mode, n_mode FROM m""",
+    "numeric_distinct": f"WITH {_MODE_VALUES}, {_modes('v')} SELECT field, n_unique, has_mode, mode FROM m",
     "string_profile": f"""WITH {_TEXTS}, {_modes('v')}
 SELECT m.field, n_unique, has_mode, mode,
  FROM m""".replace("mode,\n FROM", "mode FROM"),

@@ -4,6 +4,7 @@ frequencies and correlations, and the JSON report over them."""
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -13,12 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from isobar.functions.nested import as_text
 from isobar.functions.numbers import is_blank, to_double
 from isobar.functions.sql import ident
-from isobar.operators.correlation import default_pairs, pearson
+from isobar.operators.correlation import default_pairs
 from isobar.operators.fieldtypes import sample_kinds
 from isobar.operators.frequency import distinct_values, modes, number_frequencies, text_frequencies
-from isobar.operators.histogram import histogram10
-from isobar.operators.numeric import numeric_summary
-from isobar.operators.orderstats import order_statistics
+from isobar.operators.numberprofile import NumberProfile, profile_numbers
 from isobar.session import shared_dir
 from isobar.sources.tables import DAMAGED, BinaryInput, TextTable, nul_test, read_text_table
 from isobar.sources.versions import delete_folder, write_text
@@ -158,15 +157,24 @@ class Profile:
     attributes: dict[str, object] = field(default_factory=dict)
     values: str | None = None
 
+    @cached_property
+    def numbers(self) -> NumberProfile:
+        """All about the numeric fields, in as few scans as they need together."""
+        return profile_numbers(self.typed.df, self.typed.of_kind("Numeric"), self.pairs)
+
     @cached_property
     def numeric(self) -> DataFrame | None:
-        numbers = self.typed.of_kind("Numeric")
-        return numeric_records(self.typed.df, numbers) if numbers else None
+        return self.numbers.records if self.typed.of_kind("Numeric") else None
 
     @cached_property
     def histograms(self) -> DataFrame | None:
+        return self.numbers.histograms if self.typed.of_kind("Numeric") else None
+
+    @cached_property
+    def distinct_numbers(self) -> DataFrame | None:
+        """How many different values each numeric field has. The one part that moves every value."""
         numbers = self.typed.of_kind("Numeric")
-        return histogram10(self.typed.df, numbers) if numbers else None
+        return modes(number_frequencies(self.typed.df, numbers)).select("field", "n_unique") if numbers else None
 
     @cached_property
     def frequencies(self) -> DataFrame | None:
@@ -193,7 +201,7 @@ class Profile:
 
     @cached_property
     def correlations(self) -> DataFrame:
-        return pearson(self.typed.df, self.pairs)
+        return self.numbers.correlations
 
     def discard(self) -> None:
         """Delete what was landed in the shared folder; the parts cannot be read after."""
@@ -211,15 +219,6 @@ def profile(
     return Profile(typed, pairs, attributes, values)
 
 
-def numeric_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full record of each numeric field: moments, order statistics and mode."""
-    return (
-        numeric_summary(df, columns)
-        .join(order_statistics(df, columns).drop("n"), "field", "left")
-        .join(modes(number_frequencies(df, columns)), "field", "left")
-    )
-
-
 def profile_frame(
     df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None, infer: str = "regex", first_by: str | None = None,
     land: bool = False,
@@ -314,8 +313,18 @@ def report(done: Profile) -> dict:
     return document
 
 
+def plain_number(value: object) -> object:
+    """JSON has no infinite numbers, which become their names, and none that is no number, which becomes null."""
+    if not isinstance(value, float) or math.isfinite(value):
+        return value
+    return None if math.isnan(value) else "Infinity" if value > 0 else "-Infinity"
+
+
 def report_json(done: Profile) -> str:
-    return json.dumps(report(done), indent=4)
+    document = report(done)
+    plain = {k: plain_number(v) for k, v in document.items()}
+    plain["Fields"] = [{k: plain_number(v) for k, v in record.items()} for record in document["Fields"]]
+    return json.dumps(plain, indent=4, allow_nan=False)
 
 
 def write_report(done: Profile, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -12,7 +13,7 @@ from isobar.functions.numbers import number_or_zero, to_double
 from isobar.functions.sql import ident
 from isobar.functions.times import date_text
 from isobar.operators import (
-    correlation, fieldtypes, frequency, histogram, means, numeric, orderstats, rawday, telegram, upsert,
+    correlation, exactmode, fieldtypes, frequency, histogram, means, numeric, orderstats, rawday, telegram, upsert,
 )
 from isobar.plans.profile import ProfileConfig, profile_file, profile_frame, report_json, type_text_table
 from isobar.plans.stations import as_lines, as_responses, as_telegrams, counter, table, telegrams
@@ -313,13 +314,22 @@ def numeric_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(lines.unionByName(events))
 
 
+def _many_numbers(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, list[str]]]:
+    return [
+        (table(spark, sf_dir, "events"), ["value"]), (table(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice"]),
+        (table(spark, sf_dir, "lineitem"), LINE_MEASURES),
+    ]
+
+
 def mode_or_none(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = (
-        frequency.number_frequencies(table(spark, sf_dir, "events"), ["value"])
-        .unionByName(frequency.number_frequencies(table(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice"]))
-        .unionByName(frequency.number_frequencies(table(spark, sf_dir, "lineitem"), LINE_MEASURES))
-    )
-    return frequency.modes(values)
+    first, *rest = [exactmode.exact_modes(df, columns) for df, columns in _many_numbers(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, rest, first)
+
+
+def numeric_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many different values numeric fields have, and their modes, by counting every value."""
+    first, *rest = [frequency.number_frequencies(df, columns) for df, columns in _many_numbers(spark, sf_dir)]
+    return frequency.modes(reduce(DataFrame.unionByName, rest, first))
 
 
 def _text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +353,30 @@ def discrete_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def histogram10(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = histogram.histogram10(table(spark, sf_dir, "lineitem"), LINE_MEASURES)
-    return rounded(lines.unionByName(histogram.histogram10(table(spark, sf_dir, "events"), ["value"])))
+    events = histogram.histogram10(table(spark, sf_dir, "events"), ["value"])
+    odd = histogram.histogram10(_with_infinities(table(spark, sf_dir, "lineitem")))
+    return rounded(lines.unionByName(events).unionByName(odd))
+
+
+def _with_infinities(lines: DataFrame) -> DataFrame:
+    """Numbers of which some, or all, are infinite."""
+    up, down = (F.lit(float(sign + "inf")) for sign in ("", "-"))
+    number, price = F.col("l_linenumber"), F.col("l_extendedprice").cast("double")
+    return lines.select(
+        F.when(number == 3, up).otherwise(price).alias("some_above"),
+        F.when(number == 3, up).when(number == 5, down).otherwise(price).alias("some_both"),
+        F.when(number < 3, up).otherwise(down).alias("all_infinite"),
+    )
+
+
+def profile_infinite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every figure of the report on columns with infinite values, as its JSON has them."""
+    document = json.loads(report_json(profile_frame(_with_infinities(table(spark, sf_dir, "lineitem")))))
+    rows = [
+        (r["Name"], metric, None if isinstance(v, str) or v is None else float(v), v if isinstance(v, str) else None)
+        for r in document["Fields"] for metric, v in r.items() if metric not in ("Name", "Type")
+    ]
+    return rounded(spark.createDataFrame(rows, "field string, metric string, number double, text string"))
 
 
 def pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,7 +413,8 @@ def profile_csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "lines-csv")
     lines = table(spark, sf_dir, "lineitem").select(*LINE_MEASURES, "l_returnflag", "l_linestatus")
     lines.write.option("header", True).csv(path)
-    return rounded(profile_file(spark, ProfileConfig(path)).numeric)
+    done = profile_file(spark, ProfileConfig(path))
+    return rounded(done.numeric.join(done.distinct_numbers, "field"))
 
 
 def profile_json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,7 +426,7 @@ def profile_json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = ["field", "n_unique", "has_mode"]
     strings = done.strings.select(*shared, F.col("mode").alias("text_mode"))
     return rounded(
-        done.numeric.select(*shared, "mode", "minimum", "maximum", "average", "median").unionByName(
+        done.numeric.join(done.distinct_numbers, "field").select(*shared, "mode", "minimum", "maximum", "average", "median").unionByName(
             strings, allowMissingColumns=True
         )
     )
@@ -460,11 +494,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         station_means, station_means_sql, keyed_mean, window_means, stream_window_means,
         stream_latest_state, stream_latest_state_batches, stream_acquire_raw, stream_acquire_raw_batches, stream_acquire_messages,
-        landed_responses, raw_file_order, headerless_names, profile_damaged, profile_report, telegram_parse, telegram_quarantine,
+        landed_responses, raw_file_order, headerless_names, profile_damaged, profile_infinite, profile_report, telegram_parse, telegram_quarantine,
         telegram_serialize, response_flatten, response_envelope, bbox_filter,
         csv_reading_parse, date_render, upsert_classify, station_upsert, raw_by_day,
         raw_by_day_store, field_types, field_types_cast, field_type_counts, numeric_profile,
-        numeric_quartiles, mode_or_none, string_profile, distinct_values, discrete_histogram,
+        numeric_quartiles, mode_or_none, numeric_distinct, string_profile, distinct_values, discrete_histogram,
         histogram10, pearson, blank_zero, nested_text, nul_scan, profile_csv_file,
         profile_json_file,
     )
