@@ -7,9 +7,9 @@ whole, the longest is cut to what is left. What cannot fill a sequence is dealt
 whose lengths are powers of two, which need no padding.
 
 Each task packs the documents it reads, out of a pool of a few hundred, so nothing is shuffled
-and memory does not grow with the input. A word's ids are kept for the next time it occurs;
-that is the same as encoding whole texts, since no token of the vocabulary spans white space
-(``tests/llm`` compares both).
+and memory does not grow with the input. The ids of words met lately are kept, and those of their
+parts: the tokenizer cuts texts at white space and, within plain words, between letters, digits and
+marks, and no token spans such a cut, so this is the same as encoding whole texts (``tests/llm`` compares both).
 
 A null text is empty, and an empty text is the end id alone. Repeated rows are packed each.
 """
@@ -17,68 +17,96 @@ A null text is empty, and an empty text is the end id alone. Repeated rows are p
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
 from isobar.llm.common import col, id_type, slices, text_of
 
 POOL, POOL_IDS = 256, 1 << 20
-CACHED_WORDS = 500_000
-SLICE_BYTES = 2 << 20
+#: Entries of a generation, some 200 bytes each.
+RECENT_WORDS, RECENT_PARTS = 200_000, 250_000
+#: Where the tokenizer cuts a word in lower case that is printable ASCII.
+PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+SLICE_BYTES = 4 << 20
+
+
+class Recent:
+    """Values of the keys met lately, in two generations: keys that are met again stay, the rest goes."""
+
+    def __init__(self, size: int, make: Callable[[list[str]], list[bytes]]) -> None:
+        self.size, self.make, self.now, self.before = size, make, {}, {}
+
+    def values(self, keys: list[str]) -> list[bytes]:
+        """One for each key; keys are all different."""
+        if len(self.now) > self.size:
+            self.now, self.before = {}, self.now
+        out = list(map(self.now.get, keys))
+        gaps = [k for k, value in enumerate(out) if value is None]
+        unknown = []
+        for k in gaps:
+            if (value := self.before.get(keys[k])) is None:
+                unknown.append(k)
+            else:
+                out[k] = value
+        for k, value in zip(unknown, self.make([keys[k] for k in unknown]) if unknown else [], strict=True):
+            out[k] = value
+        self.now.update((keys[k], out[k]) for k in gaps)
+        return out
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer file, word by word."""
+    """Ids of whole texts by a tokenizer file, word by word; new words part by part."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int = RECENT_WORDS, parts: int = RECENT_PARTS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.ends = [0]
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode words as one text and cut the ids at the words' offsets."""
-        texts = [w.decode() for w in words]
-        starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        self.words, self.parts = Recent(words, self.by_parts), Recent(parts, self.by_tokenizer)
+        # Texts that the tokenizer takes out before anything else may start with these.
+        special = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.plain = re.compile("[" + "".join(re.escape(chr(c)) for c in range(33, 127) if chr(c) not in special) + "]+").fullmatch
+
+    def by_tokenizer(self, texts: list[str]) -> list[bytes]:
+        """Encode texts without white space as one text and cut the ids where each starts."""
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(done.ids, dtype=np.uint32)
-        at = np.array([a for a, _ in done.offsets], dtype=np.int64)
-        cuts = np.searchsorted(at, starts[1:], "left")
-        used = self.ends[-1]
-        if used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
-        self.flat[used : used + len(ids)] = ids
-        first = len(self.ends) - 1
-        self.ends.extend((used + cuts).tolist())
-        self.known.update(zip(words, range(first, first + len(words)), strict=True))
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self.clear()
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w: None for ws in split for w in ws if w not in known})
-        if new:
-            self.learn(new)
-        numbers = np.fromiter((known[w] for ws in split for w in ws), dtype=np.int64, count=sum(map(len, split)))
-        ends = np.array(self.ends, dtype=np.int64)
-        lengths = ends[numbers + 1] - ends[numbers]
-        stops = np.cumsum(lengths)
-        total = int(stops[-1]) if len(stops) else 0
-        flat = self.flat[np.repeat(ends[numbers] - (stops - lengths), lengths) + np.arange(total)]
-        stops = np.concatenate([[0], stops])
-        cuts = stops[np.concatenate([[0], np.cumsum([len(ws) for ws in split])])]
-        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        at = np.fromiter(chain.from_iterable(done.offsets), dtype=np.int64, count=2 * len(done))[::2]
+        cuts = (4 * np.searchsorted(at, starts, "left")).tolist()
+        ids = np.array(done.ids, dtype="<u4").tobytes()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def by_parts(self, words: list[str]) -> list[bytes]:
+        cut = [PART.findall(w.lower()) if self.plain(w) else [w] for w in words]
+        parts = list(set(chain.from_iterable(cut)))
+        known = dict(zip(parts, self.parts.values(parts), strict=True)).__getitem__
+        return [b"".join(map(known, p)) for p in cut]
+
+    def encode(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
+        column = texts if isinstance(texts, pa.Array) else pa.array([t.decode() for t in texts], pa.string())
+        if not len(column):
+            return []
+        # White space at the ends leaves empty words, which have no ids.
+        split = pc.ascii_split_whitespace(column)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        ids = self.words.values(distinct)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        number = words.indices.to_numpy()
+        lengths = sizes[number]
+        stops = np.concatenate([[0], np.cumsum(lengths)])
+        first = np.cumsum(sizes) - sizes
+        out = flat[np.repeat(first[number] - stops[:-1], lengths) + np.arange(stops[-1])]
+        cuts = stops[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -177,9 +205,9 @@ def pack(
     def examples(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
         own = encoder(tokenizer)
         for part in slices(batch, "text", SLICE_BYTES):
-            ids = own.encode(part.column("text").cast(pa.binary()).to_pylist())
+            ids = own.encode(part.column("text"))
             prompts = (
-                own.encode(part.column("prompt").cast(pa.binary()).to_pylist())
+                own.encode(part.column("prompt"))
                 if prompt_col else [np.zeros(0, np.uint32)] * len(ids)
             )
             yield [
