@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from isobar.llm.common import GOLDEN, binaries, col, id_type, mixed, text_of, total_bytes
+from isobar.llm.common import GOLDEN, col, id_type, mixed, text_of, total_bytes
 from isobar.session import shared_dir
 
 # Keys of the two marks hold a space, which no word does.
@@ -45,14 +45,6 @@ BLOCK_BYTES = 4 << 20
 #: Blocks for each bucket of answers; each pair of them is a row.
 BLOCKS_PER_BUCKET = 4
 LEAST_BLOCKS = 32
-#: Blocks with smaller numbers are measured for the shares of unseen words: all.
-SAMPLE_BLOCKS = math.inf
-
-
-def words(text: bytes) -> list[bytes]:
-    """Lower-case A-Z, cut at ASCII white space: exactly what bytes methods do."""
-    return text.lower().split()
-
 
 @dataclass
 class Grams:
@@ -73,23 +65,26 @@ class Block:
     grams: list[Grams]
 
 
-def read_block(texts: list[bytes], train: np.ndarray, order: int) -> Block:
-    number: dict[bytes, int] = {START: 0, END: 1}
-    tokens: list[int] = []
-    first = [0]
-    for text in texts:
-        tokens.append(0)
-        for w in words(text):
-            if (k := number.get(w)) is None:
-                k = number[w] = len(number)
-            tokens.append(k)
-        tokens.append(1)
-        first.append(len(tokens))
-    token, start = np.array(tokens, dtype=np.int64), np.array(first, dtype=np.int64)
-    lengths = np.diff(start)
+def read_block(texts: pa.Array | pa.ChunkedArray, train: np.ndarray, order: int) -> Block:
+    """Lower-case A-Z, cut at ASCII white space, number the words and the n-grams."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
+    coded = split.flatten().dictionary_encode()
+    different, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    of_text = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
+    if "" in different:  # what white space at the ends leaves
+        gap = different.index("")
+        del different[gap]
+        of_text, code = of_text[code != gap], code[code != gap]
+        code = code - (code > gap)
+    lengths = np.bincount(of_text, minlength=len(split)) + 2
+    start = np.concatenate([[0], np.cumsum(lengths)])
+    token = np.zeros(start[-1], dtype=np.int64)
+    token[start[1:] - 1] = 1
+    token[np.arange(len(code)) + 2 * of_text + 1] = code + 2
     learn = np.repeat(train, lengths)
     place = np.arange(len(token)) - np.repeat(start[:-1], lengths)
-    keys = np.array([xxhash.xxh64_intdigest(w) for w in number], dtype=np.uint64)
+    keys = np.array([xxhash.xxh64_intdigest(w) for w in (START, END, *different)], dtype=np.uint64)
     n = len(keys)
     none = np.full(n, -1, dtype=np.int64)
     grams = [Grams(token, none, none, np.arange(n), keys, np.bincount(token[learn], minlength=n))]
@@ -138,7 +133,7 @@ def count_answers(rows: DataFrame, order: int, buckets: int) -> DataFrame:
     of single tokens a row of block -1: how many different ones were seen, and how often."""
 
     def ask(group: pa.Table) -> pa.Table:
-        block = read_block(binaries(group.column("text")), train_flags(group), order)
+        block = read_block(group.column("text"), train_flags(group), order)
         out = []
         for k, grams in enumerate(block.grams, 1):
             by, bucket = request_order(grams.key, buckets)
@@ -212,7 +207,7 @@ def novelty(rows: DataFrame, answers: DataFrame, order: int, buckets: int) -> li
     """For each length of context, by magnitude of its count: how often something new follows."""
 
     def measure(group: pa.Table, counts: pa.Table) -> pa.Table:
-        block = read_block(binaries(group.column("text")), train_flags(group), order)
+        block = read_block(group.column("text"), train_flags(group), order)
         totals, out = totals_of(block, counts, buckets), []
         for k in range(1, order):
             grams = block.grams[k]
@@ -235,57 +230,52 @@ def novelty(rows: DataFrame, answers: DataFrame, order: int, buckets: int) -> li
 
 
 class Automaton:
-    """The states and arcs that the texts of one block can reach."""
+    """The states and arcs that the texts of one block can reach.
+
+    A state is a seen n-gram that ends at the position before. The n-gram that is one word longer and ends at
+    the next position, if it was seen, is the arc; positions know their n-grams, so no arc is looked up.
+    """
 
     def __init__(
         self, block: Block, totals: list[np.ndarray], tokens: int, kinds: int, new_after: list[np.ndarray]
     ) -> None:
         self.block, self.known = block, totals[0] > 0
-        base, probability = [1], (totals[0] + 1.0) / (tokens + kinds + 1.0)
-        self.root = np.log10(probability).tolist()
-        width = self.width = len(totals[0])
-        arcs: dict[int, int] = {}
-        nodes = sum(len(t) for t in totals) + 1
-        weight, after, fail, falling = (np.zeros(nodes), *(np.zeros(nodes, dtype=np.int64) for _ in range(2)), np.zeros(nodes))
-        for k, (grams, total) in enumerate(zip(block.grams, totals, strict=True)):
-            at = base[-1] + np.arange(len(total))
-            seen = total > 0
-            if k:
-                context = totals[k - 1][grams.prefix]
-                z = new_after[k - 1][magnitude(context)]
-                probability = (1 - z) * total / np.maximum(context, 1) + z * probability[grams.suffix]
-                states = base[-2] + grams.prefix[seen]
-                arcs |= dict(zip((states * width + grams.word[seen]).tolist(), at[seen].tolist(), strict=True))
-                weight[at] = np.log10(probability)
-                fail[at] = np.where(totals[k - 1][grams.suffix] > 0, base[-2] + grams.suffix, 0)
-            last = k == len(totals) - 1
-            if not last:
-                falling[at] = np.log10(new_after[k][magnitude(total)])
-            after[at] = np.where(seen, fail[at] if last and k else at, 0)
-            base.append(base[-1] + len(total))
-        self.arcs, self.weight, self.after = arcs, weight.tolist(), after.tolist()
-        self.fail, self.falling = fail.tolist(), falling.tolist()
-        if len(totals) == 1:
-            self.after = [0] * nodes
-
-    def traverse(self, tokens: list[int]) -> float:
-        """log10 of the probability of the tokens after a start mark."""
-        find, weight, after, fail, falling, root, width = (
-            self.arcs.get, self.weight, self.after, self.fail, self.falling, self.root, self.width
-        )
-        state, score = after[1], 0.0  # node 1 is the start mark
-        for token in tokens:
-            while state:
-                arc = find(state * width + token)
-                if arc is not None:
-                    score += weight[arc]
-                    state = after[arc]
-                    break
-                score += falling[state]
-                state = fail[state]
-            else:
-                score += root[token]
-                state = after[token + 1]
+        probability = (totals[0] + 1.0) / (tokens + kinds + 1.0)
+        self.root = np.log10(probability)
+        #: By length: weights of the arcs by position, and what the failure arc of a state weighs and where it leads.
+        self.arcs, self.falling, self.fail = [self.root[block.token]], [], []
+        self.seen = [self.known[block.token]]
+        for k in range(1, len(totals)):
+            grams, context = block.grams[k], totals[k - 1]
+            z = new_after[k - 1]
+            self.falling.append(np.log10(z[magnitude(context)]).tolist())
+            self.fail.append(block.grams[k - 1].suffix.tolist())
+            of = context[grams.prefix]
+            share = z[magnitude(of)]
+            probability = (1 - share) * totals[k] / np.maximum(of, 1) + share * probability[grams.suffix]
+            there = grams.at >= 0
+            self.arcs.append(np.where(there, np.log10(probability)[grams.at], 0.0))
+            self.seen.append(there & (totals[k] > 0)[grams.at])
+
+    def walk(self, start: int, stop: int) -> float:
+        """log10 of the probability of the tokens from ``start + 1`` on, after the mark at ``start``."""
+        first, most = start + 1, len(self.arcs) - 1
+        at = [g.at[start:stop].tolist() for g in self.block.grams[: max(most, 1)]]
+        arcs, seen = ([x[start:stop].tolist() for x in xs] for xs in (self.arcs, self.seen))
+        falling, fail, score = self.falling, self.fail, 0.0
+        length = 1 if most and seen[0][0] else 0
+        state = at[0][0]
+        for i in range(1, stop - first + 1):
+            while length and not seen[length][i]:
+                score += falling[length - 1][state]
+                state = fail[length - 1][state]
+                length -= 1
+            score += arcs[length][i]
+            # The longest state that ends here: the arc's own n-gram, or one word less where that is as long as any.
+            if length < most:
+                length += seen[length][i]
+            if length:
+                state = at[length - 1][i]
         return score
 
 
@@ -315,17 +305,17 @@ def score(
     )
 
     def walk(group: pa.Table, counts: pa.Table) -> pa.Table:
-        block = read_block(binaries(group.column("text")), train_flags(group), order)
+        block = read_block(group.column("text"), train_flags(group), order)
         totals = totals_of(block, counts, buckets)
         automaton = Automaton(block, totals, tokens, kinds, new_after)
-        root, known = np.array(automaton.root), automaton.known
+        root, known = automaton.root, automaton.known
         names: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
-        for a, b in zip(block.first[:-1] + 1, block.first[1:], strict=True):
-            part = block.token[a:b]
-            names["n_tokens"].append(int(b - a))
+        for a, b in zip(block.first[:-1].tolist(), block.first[1:].tolist(), strict=True):
+            part = block.token[a + 1 : b]
+            names["n_tokens"].append(b - a - 1)
             names["n_known"].append(int(known[part].sum()))
             names["base_score"].append(float(root[part].sum()))
-            names["score"].append(automaton.traverse(part.tolist()))
+            names["score"].append(automaton.walk(a, b))
         return pa.table(
             {
                 id_col: group.column("id"),

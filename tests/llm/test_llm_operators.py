@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -55,13 +56,8 @@ def test_lm_against_plain_counts(spark, docs, texts, order):
             counts.update(tuple(m[j : j + k]) for j in range(len(m) - k + 1))
     counts[()] = tokens = sum(c for g, c in counts.items() if len(g) == 1 and g != (0,))
     kinds = sum(len(g) == 1 and g != (0,) for g in counts)
-    blocks = lm_scoring.LEAST_BLOCKS
-    sampled = {
-        r["id"] for r in lm_scoring.blocks_of(docs, train, "doc_id", "text", blocks).collect()
-        if r["block"] < lm_scoring.SAMPLE_BLOCKS
-    }
     for i, m in marked.items():
-        if i in sampled and i % 5:
+        if i % 5:
             for k in range(2, order + 1):
                 for j in range(k - 1, len(m)):
                     g = tuple(m[j - k + 1 : j + 1])
@@ -97,18 +93,29 @@ def test_lm_against_plain_counts(spark, docs, texts, order):
 
 
 def test_chances_after_a_context_sum_to_one():
-    block = lm_scoring.read_block([b"a b a c", b"a b b"], np.array([True, True]), 2)
+    texts = ["a b a c", "a b b", *"abc", *(f"a {w}" for w in "abc"), "", "a"]
+    block = lm_scoring.read_block(pa.array(texts), np.array([True, True] + [False] * 8), 2)
     totals = [g.count for g in block.grams]
     counted = totals[0][1:]
     own = lm_scoring.Automaton(block, totals, int(counted.sum()), len(counted), [np.full(64, 0.3)])
-    for text in ([], [b"a"]):
-        prefix = [block.token[1]] * len(text)
-        before = own.traverse(prefix)
-        chances = [10 ** (own.traverse(prefix + [w]) - before) for w in range(1, len(totals[0]))]
+    start = block.first.tolist()
+    for probes, before in (([2, 3, 4, 8], 0), ([5, 6, 7, 9], 1)):
+        # Each text up to the word that follows; the last is followed by its end.
+        chances = [10 ** (own.walk(start[t], start[t] + 2 + before) - own.walk(start[t], start[t] + 1 + before)) for t in probes]
         # All words that were seen; what is left after backing off is the chance of anything else.
         assert sum(chances) == pytest.approx(1 - 0.3 / (counted.sum() + len(counted) + 1))
 
 
+def test_blocks_are_read_as_bytes_are_split():
+    texts = ["", " ", " A\tb\x0b\x0cC\r\n ", "É\x1cé\x85x\u3000y", "b  a", "İ A"]
+    block = lm_scoring.read_block(pa.array(texts), np.array([True] * len(texts)), 1)
+    words = sorted({w for t in texts for w in t.encode().lower().split()})
+    lengths = [len(t.encode().lower().split()) + 2 for t in texts]
+    assert np.diff(block.first).tolist() == lengths and len(block.grams[0].key) == len(words) + 2
+    assert sorted(block.grams[0].key[2:].tolist()) == sorted(xxhash.xxh64_intdigest(w) for w in words)
+    assert [block.token[a] for a in block.first[:-1]] == [0] * 6 and [block.token[a - 1] for a in block.first[1:]] == [1] * 6
+
+
 # --- fingerprints -------------------------------------------------------------------
 
 
