@@ -7,9 +7,9 @@ whole, the longest is cut to what is left. What cannot fill a sequence is dealt
 whose lengths are powers of two, which need no padding.
 
 Each task packs the documents it reads, out of a pool of a few hundred, so nothing is shuffled
-and memory does not grow with the input. The ids of words met lately are kept, and those of their
-parts: the tokenizer cuts texts at white space and, within plain words, between letters, digits and
-marks, and no token spans such a cut, so this is the same as encoding whole texts (``tests/llm`` compares both).
+and memory does not grow with the input. The ids of the parts of words met lately are kept: the
+tokenizer cuts texts at white space and, within plain words, between letters, digits and marks, and
+no token spans such a cut, so this is the same as encoding whole texts (``tests/llm`` compares both).
 
 A null text is empty, and an empty text is the end id alone. Repeated rows are packed each.
 """
@@ -31,10 +31,11 @@ from isobar.llm.common import col, id_type, slices, text_of
 
 POOL, POOL_IDS = 256, 1 << 20
 #: Entries of a generation, some 200 bytes each.
-RECENT_WORDS, RECENT_PARTS = 200_000, 250_000
+RECENT_PARTS = 250_000
 #: Where the tokenizer cuts a word in lower case that is printable ASCII.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-SLICE_BYTES = 4 << 20
+#: A slice's different words are handled once: long slices repeat more of them.
+SLICE_BYTES = 16 << 20
 
 
 class Recent:
@@ -62,14 +63,14 @@ class Recent:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer file, word by word; new words part by part."""
+    """Ids of whole texts by a tokenizer file, each different word of a slice once, part by part."""
 
-    def __init__(self, path: str, words: int = RECENT_WORDS, parts: int = RECENT_PARTS) -> None:
+    def __init__(self, path: str, parts: int = RECENT_PARTS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = Recent(words, self.by_parts), Recent(parts, self.by_tokenizer)
+        self.parts = Recent(parts, self.by_tokenizer)
         # Texts that the tokenizer takes out before anything else may start with these.
         special = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.plain = re.compile("[" + "".join(re.escape(chr(c)) for c in range(33, 127) if chr(c) not in special) + "]+").fullmatch
@@ -97,7 +98,7 @@ class Encoder:
         split = pc.ascii_split_whitespace(column)
         words = split.flatten().dictionary_encode()
         distinct = words.dictionary.to_pylist()
-        ids = self.words.values(distinct)
+        ids = self.by_parts(distinct)
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         number = words.indices.to_numpy()
