@@ -35,7 +35,7 @@ RECENT_PARTS = 250_000
 #: Where the tokenizer cuts a word in lower case that is printable ASCII.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A slice's different words are handled once: long slices repeat more of them.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 12 << 20
 
 
 class Recent:
@@ -105,7 +105,10 @@ class Encoder:
         lengths = sizes[number]
         stops = np.concatenate([[0], np.cumsum(lengths)])
         first = np.cumsum(sizes) - sizes
-        out = flat[np.repeat(first[number] - stops[:-1], lengths) + np.arange(stops[-1])]
+        kind = np.int32 if stops[-1] < 1 << 31 else np.int64
+        place = np.repeat((first[number] - stops[:-1]).astype(kind), lengths)
+        place += np.arange(stops[-1], dtype=kind)
+        out = flat[place]
         cuts = stops[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 

@@ -22,16 +22,17 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from isobar.llm.common import col, slices, text_of
 from isobar.llm.components import written
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-TO_LOWER = {k: k + 32 for k in range(ord("A"), ord("Z") + 1)}
 SLICE_BYTES = 2 << 20
 #: One run in so many loses a letter.
 SLIP = 31
@@ -39,7 +40,7 @@ SLIP = 31
 SPLIT = 2048
 #: Letters of the pairs that are verified at once.
 VERIFIED = 1 << 22
-#: Rows of a matrix product.
+#: Rows of a matrix product. Smaller blocks are multiplied together.
 ROWS = 512
 
 
@@ -51,9 +52,9 @@ def words_of(doc_id: str, text: str, least: int) -> Counter[str]:
     word, the word is without one letter."""
     out: Counter[str] = Counter()
     start = zlib.crc32(f"{doc_id}:".encode())
-    for word, n in Counter(RUN.findall(text.translate(TO_LOWER))).items():
-        if len(word) < least:
-            continue
+    # Bytes are lower-cased only from A to Z.
+    runs = RUN.findall(text.encode().lower().decode())
+    for word, n in Counter([w for w in runs if len(w) >= least]).items():
         h = zlib.crc32(word.encode(), start)
         if h % SLIP == 0:
             k = h % len(word)
@@ -132,20 +133,21 @@ def letters(words: list[str]) -> np.ndarray:
 def counted(code: np.ndarray) -> np.ndarray:
     """Letter counts by word. Single precision is exact for the inner products of short words."""
     values, column = np.unique(code, return_inverse=True)
-    column = column.reshape(code.shape)
-    out = np.zeros((len(code), len(values)), dtype=np.float32 if code.shape[1] <= 2048 else np.float64)
-    for place in range(code.shape[1]):
-        np.add.at(out, (np.arange(len(code)), column[:, place]), 1)
+    cell = np.arange(len(code))[:, None] * len(values) + column.reshape(code.shape)
+    out = np.bincount(cell.ravel(), minlength=len(code) * len(values)).reshape(len(code), len(values))
+    out = out.astype(np.float32 if code.shape[1] <= 2048 else np.float64)
     return out[:, 1:] if values[0] == 0 else out
 
 
-def candidates(counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows, the first before the second, whose squared distance is at most 2."""
+def candidates(counts: np.ndarray, share: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one share, the first before the second, whose squared distance is at most 2. Rows of a share
+    are consecutive."""
     norm = (counts * counts).sum(axis=1)
     for k in range(0, len(counts), ROWS):
-        part, rest = counts[k : k + ROWS], counts[k:]
-        apart = norm[k : k + ROWS, None] + norm[None, k:] - 2 * (part @ rest.T)
-        a, b = np.nonzero(apart <= 2)
+        part, stop = counts[k : k + ROWS], int(np.searchsorted(share, share[min(k + ROWS, len(share)) - 1], "right"))
+        apart = norm[k : k + ROWS, None] + norm[None, k:stop] - 2 * (part @ counts[k:stop].T)
+        near = (apart <= 2) & (share[k : k + ROWS, None] == share[None, k:stop])
+        a, b = np.nonzero(near)
         later = b > a
         yield a[later] + k, b[later] + k
 
@@ -169,48 +171,77 @@ def one_edit(code: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -
     return near
 
 
-def earlier_kind(words: list[str], a: np.ndarray, b: np.ndarray, kind: int, length: int) -> np.ndarray:
-    """Which pairs share a block of a smaller kind as well."""
+def earlier_kind(word: str, other: str, kind: int, length: int) -> bool:
+    """Whether two words share a block of a smaller kind as well."""
     first, second = length // 3, length * 2 // 3
-    same = lambda x, y: x[:second] == y[:second] or (kind == 2 and x[first - length :] == y[first - length :])
-    return np.array([same(words[i], words[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
+    return kind > 0 and word[:second] == other[:second] or kind == 2 and word[first - length :] == other[first - length :]
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Rows of whole shares, share after share (numbered in order). ``same`` tells rows that came to be compared
+    with their own part of a block."""
+
+    words: list[str]
+    share: np.ndarray
+    kind: np.ndarray
+    length: np.ndarray
+    part: np.ndarray
+    same: np.ndarray
+
+    def near(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that are near, each where it counts."""
+        size = np.array([len(w) for w in self.words])
+        code = letters(self.words)
+        for a, b in candidates(counted(code), self.share):
+            # Two of the longer words are near in the blocks of their own length.
+            keep = (size[a] == self.length[a]) | (size[b] == self.length[a])
+            keep &= self.same[a] | (self.part[a] != self.part[b])
+            a, b = a[keep], b[keep]
+            keep = one_edit(code, size, a, b)
+            a, b = a[keep], b[keep]
+            rows = zip(a.tolist(), b.tolist(), self.kind[a].tolist(), self.length[a].tolist(), strict=True)
+            first = [not earlier_kind(self.words[i], self.words[j], kind, length) for i, j, kind, length in rows]
+            keep = np.array(first, dtype=bool)
+            yield a[keep], b[keep]
 
 
-def near_in_block(words: list[str], size: np.ndarray, part: np.ndarray, same: np.ndarray, kind: int, length: int):
-    """Pairs of rows of one share that count there; ``same`` tells the rows that came to be compared with their own part."""
-    if len(words) < 2 or size.min() > length:
+def bundles(share: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Whole shares together, from and to which row: about ``ROWS`` rows, unless one share has more, and no more padded
+    letters than are verified at once, unless one share has."""
+    if not len(share):
         return
-    code = letters(words)
-    own = bool(same.all())
-    for a, b in candidates(counted(code)):
-        # Two of the longer words are near in the blocks of their own length.
-        keep = (size[a] == length) | (size[b] == length)
-        if not own:
-            keep &= part[a] != part[b]
-        a, b = a[keep], b[keep]
-        keep = one_edit(code, size, a, b)
-        a, b = a[keep], b[keep]
-        if kind:
-            keep = ~earlier_kind(words, a, b, kind, length)
-            a, b = a[keep], b[keep]
-        yield a, b
+    starts = np.flatnonzero(np.concatenate([[True], share[1:] != share[:-1]]))
+    longest = np.maximum.reduceat(size, starts)
+    begin, most = 0, 0
+    for start, stop, own in zip(starts.tolist(), [*starts[1:].tolist(), len(share)], longest.tolist(), strict=True):
+        if start > begin and (stop - begin > ROWS or (stop - begin) * max(most, own) > VERIFIED):
+            yield begin, start
+            begin, most = start, 0
+        most = max(most, own)
+    yield begin, len(share)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n): every word with each word that one edit parts from it, both ways."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        texts, n = rows.column("word").to_pylist(), rows.column("n").to_numpy()
-        size = np.array([len(t) for t in texts])
-        part, same = (rows.column(c).to_numpy() for c in ("part", "same"))
-        kind, length = rows.column("kind")[0].as_py(), rows.column("length")[0].as_py()
-        word = rows.column("word").combine_chunks()
-        for a, b in near_in_block(texts, size, part, same, kind, length):
-            x, y = np.concatenate([a, b]), np.concatenate([b, a])
-            yield pa.RecordBatch.from_arrays(
-                [word.take(pa.array(x)), pa.array(n[x]), word.take(pa.array(y)), pa.array(n[y])],
-                names=["word", "n", "other", "other_n"],
-            )
+        share = rows.column("share").to_numpy()
+        # Most shares are one word.
+        alone = np.concatenate([[True], share[1:] != share[:-1]]) & np.concatenate([share[1:] != share[:-1], [True]])
+        rows = rows.filter(pa.array(~alone)).combine_chunks()
+        size = pc.utf8_length(rows.column("word")).to_numpy()
+        for start, stop in bundles(rows.column("share").to_numpy(), size):
+            own = rows.slice(start, stop - start)
+            word, n = own.column("word").combine_chunks(), own.column("n").to_numpy()
+            columns = [own.column(c).to_numpy() for c in ("share", "kind", "length", "part", "same")]
+            number = np.cumsum(np.concatenate([[False], columns[0][1:] != columns[0][:-1]]))
+            for a, b in Cells(word.to_pylist(), number, *columns[1:]).near():
+                x, y = np.concatenate([a, b]), np.concatenate([b, a])
+                yield pa.RecordBatch.from_arrays(
+                    [word.take(pa.array(x)), pa.array(n[x]), word.take(pa.array(y)), pa.array(n[y])],
+                    names=["word", "n", "other", "other_n"],
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []  # the open share, which may go on in the next batch
@@ -219,11 +250,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
                 continue
             table = pa.concat_tables([*held, pa.table(batch)])
             share = table.column("share").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], share[1:] != share[:-1]]))
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                if b - a > 1:
-                    yield from pairs(table.slice(a, b - a))
-            held = [table.slice(int(starts[-1]))]
+            last = int(np.searchsorted(share, share[-1], "left"))
+            if last:
+                yield from pairs(table.slice(0, last))
+            held = [table.slice(last)]
         if held:
             yield from pairs(held[0])
 

@@ -82,5 +82,19 @@ def test_chains_of_forms(spark):
 def test_distances_are_exact_for_long_words():
     words = ["a" * 5000 + "b", "a" * 5001, "a" * 4999 + "bb", "a" * 4998 + "bbb"]
     counts = spelling.counted(spelling.letters(words))
-    pairs = {(int(a), int(b)) for x, y in spelling.candidates(counts) for a, b in zip(x, y, strict=True)}
+    pairs = {(int(a), int(b)) for x, y in spelling.candidates(counts, np.zeros(4, int)) for a, b in zip(x, y, strict=True)}
     assert counts.dtype == np.float64 and pairs == {(0, 1), (0, 2), (2, 3)}
+
+
+def test_bundles_hold_whole_shares():
+    rng = np.random.default_rng(1)
+    share = np.sort(rng.integers(0, 300, 4000))
+    size = rng.integers(1, 9, 4000)
+    size[77] = 1 << 21  # a word so long that its share stays alone
+    cuts = list(spelling.bundles(share, size))
+    assert [a for a, _ in cuts[1:]] == [b for _, b in cuts[:-1]] and (cuts[0][0], cuts[-1][1]) == (0, 4000)
+    assert all(share[a] != share[a - 1] for a, _ in cuts[1:])
+    assert sum(b - a > spelling.ROWS for a, b in cuts) == 0 and len(cuts) < 15
+    alone = [(a, b) for a, b in cuts if a <= 77 < b]
+    assert len({int(s) for s in share[alone[0][0] : alone[0][1]]}) == 1
+    assert list(spelling.bundles(share[:0], size[:0])) == []
