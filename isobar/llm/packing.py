@@ -7,8 +7,8 @@ whole, the longest is cut to what is left. What cannot fill a sequence is dealt
 whose lengths are powers of two, which need no padding.
 
 Each task packs the documents it reads, out of a pool of a few hundred, so nothing is shuffled
-and memory does not grow with the input. The ids of the parts of words met lately are kept: the
-tokenizer cuts texts at white space and, within plain words, between letters, digits and marks, and
+and memory does not grow with the input. The ids of words met lately and of their parts are
+kept: the tokenizer cuts texts at white space and, within plain words, between letters, digits and marks, and
 no token spans such a cut, so this is the same as encoding whole texts (``tests/llm`` compares both).
 
 A null text is empty, and an empty text is the end id alone. Repeated rows are packed each.
@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame, types as T
 from isobar.llm.common import col, id_type, slices, text_of
 
 POOL, POOL_IDS = 256, 1 << 20
-#: Entries of a generation, some 200 bytes each.
-RECENT_PARTS = 250_000
+#: Words of a worker's table, some 60 bytes each, and parts of words in each generation, some 200 bytes each.
+RECENT_WORDS, RECENT_PARTS = 1_000_000, 200_000
+#: What a vocabulary of this kind writes at the end of a token that ends a word.
+WORD_END = "</w>"
 #: Where the tokenizer cuts a word in lower case that is printable ASCII.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A slice's different words are handled once: long slices repeat more of them.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 
 
 class Recent:
@@ -62,53 +64,107 @@ class Recent:
         return out
 
 
+class WordTable:
+    """Ids of the words met lately, as flat arrays: a slice's words are looked up in one call."""
+
+    def __init__(self, limit: int, make: Callable[[list[str]], list[bytes]]) -> None:
+        self.limit, self.make, self.turn = limit, make, 0
+        self.words = pa.array([], pa.string())
+        self.start, self.size, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, dtype=np.uint32)
+
+    def forget(self) -> None:
+        """Keep the half that was met last."""
+        stay = np.sort(np.argsort(self.met, kind="stable")[-(self.limit // 2) :])
+        self.words = self.words.take(pa.array(stay))
+        self.flat = gathered(self.flat, self.start[stay], self.size[stay])
+        self.size, self.met = self.size[stay], self.met[stay]
+        self.start = np.cumsum(self.size) - self.size
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The entries of some words, all different; what is not known is made."""
+        if len(self.words) > self.limit:
+            self.forget()
+        self.turn += 1
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(found.is_null())
+        place = found.fill_null(0).to_numpy().copy()
+        if len(new):
+            ids = self.make(new.to_pylist())
+            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+            place[found.is_null().to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), dtype="<u4")])
+            self.words = pa.concat_arrays([self.words, new])
+        self.met[place] = self.turn
+        return place
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` of those sizes from those starts on, one after the other."""
+    stops = np.cumsum(size)
+    total = int(stops[-1]) if len(stops) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    place = np.repeat((start - (stops - size)).astype(kind), size)
+    place += np.arange(total, dtype=kind)
+    return flat[place]
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer file, each different word of a slice once, part by part."""
+    """Ids of whole texts by a tokenizer file, word by word; new words part by part."""
 
-    def __init__(self, path: str, parts: int = RECENT_PARTS) -> None:
+    def __init__(self, path: str, words: int = RECENT_WORDS, parts: int = RECENT_PARTS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Recent(parts, self.by_tokenizer)
-        # Texts that the tokenizer takes out before anything else may start with these.
-        special = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.words, self.parts = WordTable(words, self.by_parts), Recent(parts, self.by_tokenizer)
+        # Texts that the tokenizer takes out before anything else start with these.
+        special = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()} | {"<"}
+        #: By id, whether the token ends a word.
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
         self.plain = re.compile("[" + "".join(re.escape(chr(c)) for c in range(33, 127) if chr(c) not in special) + "]+").fullmatch
 
     def by_tokenizer(self, texts: list[str]) -> list[bytes]:
-        """Encode texts without white space as one text and cut the ids where each starts."""
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        """Encode texts without white space as one text and cut the ids where each ends."""
         done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        at = np.fromiter(chain.from_iterable(done.offsets), dtype=np.int64, count=2 * len(done))[::2]
-        cuts = (4 * np.searchsorted(at, starts, "left")).tolist()
-        ids = np.array(done.ids, dtype="<u4").tobytes()
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        ids = np.array(done.ids, dtype="<u4")
+        # A part of a plain word ends with its one word end; other texts may hold several.
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if not (all(map(self.plain, texts)) and len(stops) == len(texts)):
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            at = np.fromiter(chain.from_iterable(done.offsets), dtype=np.int64, count=2 * len(done))[::2]
+            stops = np.searchsorted(at, starts[1:], "left")
+        packed, cuts = ids.tobytes(), (4 * np.concatenate([[0], stops])).tolist()
+        return [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def by_parts(self, words: list[str]) -> list[bytes]:
-        cut = [PART.findall(w.lower()) if self.plain(w) else [w] for w in words]
-        parts = list(set(chain.from_iterable(cut)))
-        known = dict(zip(parts, self.parts.values(parts), strict=True)).__getitem__
-        return [b"".join(map(known, p)) for p in cut]
+        plain = list(map(self.plain, words))
+        odd = [w for w, yes in zip(words, plain, strict=True) if not yes]
+        cut = [PART.findall(w.lower()) if yes else (w,) for w, yes in zip(words, plain, strict=True)]
+        parts = list(set(chain.from_iterable(cut)).difference(odd))
+        known = dict(zip(parts, self.parts.values(parts), strict=True)) if parts else {}
+        known.update(zip(odd, self.by_tokenizer(odd), strict=True) if odd else ())
+        known_ids = known.__getitem__
+        return [known_ids(p[0]) if len(p) == 1 else b"".join(map(known_ids, p)) for p in cut]
 
     def encode(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
         column = texts if isinstance(texts, pa.Array) else pa.array([t.decode() for t in texts], pa.string())
         if not len(column):
             return []
+        # The tokenizer lower-cases anyway, but takes out special texts before that; they hold a ``<``.
+        if not pc.any(pc.match_substring(column, "<")).as_py():
+            column = pc.ascii_lower(column)
         # White space at the ends leaves empty words, which have no ids.
         split = pc.ascii_split_whitespace(column)
         words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        ids = self.by_parts(distinct)
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        number = words.indices.to_numpy()
-        lengths = sizes[number]
-        stops = np.concatenate([[0], np.cumsum(lengths)])
-        first = np.cumsum(sizes) - sizes
-        kind = np.int32 if stops[-1] < 1 << 31 else np.int64
-        place = np.repeat((first[number] - stops[:-1]).astype(kind), lengths)
-        place += np.arange(stops[-1], dtype=kind)
-        out = flat[place]
+        place = self.words.places(words.dictionary)[words.indices.to_numpy()]
+        size = self.words.size[place]
+        out = gathered(self.words.flat, self.words.start[place], size)
+        stops = np.concatenate([[0], np.cumsum(size)])
         cuts = stops[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
