@@ -106,6 +106,16 @@ def test_chances_after_a_context_sum_to_one():
         assert sum(chances) == pytest.approx(1 - 0.3 / (counted.sum() + len(counted) + 1))
 
 
+def test_keys_come_back_from_their_gaps():
+    rng = np.random.default_rng(4)
+    for n, buckets in ((1, 1), (5, 3), (4000, 54), (3, 1 << 20)):
+        key = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        order, bucket = lm_scoring.request_order(key, buckets)
+        for b in set(bucket.tolist()):
+            own = key[order][bucket == b]
+            assert lm_scoring.unspaced(lm_scoring.spaced(own, buckets), b, buckets).tolist() == own.tolist()
+
+
 def test_blocks_are_read_as_bytes_are_split():
     texts = ["", " ", " A\tb\x0b\x0cC\r\n ", "É\x1cé\x85x\u3000y", "b  a", "İ A"]
     block = lm_scoring.read_block(pa.array(texts), np.array([True] * len(texts)), 1)
@@ -326,6 +336,66 @@ def test_language_on_held_out_documents(spark):
 # --- packing ------------------------------------------------------------------------
 
 
+def _language_texts(rng, n, size=(40, 120)):
+    """Texts of three made languages, each with a vocabulary of its own."""
+    makers = {
+        lang: ["".join(rng.choices(letters, k=rng.randrange(3, 9))) for _ in range(400)]
+        for lang, letters in (("aa", "abcdefgh"), ("bb", "defghijkl"), ("cc", "hijklmnop"))
+    }
+    return [(k, lang, " ".join(rng.choices(makers[lang], k=rng.randrange(*size)))) for k, lang in enumerate(rng.choices(list(makers), k=n))]
+
+
+def test_language_by_sizes(spark):
+    """Predictions are the smallest sums of compressed parts, by the dictionaries that were learned."""
+    import zstandard
+
+    texts = _language_texts(random.Random(5), 200)
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string")
+    learned = langid.dictionaries(docs, F.col("doc_id") < 120, "lang", "text")
+    found = {r["doc_id"]: r for r in langid.identify(docs, F.col("doc_id") < 120).collect()}
+    for k, lang, text in texts:
+        sizes = {}
+        for name, content in learned.items():
+            own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=own, write_content_size=False, write_checksum=False)
+            sizes[name] = sum(len(packer.compress(p)) for p in langid.parts_of(langid.plain(text)))
+        assert found[k]["lang_pred"] == min(sorted(sizes), key=sizes.get)
+        assert found[k]["lang_pred"] == lang
+
+
+def test_languages_behind_a_shared_header(spark):
+    """Texts that begin alike for longer than a piece: what follows is learned."""
+    rng = random.Random(6)
+    header = " ".join("".join(rng.choices("qrstuvwxyz", k=6)) for _ in range(800))
+    texts = [(k, lang, f"{header} {text}") for k, lang, text in _language_texts(rng, 120, (500, 900))]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, F.col("doc_id") < 60).collect()}
+    held = [found[k] == lang for k, lang, _ in texts if k >= 60]
+    assert sum(held) >= 0.95 * len(held)
+
+
+def test_copies_do_not_starve_a_dictionary(spark):
+    rng = random.Random(7)
+    own = _language_texts(rng, 300)
+    copies = [(1000 + k, "aa", "same words again and again " * 200) for k in range(3000)]
+    docs = spark.createDataFrame(own + copies, "doc_id long, lang string, text string")
+    learned = langid.dictionaries(docs, F.lit(True), "lang", "text", size=20_000)
+    assert len(learned["aa"]) >= 15_000
+
+
+def test_many_languages_share_the_space(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ALL_BYTES", 300_000)
+    docs = spark.range(1500).selectExpr(
+        "id AS doc_id", "concat('l', id % 150) AS lang",
+        "concat_ws(' ', transform(sequence(0, 300), i -> translate(sha2(concat(id % 150, '-', (i * 7 + id) % 90), 256), '0123456789', 'ghijklmnop'))) AS text",
+    )
+    learned = langid.dictionaries(docs, F.lit(True), "lang", "text")
+    assert len(learned) == 150 and max(map(len, learned.values())) <= 2000
+    rows = langid.identify(docs, F.lit(True)).join(docs, "doc_id").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.95 * len(rows)
+
+
+
 def test_word_by_word_is_whole_texts():
     from tokenizers import Tokenizer
 
