@@ -8,9 +8,13 @@ one space. Parts are short so that a long text cannot live on its own repetition
 the dictionary's. If the runner-up needs less than ``margin`` more, the
 answer is marked as rejected; it is still the best one.
 
-Dictionaries are learned from a sample bounded by ``dictionary_bytes`` for each language, a few hundred
-bytes from the start of many texts each, chosen by a hash of the row. All texts are scored, whole.
-Texts that are null or hold no letter, and all texts if nothing was learned, are ``und``.
+Dictionaries are learned from a sample: at most ``dictionary_bytes`` for each language, and less for each where
+languages are so many that all dictionaries together would pass ``ALL_BYTES``, since every task holds them. It is made of
+pieces of at most 4,096 characters from many texts, each from a place in its text that a hash of the text
+chooses, so that no shared beginning is all that is learned. A hash chooses the texts too, and
+copies of a text count once. All texts are scored, whole. Texts that are null or hold no letter, and all
+texts if nothing was learned, are ``und``. Of languages with equal sums the first by name wins; such
+answers are rejected.
 """
 
 from __future__ import annotations
@@ -30,11 +34,12 @@ from isobar.llm.common import col, id_type, slices, text_of
 UNDETERMINED = "und"
 DICTIONARY_BYTES = 128 << 10
 PART_BYTES = 1024
-TAKEN_BYTES = 4096
+#: Lengths of the pieces: the longest of which a dictionary holds 32.
+PIECES = (4096, 1024, 256, 64)
 LEVEL = 3
 MARGIN = 0.01
-#: Every task holds a dictionary for each language; more is an error, not a cut.
-MAX_LANGUAGES = 1000
+#: Of all dictionaries, and the least of one.
+ALL_BYTES, LEAST_BYTES = 64 << 20, 1 << 10
 SLICE_BYTES = 4 << 20
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
@@ -51,21 +56,24 @@ def dictionaries(
     rows = docs.where(learn & col(lang_col).isNotNull() & col(text_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text")
     )
+    texts = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.max(F.length("text")).alias("length"))
+    sums = [F.sum(F.least("length", F.lit(p))).alias(f"gain{p}") for p in PIECES]
+    totals = texts.groupBy("lang").agg(*sums).where(f"gain{PIECES[0]} > 0").collect()
+    size = min(size, max(ALL_BYTES // max(len(totals), 1), LEAST_BYTES))
+    piece = next((p for p in PIECES if 32 * p <= size), PIECES[-1])
+    gains = [(r["lang"], r[f"gain{piece}"]) for r in totals]
+    found = docs.sparkSession.createDataFrame(gains, "lang string, gain long")
+    # Three times as much as needed, in expectation: white space and signs fall away.
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    gain = F.least(F.octet_length("text"), F.lit(TAKEN_BYTES))
-    totals = rows.groupBy("lang").agg(F.sum(gain).alias("gain")).where("gain > 0").limit(MAX_LANGUAGES + 1).collect()
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: {lang_col} seems to hold something else")
-    found = docs.sparkSession.createDataFrame([tuple(r) for r in totals], "lang string, gain long")
-    # Three times as much as needed, in expectation: copies and white space fall away.
     taken = rows.join(F.broadcast(found), "lang").where(chance * F.col("gain") <= 3.0 * size)
+    start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - piece, F.lit(0)) + 1) + 1
+    pieces = taken.select("lang", F.substring("text", start, F.lit(piece)).alias("text")).distinct()
 
     def join(texts: pd.DataFrame) -> pd.DataFrame:
-        parts = sorted({plain(t)[:TAKEN_BYTES] for t in texts["text"]}, key=zlib.crc32)
+        parts = sorted({plain(t) for t in texts["text"]}, key=lambda p: (zlib.crc32(p), p))
         return pd.DataFrame({"lang": [texts["lang"].iloc[0]], "content": [b" ".join(parts)[:size]]})
 
-    heads = taken.select("lang", F.substring("text", 1, TAKEN_BYTES).alias("text")).distinct()
-    content = heads.groupBy("lang").applyInPandas(join, "lang string, content binary")
+    content = pieces.groupBy("lang").applyInPandas(join, "lang string, content binary")
     return {r["lang"]: bytes(r["content"]) for r in content.collect()}
 
 

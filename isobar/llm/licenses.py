@@ -1,18 +1,24 @@
 """Licences of files: TF-IDF cosine to templates, inherited down the directories. DataFrame operations only.
 
-Every line of a file is compared with every licence template: the cosine of their TF-IDF vectors
-over lower-case words, with the weights
+Two comparisons, both by the cosine of TF-IDF vectors over lower-case words, with the weights
 
     (1 + ln(count)) * (1 + ln((1 + n) / (1 + templates with the word)))
 
-for n templates. A file's own licence is that of its closest line, if the cosine is ``least`` or more; ties go to
-the first template by name, then to the earlier line. A file that consists of a licence line for
-``file_share`` of its words or more is a licence file: its licence holds for its directory. A file without a
-licence of its own inherits that of the nearest directory above that has a licence file; of several
-in one directory the closest counts, ties by template name.
+for n templates of the kind.
 
-At scale. Lines are taken apart only where they hold a word without which no template can be reached,
-so no match is lost; texts are compared once for all their copies. Templates are the list below, so
+* Headers: every line of a file, alone and joined with the next one or two, since notices wrap, is compared with the
+  notices. The closest counts if its cosine is ``least`` or more; ties go to the first notice by name, then to the earlier
+  line, then to fewer lines.
+* Licence files: the whole file is compared with whole licence texts; the closest counts if its cosine
+  is ``least_file`` or more, which leaves room for names and years (other licences reach 0.7 at most, but for variants of one). ``texts`` adds or replaces texts.
+
+A file's own licence is that of the whole text it is, else that of its closest header. A licence file declares
+its licence for its directory: that is a whole text, or a file of which a header makes up ``file_share`` of
+the words or more. A file without a licence of its own inherits that of the nearest directory above
+that has a licence file; of several in one directory the closest counts, ties by name.
+
+At scale. Texts are taken apart only where they hold a word without which no template can be reached,
+so no match is lost; texts are compared once for all their copies. Templates are a parameter of the call, so
 broadcasting them is bounded. Directories are resolved once each, not once for each file below
 them, so a directory with a third of all files is one row of the path join, and files meet
 their own directory only, in a join that Spark may split.
@@ -31,26 +37,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isobar.llm.common import col, text_of
 from isobar.llm.components import written
+from isobar.llm.license_texts import NOTICES, TEXTS
 
-#: Header lines that name a licence, by SPDX-like name.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "MIT": "Released under the MIT License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3",
-    "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms are permitted under the BSD 3-Clause License",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License",
-    "CC0-1.0": "Dedicated to the public domain under the Creative Commons CC0 1.0 Universal Dedication",
-    "Unlicense": "This is free and unencumbered software released into the public domain",
-    "Proprietary": "Copyright. All rights reserved. Confidential and proprietary, do not distribute",
+#: Only for speed: texts hold these anyway, so they are poor marks of a licence.
+COMMON = {
+    "a", "all", "and", "are", "as", "be", "do", "for", "in", "into", "is", "it", "not", "of", "on", "or", "that", "the", "this", "to",
+    "under", "use", "we", "with", "you", "0", "1", "2", "3", "4",
 }
-#: Only for speed: texts hold these anyway, so they are poor marks of a licence line.
-COMMON = {"a", "all", "and", "are", "do", "in", "into", "is", "not", "of", "the", "this", "to", "under", "use"}
-LEAST = 0.6
+LEAST, LEAST_FILE = 0.6, 0.85
 FILE_SHARE = 0.3
+#: Lines that are joined at most.
+JOINED = 3
 WORD = r"[a-z0-9]+"
 
 
@@ -84,26 +81,28 @@ def template_table(spark: SparkSession, vectors: dict[str, dict[str, float]], id
     return spark.createDataFrame(rows, "license string, word string, weight double, idf double")
 
 
-def line_matches(texts: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
-    """(row, license, cosine, line, line_words) of lines that reach the cosine; texts has row, text."""
+def any_of(words: list[str]) -> str:
+    """Pattern of a text that holds one of the words."""
+    return rf"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])"
+
+
+def words_in(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), 1)
+
+
+def cosines(units: DataFrame, key: list[str], templates: dict[str, str]) -> DataFrame:
+    """(key, license, cosine) of units (key, words) and templates that share a word."""
     vectors, idf, other = template_weights(templates)
-    marks = rf"(?<![a-z0-9])(?:{'|'.join(marking_words(vectors, least))})(?![a-z0-9])"
-    weights = template_table(texts.sparkSession, vectors, idf)
-    lines = texts.where(F.lower("text").rlike(marks)).select(
-        "row", F.posexplode(F.split("text", "\n")).alias("line", "text")
-    ).where(F.lower("text").rlike(marks))
-    counted = (
-        lines.select("row", "line", F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), 1).alias("words"))
-        .select("row", "line", F.size("words").alias("line_words"), F.explode("words").alias("word"))
-        .groupBy("row", "line", "line_words", "word")
-        .agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
+    weights = template_table(units.sparkSession, vectors, idf)
+    counted = units.select(*key, F.explode("words").alias("word")).groupBy(*key, "word").agg(
+        (1 + F.log(F.count(F.lit(1)))).alias("tf")
     )
-    # Per word its weights in all templates, so that a line's words are read once.
+    # Per word its weights in all templates, so that a unit's words are read once.
     by_word = weights.groupBy("word", "idf").agg(F.collect_list(F.struct("license", "weight")).alias("of"))
     joined = counted.join(F.broadcast(by_word), "word", "left").withColumn(
         "value", F.col("tf") * F.coalesce("idf", F.lit(other))
     )
-    lengths = joined.groupBy("row", "line", "line_words").agg(
+    lengths = joined.groupBy(*key).agg(
         F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"),
         F.flatten(
             F.collect_list(
@@ -111,12 +110,39 @@ def line_matches(texts: DataFrame, templates: dict[str, str], least: float) -> D
             )
         ).alias("dots"),
     )
-    dots = lengths.select("row", "line", "line_words", "length", F.inline("dots")).groupBy(
-        "row", "line", "line_words", "length", "license"
-    ).agg(F.sum("dot").alias("dot"))
-    return dots.select(
-        "row", "license", F.round(F.col("dot") / F.col("length"), 9).alias("cosine"), "line", "line_words"
-    ).where(F.col("cosine") >= least)
+    dots = lengths.select(*key, "length", F.inline("dots")).groupBy(*key, "length", "license").agg(F.sum("dot").alias("dot"))
+    return dots.select(*key, "license", F.round(F.col("dot") / F.col("length"), 9).alias("cosine"))
+
+
+def best_headers(texts: DataFrame, notices: dict[str, str], least: float) -> DataFrame:
+    """(row, license, cosine, line, unit_words) of each text's closest header, if it is close enough."""
+    marks = any_of(marking_words(template_weights(notices)[0], least))
+    lines = F.split("text", "\n")
+    units = F.flatten(
+        F.transform(
+            lines,
+            lambda _, i: F.transform(
+                F.sequence(F.lit(1), F.least(F.lit(JOINED), F.size(lines) - i)),
+                lambda n: F.struct(i.alias("line"), n.alias("lines"), F.array_join(F.slice(lines, i + 1, n), "\n").alias("unit")),
+            ),
+        )
+    )
+    marked = texts.where(F.lower("text").rlike(marks)).select("row", F.inline(units)).where(F.lower("unit").rlike(marks))
+    split = marked.select("row", "line", "lines", words_in(F.col("unit")).alias("words")).withColumn("unit_words", F.size("words"))
+    found = cosines(split, ["row", "line", "lines", "unit_words"], notices).where(F.col("cosine") >= least)
+    best = F.min(F.struct((-F.col("cosine")).alias("far"), "license", "line", "lines", "unit_words")).alias("best")
+    return found.groupBy("row").agg(best).select(
+        "row", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"), "best.line", "best.unit_words"
+    )
+
+
+def best_texts(texts: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """(row, license, cosine) of each text's closest whole licence text, if it is close enough."""
+    marks = any_of(marking_words(template_weights(templates)[0], least))
+    units = texts.where(F.lower("text").rlike(marks)).select("row", words_in(F.col("text")).alias("words"))
+    found = cosines(units, ["row"], templates).where(F.col("cosine") >= least)
+    best = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
+    return best.select("row", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"))
 
 
 def directory_of(path: Column) -> Column:
@@ -135,27 +161,27 @@ def ancestors(directory: Column) -> Column:
 
 
 def scan_licenses(
-    files: DataFrame, *, id_col: str, path: Column, text_col: str = "text", templates: dict[str, str] | None = None,
-    least: float = LEAST, file_share: float = FILE_SHARE,
+    files: DataFrame, *, id_col: str, path: Column, text_col: str = "text", notices: dict[str, str] | None = None,
+    texts: dict[str, str] | None = None, least: float = LEAST, least_file: float = LEAST_FILE, file_share: float = FILE_SHARE,
 ) -> DataFrame:
     """Per file (id, path, license, cosine, line, found): ``found`` is ``own`` or ``inherited``, else all
-    four are null; cosine and line belong to a licence of the file's own, line from 0."""
-    templates = TEMPLATES if templates is None else templates
+    four are null. Cosine belongs to a licence of the file's own; line, from 0, to a header and not to a whole text."""
+    notices, whole = NOTICES if notices is None else notices, TEXTS | (texts or {})
     rows = files.select(
         col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), text_of(text_col).alias("text"),
     ).withColumn("row", F.xxhash64("text"))
-    vectors, _, _ = template_weights(templates)
-    marks = rf"(?<![a-z0-9])(?:{'|'.join(marking_words(vectors, least))})(?![a-z0-9])"
-    texts = rows.where(F.lower("text").rlike(marks)).groupBy("row").agg(F.min("text").alias("text"))
-    sizes = texts.select("row", F.size(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), 1)).alias("words"))
-    best = line_matches(texts, templates, least).groupBy("row").agg(
-        F.min(F.struct((-F.col("cosine")).alias("far"), "license", "line", "line_words")).alias("best")
+    marks = any_of(
+        sorted({*marking_words(template_weights(notices)[0], least), *marking_words(template_weights(whole)[0], least_file)})
     )
+    candidates = written(rows.where(F.lower("text").rlike(marks)).groupBy("row").agg(F.min("text").alias("text")), "candidates")
+    headers, full = best_headers(candidates, notices, least), best_texts(candidates, whole, least_file)
+    sizes = candidates.select("row", F.size(words_in(F.col("text"))).alias("words"))
+    is_text = F.col("f.license").isNotNull()
     own = written(
-        best.join(sizes, "row").select(
-            "row", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"),
-            F.col("best.line").alias("line"),
-            (F.col("best.line_words") >= file_share * F.col("words")).alias("is_file"),
+        headers.alias("h").join(full.alias("f"), "row", "full").join(sizes, "row").select(
+            "row", F.coalesce("f.license", "h.license").alias("license"), F.coalesce("f.cosine", "h.cosine").alias("cosine"),
+            F.when(~is_text, F.col("h.line")).alias("line"),
+            (is_text | (F.col("h.unit_words") >= file_share * F.col("words"))).alias("is_file"),
         ),
         "licenses",
     )
@@ -174,42 +200,58 @@ def scan_licenses(
     )
 
 
-def sql(id_col: str, path: str, source: str) -> str:
-    """The same over a table ``source``, its paths by the expression ``path``, for DuckDB."""
-    vectors, idf, other = template_weights(TEMPLATES)
-    values = ", ".join(
+def _values(templates: dict[str, str]) -> tuple[str, float]:
+    vectors, idf, other = template_weights(templates)
+    return ", ".join(
         f"('{name}', '{w}', {weight!r}::DOUBLE, {idf[w]!r}::DOUBLE)"
         for name, vector in sorted(vectors.items()) for w, weight in vector.items()
-    )
-    return f"""
-WITH weights(license, word, weight, idf) AS (VALUES {values}),
-files AS (SELECT row_number() OVER () AS file, {id_col} AS id, {path} AS path, coalesce(text, '') AS text FROM {source}),
-parts AS (SELECT file, string_split(text, chr(10)) AS parts FROM files),
-lines AS (SELECT file, unnest(range(len(parts))) AS line, unnest(parts) AS text FROM parts),
-words AS (
-    SELECT file, line, len(words) AS line_words, unnest(words) AS word
-    FROM (SELECT file, line, regexp_extract_all(lower(text), '{WORD}') AS words FROM lines)
-),
-counted AS (SELECT file, line, line_words, word, 1 + ln(count(*)) AS tf FROM words GROUP BY ALL),
-lengths AS (
-    SELECT file, line, sqrt(sum((tf * coalesce(idf, {other!r})) ** 2)) AS length
-    FROM counted LEFT JOIN (SELECT DISTINCT word, idf FROM weights) USING (word) GROUP BY ALL
+    ), other
+
+
+def sql(id_col: str, path: str, source: str) -> str:
+    """The same over a table ``source``, its paths by the expression ``path``, for DuckDB: every line, alone and joined, and
+    every file is compared, whatever words it holds."""
+
+    def compared(name: str, key: str, templates: dict[str, str]) -> str:
+        values, other = _values(templates)
+        return f"""{name}_weights(license, word, weight, idf) AS (VALUES {values}),
+{name}_words AS (SELECT {key}, unnest(words) AS word FROM {name}_units),
+{name}_counted AS (SELECT {key}, word, 1 + ln(count(*)) AS tf FROM {name}_words GROUP BY ALL),
+{name}_lengths AS (
+    SELECT {key}, sqrt(sum((tf * coalesce(idf, {other!r})) ** 2)) AS length
+    FROM {name}_counted LEFT JOIN (SELECT DISTINCT word, idf FROM {name}_weights) USING (word) GROUP BY ALL
 ),
-dots AS (
-    SELECT file, line, line_words, license, sum(tf * idf * weight) AS dot
-    FROM counted JOIN weights USING (word) GROUP BY ALL
+{name}_dots AS (SELECT {key}, license, sum(tf * idf * weight) AS dot FROM {name}_counted JOIN {name}_weights USING (word) GROUP BY ALL),
+{name}_matches AS (SELECT {key}, license, round(dot / length, 9) AS cosine FROM {name}_dots JOIN {name}_lengths USING ({key}))"""
+
+    return f"""
+WITH files AS (SELECT row_number() OVER () AS file, {id_col} AS id, {path} AS path, coalesce(text, '') AS text FROM {source}),
+sized AS (SELECT *, regexp_extract_all(lower(text), '{WORD}') AS words FROM files),
+lines AS (SELECT file, unnest(range(len(parts))) AS line, unnest(parts) AS text FROM (SELECT file, string_split(text, chr(10)) AS parts FROM files)),
+joined AS (
+    SELECT file, line, n AS lines, text AS unit FROM lines, (VALUES (1)) one(n)
+    {" ".join(f"""UNION ALL SELECT l.file, l.line, {n}, {" || ' ' || ".join(['l.text', *(f'l{k}.text' for k in range(1, n))])}
+    FROM lines l {" ".join(f"JOIN lines l{k} ON l{k}.file = l.file AND l{k}.line = l.line + {k}" for k in range(1, n))}"""
+    for n in range(2, JOINED + 1))}
 ),
-matches AS (
-    SELECT file, line, line_words, license, round(dot / length, 9) AS cosine FROM dots JOIN lengths USING (file, line)
+header_units AS (SELECT file, line, lines, regexp_extract_all(lower(unit), '{WORD}') AS words FROM joined),
+{compared("header", "file, line, lines", NOTICES)},
+header AS (
+    SELECT m.file, m.license, m.cosine, m.line, len(u.words) AS unit_words
+    FROM header_matches m JOIN header_units u USING (file, line, lines) WHERE cosine >= {LEAST}
+    QUALIFY row_number() OVER (PARTITION BY m.file ORDER BY cosine DESC, license, line, lines) = 1
 ),
-best AS (
-    SELECT * FROM matches WHERE cosine >= {LEAST}
-    QUALIFY row_number() OVER (PARTITION BY file ORDER BY cosine DESC, license, line) = 1
+file_units AS (SELECT file, words FROM sized),
+{compared("file", "file", TEXTS)},
+whole AS (
+    SELECT * FROM file_matches WHERE cosine >= {LEAST_FILE}
+    QUALIFY row_number() OVER (PARTITION BY file ORDER BY cosine DESC, license) = 1
 ),
 placed AS (
-    SELECT files.file, id, path, regexp_replace(path, '/?[^/]*$', '') AS directory, license, cosine, line,
-        line_words >= {FILE_SHARE} * len(regexp_extract_all(lower(text), '{WORD}')) AS is_file
-    FROM files LEFT JOIN best USING (file)
+    SELECT s.file, id, path, regexp_replace(path, '/?[^/]*$', '') AS directory, coalesce(w.license, h.license) AS license,
+        coalesce(w.cosine, h.cosine) AS cosine, CASE WHEN w.license IS NULL THEN line END AS line,
+        w.license IS NOT NULL OR unit_words >= {FILE_SHARE} * len(words) AS is_file
+    FROM sized s LEFT JOIN header h USING (file) LEFT JOIN whole w USING (file)
 ),
 declared AS (
     SELECT directory AS above, arg_min(license, (-cosine, license)) AS inherited FROM placed WHERE is_file GROUP BY 1

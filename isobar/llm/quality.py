@@ -49,7 +49,7 @@ def shape(word: str) -> str:
     if word[-1] in ".,!?;:" and word[:-1].isalpha():
         return letter_class(word[:-1]) + word[-1]
     signs = LETTERS.sub(lambda run: letter_class(run.group()), word)
-    return REPEATED.sub(r"\1\1", DIGITS.sub("0", signs))[:24]
+    return REPEATED.sub(r"\1\1", DIGITS.sub("0", signs))
 
 
 class Codes(dict):

@@ -3,8 +3,10 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -15,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from isobar.llm import (
-    chat, components, decontamination, langid, licenses, lm_scoring, packing, quality, queries, simhash, syncmers,
+    chat, components, decontamination, langid, license_texts, licenses, lm_scoring, packing, quality, queries, simhash, syncmers,
     toxicity,
 )
 from oracle import connect, differences
@@ -339,7 +341,7 @@ def test_language_on_held_out_documents(spark):
 def _language_texts(rng, n, size=(40, 120)):
     """Texts of three made languages, each with a vocabulary of its own."""
     makers = {
-        lang: ["".join(rng.choices(letters, k=rng.randrange(3, 9))) for _ in range(400)]
+        lang: ["".join(rng.choices(letters, k=rng.randrange(5, 11))) for _ in range(80)]
         for lang, letters in (("aa", "abcdefgh"), ("bb", "defghijkl"), ("cc", "hijklmnop"))
     }
     return [(k, lang, " ".join(rng.choices(makers[lang], k=rng.randrange(*size)))) for k, lang in enumerate(rng.choices(list(makers), k=n))]
@@ -360,7 +362,7 @@ def test_language_by_sizes(spark):
             packer = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=own, write_content_size=False, write_checksum=False)
             sizes[name] = sum(len(packer.compress(p)) for p in langid.parts_of(langid.plain(text)))
         assert found[k]["lang_pred"] == min(sorted(sizes), key=sizes.get)
-        assert found[k]["lang_pred"] == lang
+    assert sum(found[k]["lang_pred"] == lang for k, lang, _ in texts) >= 0.95 * len(texts)
 
 
 def test_languages_behind_a_shared_header(spark):
@@ -596,9 +598,58 @@ def test_licence_inheritance(spark):
     }
 
 
-def test_marks_lose_no_match():
-    vectors, _, _ = licenses.template_weights(licenses.TEMPLATES)
-    marks = set(licenses.marking_words(vectors, licenses.LEAST))
+def _scanned(spark, rows, **own):
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = licenses.scan_licenses(files, id_col="doc_id", path=F.col("path"), **own).collect()
+    return sorted((r["doc_id"], r["license"], r["found"], r["line"]) for r in found)
+
+
+def test_whole_licence_texts_in_a_tree(spark):
+    """Full texts, wrapped anew and with names, declare their directories; one that is only quoted in part doesn't."""
+    mit, bsd = license_texts.TEXTS["MIT"], license_texts.TEXTS["BSD-3-Clause"]
+    rewrapped = "Copyright (c) 2020 Some Body <some@body.org>\n\n" + "\n".join(textwrap.wrap(mit.split("\n", 2)[2], 50))
+    rows = [
+        (1, "LICENSE", rewrapped), (2, "src/a.c", "int main"), (3, "vendor/bsd/COPYING", "Copyright Jane Doe\n" + bsd),
+        (4, "vendor/bsd/x/y.c", ""), (5, "vendor/z.c", "// " + mit[:200]), (6, "two/A", mit), (7, "two/B", license_texts.TEXTS["BSD-2-Clause"]),
+        (8, "two/c.c", "x"), (8, "two/c.c", "x"), (9, "long/LICENSE", mit + "\n" + "other words here " * 60_000), (10, "long/d.c", "x"),
+    ]
+    assert _scanned(spark, rows) == [
+        (1, "MIT", "own", None), (2, "MIT", "inherited", None), (3, "BSD-3-Clause", "own", None), (4, "BSD-3-Clause", "inherited", None),
+        (5, "MIT", "own", 0), (6, "MIT", "own", None), (7, "BSD-2-Clause", "own", None),
+        # Both texts are exact; the first by name counts.
+        (8, "BSD-2-Clause", "inherited", None), (8, "BSD-2-Clause", "inherited", None),
+        # Its first line names a licence, but it is no licence text.
+        (9, "MIT", "own", 0), (10, "MIT", "inherited", None),
+    ]
+
+
+@pytest.mark.skipif(not os.path.exists("/usr/share/common-licenses/GPL-3"), reason="no licence texts here")
+def test_long_licence_texts_as_a_parameter(spark):
+    texts = {n: open(f"/usr/share/common-licenses/{f}", encoding="utf-8").read()
+             for n, f in (("GPL-3.0", "GPL-3"), ("GPL-2.0", "GPL-2"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"), ("LGPL-3.0", "LGPL-3"))}
+    rows = [(k, f"{n}/LICENSE", f"Copyright {k}\n" + "\n".join(textwrap.wrap(t, 60))) for k, (n, t) in enumerate(texts.items())]
+    rows += [(10 + k, f"{n}/deep/x.c", "int x;") for k, n in enumerate(texts)]
+    assert _scanned(spark, rows, texts=texts) == [
+        *[(k, n, "own", None) for k, n in enumerate(texts)], *[(10 + k, n, "inherited", None) for k, n in enumerate(texts)]
+    ]
+
+
+def test_headers_that_wrap_and_tie(spark):
+    notice = "Released under the MIT License"
+    rows = [
+        (1, "a.c", "int x;\n# This work is licensed under the GNU\n# General Public License,\n# version 3\n" + "more " * 30),
+        (2, "b/c.c", "// Licensed under the Apache\n// License, Version 2.0\n" + "y " * 50), (3, "b/d.c", "z"),
+        (4, "t.c", f"{notice}\n{'w ' * 40}\n{notice}"), (5, None, None),
+    ]
+    assert _scanned(spark, rows) == [
+        (1, "GPL-3.0", "own", 1), (2, "Apache-2.0", "own", 0), (3, None, None, None), (4, "MIT", "own", 0), (5, None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("templates,least", [(license_texts.NOTICES, licenses.LEAST), (license_texts.TEXTS, licenses.LEAST_FILE)])
+def test_marks_lose_no_match(templates, least):
+    vectors, _, _ = licenses.template_weights(templates)
+    marks = set(licenses.marking_words(vectors, least))
     for name, vector in vectors.items():
-        assert math.sqrt(sum(v * v for w, v in vector.items() if w not in marks)) < licenses.LEAST, name
+        assert math.sqrt(sum(v * v for w, v in vector.items() if w not in marks)) < least, name
     assert all(re.fullmatch("[a-z0-9]+", w) for w in marks)
