@@ -6,8 +6,8 @@ Two comparisons, both by the cosine of TF-IDF vectors over lower-case words, wit
 
 for n templates of the kind.
 
-* Headers: every line of a file, alone and joined with the next one or two, since notices wrap, is compared with the
-  notices. The closest counts if its cosine is ``least`` or more; ties go to the first notice by name, then to the earlier
+* Headers: every line of a file, and comment lines also joined with the next one or two, since notices wrap, is compared
+  with the notices. The closest counts if its cosine is ``least`` or more; ties go to the first notice by name, then to the earlier
   line, then to fewer lines.
 * Licence files: the whole file is compared with whole licence texts; the closest counts if its cosine
   is ``least_file`` or more, which leaves room for names and years (other licences reach 0.7 at most, but for variants of one). ``texts`` adds or replaces texts.
@@ -42,12 +42,13 @@ from isobar.llm.license_texts import NOTICES, TEXTS
 #: Only for speed: texts hold these anyway, so they are poor marks of a licence.
 COMMON = {
     "a", "all", "and", "are", "as", "be", "do", "for", "in", "into", "is", "it", "not", "of", "on", "or", "that", "the", "this", "to",
-    "under", "use", "we", "with", "you", "0", "1", "2", "3", "4",
+    "under", "use", "we", "with", "you", "0", "1", "2", "3", "4", "an", "at", "by", "from", "mit", "no",
 }
 LEAST, LEAST_FILE = 0.6, 0.85
 FILE_SHARE = 0.3
-#: Lines that are joined at most.
+#: Comment lines that are joined at most, and how they begin.
 JOINED = 3
+COMMENT = r"^\s*(//|#|/?\*|;|--|%|<!--)"
 WORD = r"[a-z0-9]+"
 
 
@@ -118,16 +119,19 @@ def best_headers(texts: DataFrame, notices: dict[str, str], least: float) -> Dat
     """(row, license, cosine, line, unit_words) of each text's closest header, if it is close enough."""
     marks = any_of(marking_words(template_weights(notices)[0], least))
     lines = F.split("text", "\n")
-    units = F.flatten(
-        F.transform(
-            lines,
-            lambda _, i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(JOINED), F.size(lines) - i)),
-                lambda n: F.struct(i.alias("line"), n.alias("lines"), F.array_join(F.slice(lines, i + 1, n), "\n").alias("unit")),
-            ),
+
+    def from_line(_: Column, i: Column) -> Column:
+        """struct(line, lines, unit): the line, and with it the next ones as long as all are comments."""
+        run = F.slice(lines, i + 1, JOINED)
+        other = F.transform(run, lambda line, k: F.when(~line.rlike(COMMENT), k))
+        size = F.greatest(F.coalesce(F.array_min(other), F.size(run)), F.lit(1))
+        return F.transform(
+            F.sequence(F.lit(1), size),
+            lambda n: F.struct(i.alias("line"), n.alias("lines"), F.array_join(F.slice(run, F.lit(1), n), "\n").alias("unit")),
         )
-    )
-    marked = texts.where(F.lower("text").rlike(marks)).select("row", F.inline(units)).where(F.lower("unit").rlike(marks))
+
+    units = F.flatten(F.transform(lines, from_line))
+    marked = texts.select("row", F.inline(units)).where(F.lower("unit").rlike(marks))
     split = marked.select("row", "line", "lines", words_in(F.col("unit")).alias("words")).withColumn("unit_words", F.size("words"))
     found = cosines(split, ["row", "line", "lines", "unit_words"], notices).where(F.col("cosine") >= least)
     best = F.min(F.struct((-F.col("cosine")).alias("far"), "license", "line", "lines", "unit_words")).alias("best")
@@ -138,8 +142,7 @@ def best_headers(texts: DataFrame, notices: dict[str, str], least: float) -> Dat
 
 def best_texts(texts: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
     """(row, license, cosine) of each text's closest whole licence text, if it is close enough."""
-    marks = any_of(marking_words(template_weights(templates)[0], least))
-    units = texts.where(F.lower("text").rlike(marks)).select("row", words_in(F.col("text")).alias("words"))
+    units = texts.select("row", words_in(F.col("text")).alias("words"))
     found = cosines(units, ["row"], templates).where(F.col("cosine") >= least)
     best = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
     return best.select("row", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"))
@@ -170,18 +173,21 @@ def scan_licenses(
     rows = files.select(
         col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), text_of(text_col).alias("text"),
     ).withColumn("row", F.xxhash64("text"))
-    marks = any_of(
-        sorted({*marking_words(template_weights(notices)[0], least), *marking_words(template_weights(whole)[0], least_file)})
-    )
-    candidates = written(rows.where(F.lower("text").rlike(marks)).groupBy("row").agg(F.min("text").alias("text")), "candidates")
-    headers, full = best_headers(candidates, notices, least), best_texts(candidates, whole, least_file)
-    sizes = candidates.select("row", F.size(words_in(F.col("text"))).alias("words"))
+
+    def marked(templates: dict[str, str], bound: float) -> DataFrame:
+        """Texts that may reach the cosine, once for all copies."""
+        marks = any_of(marking_words(template_weights(templates)[0], bound))
+        return rows.where(F.lower("text").rlike(marks)).groupBy("row").agg(F.min("text").alias("text"))
+
+    noticed = marked(notices, least)
+    headers, full = best_headers(noticed, notices, least), best_texts(marked(whole, least_file), whole, least_file)
+    sizes = noticed.select("row", F.size(words_in(F.col("text"))).alias("words"))
     is_text = F.col("f.license").isNotNull()
     own = written(
-        headers.alias("h").join(full.alias("f"), "row", "full").join(sizes, "row").select(
+        headers.join(sizes, "row").alias("h").join(full.alias("f"), "row", "full").select(
             "row", F.coalesce("f.license", "h.license").alias("license"), F.coalesce("f.cosine", "h.cosine").alias("cosine"),
             F.when(~is_text, F.col("h.line")).alias("line"),
-            (is_text | (F.col("h.unit_words") >= file_share * F.col("words"))).alias("is_file"),
+            (is_text | (F.col("h.unit_words") >= file_share * F.col("h.words"))).alias("is_file"),
         ),
         "licenses",
     )
@@ -231,7 +237,8 @@ lines AS (SELECT file, unnest(range(len(parts))) AS line, unnest(parts) AS text
 joined AS (
     SELECT file, line, n AS lines, text AS unit FROM lines, (VALUES (1)) one(n)
     {" ".join(f"""UNION ALL SELECT l.file, l.line, {n}, {" || ' ' || ".join(['l.text', *(f'l{k}.text' for k in range(1, n))])}
-    FROM lines l {" ".join(f"JOIN lines l{k} ON l{k}.file = l.file AND l{k}.line = l.line + {k}" for k in range(1, n))}"""
+    FROM lines l {" ".join(f"JOIN lines l{k} ON l{k}.file = l.file AND l{k}.line = l.line + {k}" for k in range(1, n))}
+    WHERE {" AND ".join(f"regexp_matches({t}.text, '{COMMENT}')" for t in ['l', *(f'l{k}' for k in range(1, n))])}"""
     for n in range(2, JOINED + 1))}
 ),
 header_units AS (SELECT file, line, lines, regexp_extract_all(lower(unit), '{WORD}') AS words FROM joined),
