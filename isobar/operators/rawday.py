@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from isobar.functions.times import day_of_month, event_time, full_day
+from isobar.operators.bykey import by_day, newest
 
 RAW_KEY = ["id", "date", "eventtime"]
 _VALUES = ["humidity", "pressure", "temperature", "winddirection", "windspeed"]
@@ -32,16 +33,9 @@ def last_write_wins(raw: DataFrame, arrival: str) -> DataFrame:
     hash aggregate; all columns share the ordering and so come from one row.
     A row without arrival comes before all others.
     """
-    order = F.coalesce(F.col(arrival).cast("bigint"), F.lit(-(2**63)))
-    return raw.groupBy(*RAW_KEY, "day").agg(*[F.max_by(v, order).alias(v) for v in _VALUES]).select(
-        *RAW_KEY, *_VALUES, "day"
-    )
+    return newest(raw, [*RAW_KEY, "day"], arrival).select(*RAW_KEY, *_VALUES, "day")
 
 
 def clustered(raw: DataFrame) -> DataFrame:
-    """Laid out for writing by day: ordered by id and time inside each file.
-
-    A rebalance, not a plain repartition, so that AQE splits a day that holds much
-    more than the others over several writers.
-    """
-    return raw.hint("rebalance", "day").sortWithinPartitions("day", "id", "eventtime")
+    """Laid out for writing by day: ordered by id and time inside each file."""
+    return by_day(raw, "id", "eventtime")

@@ -204,6 +204,17 @@ SELECT (time // 60) * 60 AS window_start, (time // 60) * 60 + 60 AS window_end,
        id, location, latitude, longitude, {_ROUNDED_MEANS}
 FROM t GROUP BY ALL"""
 
+# A batch leaves out readings whose window ends no later than a minute before the newest reading of earlier batches.
+_CLOSED_WINDOWS = f"""WITH {_T},
+b AS (SELECT *, least({' + '.join(f'CAST(time >= {at} AS INTEGER)' for at in SPLIT_SECONDS)}
+  + CAST(event_id % 7 = 3 AS INTEGER), 3) AS batch FROM t),
+w AS (SELECT batch, max(max(time)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 60 AS passed
+  FROM b GROUP BY batch)
+SELECT (time // 60) * 60 AS window_start, (time // 60) * 60 + 60 AS window_end,
+       id, location, latitude, longitude, {_ROUNDED_MEANS}
+FROM b JOIN w USING (batch) WHERE passed IS NULL OR (time // 60) * 60 + 60 > passed
+GROUP BY ALL"""
+
 _FLAT = f"""WITH {_T}
 SELECT event_id, CAST(id + 1000 * i AS INTEGER) AS id, location, latitude, longitude, temp, pressure,
        humidity, windspeed, winddirection, time + 60 AS time, 1700000000 + event_id AS observed_at
@@ -227,8 +238,8 @@ folded AS (SELECT ids.id, {first}, {newest} FROM ids {joins})
 SELECT id, place, location, {_STATE}, time FROM folded"""
 
 
-def _report_rows(name: str, numbers: list[str], texts: list[str], source: str) -> str:
-    """The records of a report as source, field, metric, number, text."""
+def _report_rows(name: str, numbers: list[str], texts: list[str], source: str, **attributes: str) -> str:
+    """The records of a report as source, field, metric, number, text; ``attributes`` are those of the table."""
     metrics = {
         "Minimum": "round(s.minimum, 6)", "Maximum": "round(s.maximum, 6)", "Range": "round(s.range, 6)",
         "Average": "round(s.average, 6)", "Variance": "s.variance", "Standard Deviation": "s.stddev",
@@ -245,8 +256,8 @@ def _report_rows(name: str, numbers: list[str], texts: list[str], source: str) -
         f"""SELECT '{name}' AS source, r.* FROM (WITH v AS ({_unpivoted(numbers, source)}), {_quartiles('v')}, {_modes('v')},
 s AS (SELECT field, {_SUMMARY} FROM v GROUP BY field)
 {listed} UNION ALL SELECT field, 'Type', NULL, 'Numeric' FROM s) r""",
-        f"""SELECT '{name}', NULL, 'filetype', NULL, 'TABLE'
-UNION ALL SELECT '{name}', NULL, 'No Of Fields', {float(len(numbers) + len(texts))}, NULL""",
+        f"SELECT '{name}', NULL, 'No Of Fields', {float(len(numbers) + len(texts))}, NULL",
+        *[f"SELECT '{name}', NULL, '{k}', NULL, '{v}'" for k, v in (attributes or {"filetype": "TABLE"}).items()],
     ]
     if texts:
         parts.append(f"""SELECT '{name}', r.* FROM (WITH v AS ({_unpivoted(texts, source, 'VARCHAR')}), {_modes('v')}
@@ -265,6 +276,11 @@ UNION ALL {_report_rows('pair', ['l_quantity', 'l_extendedprice'], [], 'lineitem
 UNION ALL SELECT 'pair', NULL, 'Pearsons CC (l_quantity Vs l_extendedprice)',
     round(corr(CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE)), 6), NULL FROM lineitem"""
 
+_SETTINGS = _report_rows(
+    "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"], "orders",
+    filetype="CSV", FieldSeparator=";", HeaderPresent="True",
+)
+
 _DAMAGED = """WITH o AS (SELECT o_orderkey AS k, o_totalprice AS p FROM orders)
 SELECT 'json' AS source, count(*) FILTER (WHERE k % 7 = 4) AS n_malformed, count(*) FILTER (WHERE k % 7 = 4 OR p IS NULL) AS n_blank,
        CAST(0 AS BIGINT) AS n_invalid, CAST(0 AS BIGINT) AS n_nan, count(p) FILTER (WHERE k % 7 <> 4) AS n FROM o
@@ -275,11 +291,14 @@ SELECT 'csv', count(*) FILTER (WHERE k % 5 IN (3, 4)), count(*) FILTER (WHERE k
        count(*) FILTER (WHERE k % 5 <> 3 AND k % 11 <> 5 AND k % 13 <> 6) FROM o"""
 
 
-def _acquired(batches: int) -> str:
+_KEPT = "SELECT 'raw' AS kept_as, CAST(id AS VARCHAR) AS id, time AS at, temp AS temperature, humidity, pressure"
+
+
+def _acquired(batches: int, columns: str = _RAW) -> str:
     """The last batch that has a station and second counts, and its last reading of them."""
     return f"""WITH flat AS ({_FLAT}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id, time ORDER BY event_id % {batches} DESC, observed_at DESC) AS rn FROM flat)
-{_RAW} FROM ranked WHERE rn = 1"""
+{columns} FROM ranked WHERE rn = 1"""
 
 
 SQL: dict[str, str] = {
@@ -292,6 +311,11 @@ SELECT strftime(make_timestamp(time * 1000000), '%Y-%m-%d') AS day, count(*) AS
     "headerless_names": """SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_quantity AS DOUBLE) AS var1, CAST(l_extendedprice AS DOUBLE) AS price,
        CAST(l_discount AS DOUBLE) AS var3, CAST(l_tax AS DOUBLE) AS var4 FROM lineitem""",
     "profile_damaged": _DAMAGED,
+    "stream_restart": f"""{_acquired(3, _KEPT)}
+UNION ALL SELECT 'message', CAST(id AS VARCHAR), time, temp, humidity, pressure FROM flat""",
+    "stream_progress": """SELECT CAST(k AS BIGINT) AS batch_id, count(event_id) AS rows, count(event_id) = 0 AS idle,
+       CAST(0 AS BIGINT) AS late, true AS timed FROM range(4) b(k) LEFT JOIN events ON event_id % 3 = k GROUP BY k""",
+    "profile_settings": _SETTINGS,
     "profile_infinite": _infinite_report(),
     "profile_report": _REPORT,
     "station_means": f"""WITH {_T} SELECT id, location, latitude, longitude, {_ROUNDED_MEANS}
@@ -302,6 +326,7 @@ FROM t GROUP BY id, location, latitude, longitude""",
 FROM events GROUP BY event_type""",
     "window_means": _WINDOW_MEANS,
     "stream_window_means": _WINDOW_MEANS,
+    "stream_closed_windows": _CLOSED_WINDOWS,
     "stream_latest_state": f"WITH {_T}, {_resolved('cur', 'true')} SELECT id, place, location, {_STATE}, time FROM cur",
     "stream_acquire_raw": _acquired(1),
     "stream_acquire_raw_batches": _acquired(3),

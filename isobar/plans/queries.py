@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from isobar.functions.nested import as_text
@@ -23,8 +25,9 @@ from isobar.sources.lateststate import LatestState
 from isobar.sources.messages import MESSAGE, landed_responses as file_responses, publish_to_files
 from isobar.sources.rawstore import RawStore
 from isobar.sources.tables import contains_nul, read_text_table
-from isobar.sources.versions import complete_versions, version_path, write_version
-from isobar.streaming.jobs import run_acquisition, run_station_means, run_window_means
+from isobar.sources.versions import write_text, write_version
+from isobar.streaming.health import ProgressTable
+from isobar.streaming.jobs import run_acquisition, run_station_means, run_window_means, window_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,16 +84,35 @@ def _telegram_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "window-means")
-    out = f"{root}/out"
+    store = window_store(f"{root}/out")
     run_window_means(
-        _telegram_stream(spark, sf_dir), out, f"{root}/checkpoint", drain=True, name=None
+        _telegram_stream(spark, sf_dir), store, f"{root}/checkpoint", drain=True, name=None
     ).awaitTermination()
-    newest = spark.read.option("basePath", out).parquet(
-        *[version_path(out, v) for v in complete_versions(spark, out)]
-    )
-    key = ["window_start", "window_end", *STATION_KEY]
-    current = newest.groupBy(*key).agg(*[F.max_by(c, "v").alias(c) for c in (*MEASURES, "time")])
-    return rounded(current)
+    return rounded(store.read(spark).drop("day"))
+
+
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four parts of the readings by time, a batch each; every seventh reading comes a batch late and is left out
+    where the watermark has passed its window. Ticks at the end close what is open. Windows are written once."""
+    root = shared_dir(spark, "closed-windows")
+    store = window_store(f"{root}/out", fold_every=3)
+    readings = telegrams(spark, sf_dir).withColumn(
+        "batch", reduce(lambda n, at: n + (F.col("time") >= at).cast("int"), SPLIT_SECONDS, F.lit(0))
+    ).withColumn("batch", F.least(F.col("batch") + (F.col("event_id") % 7 == 3).cast("int"), F.lit(3)))
+    messages = telegram.to_messages(readings)
+    nothing = spark.range(0).select(F.col("id").alias("time"))
+    nothing.write.parquet(f"{root}/ticks")
+    for batch in range(6):
+        if batch < 4:
+            telegram.to_messages(readings.where(F.col("batch") == batch)).write.mode("append").parquet(f"{root}/landed")
+        else:
+            # The watermark of a batch is seen by the next one.
+            spark.range(1).select(F.lit(1 << 33).alias("time")).write.mode("append").parquet(f"{root}/ticks")
+        run_window_means(
+            spark.readStream.schema(messages.schema).parquet(f"{root}/landed"), store, f"{root}/checkpoint", closed=True,
+            ticks=spark.readStream.schema(nothing.schema).parquet(f"{root}/ticks"), drain=True, name=None,
+        ).awaitTermination()
+    return rounded(store.read(spark).drop("day"))
 
 
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +176,84 @@ def stream_acquire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telegram.accepted(telegram.parse_messages(messages, keep=["key"]))
 
 
+class _Interrupted(RuntimeError):
+    pass
+
+
+@dataclass(frozen=True)
+class _FailingStore(RawStore):
+    """Fails before or after a batch is written."""
+
+    place: str = ""
+
+    def write(self, telegrams: DataFrame, batch_id: int, arrival: str | None = None) -> None:
+        if self.place == "published":
+            raise _Interrupted(self.place)
+        super().write(telegrams, batch_id, arrival)
+        if self.place == "written":
+            raise _Interrupted(self.place)
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of responses. The job dies in each of them before it publishes, then between publishing and
+    writing, then before the batch is committed, and goes on from its checkpoint each time."""
+    root = shared_dir(spark, "restart")
+    landed = as_responses(telegrams(spark, sf_dir)).select("event_id", "value", "landed_at")
+    publish = publish_to_files(f"{root}/messages")
+
+    def failing(messages: DataFrame, batch_id: int) -> None:
+        raise _Interrupted("read")
+
+    for batch in range(3):
+        part = landed.where(F.col("event_id") % 3 == batch).drop("event_id")
+        part.write.mode("append").parquet(f"{root}/landed")
+        for place in ("read", "published", "written", ""):
+            query = run_acquisition(
+                spark.readStream.schema(part.schema).parquet(f"{root}/landed"), failing if place == "read" else publish,
+                _FailingStore(f"{root}/raw", fold_every=2, place=place), f"{root}/checkpoint", drain=True, name=None,
+            )
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if not place:
+                    raise
+            else:
+                if place:
+                    raise RuntimeError(f"batch {batch} was not interrupted: {place}")
+    raw = RawStore(f"{root}/raw").read(spark).select(
+        F.lit("raw").alias("kept_as"), "id", F.unix_seconds("eventtime").alias("at"), "temperature", "humidity", "pressure"
+    )
+    messages = spark.read.schema(MESSAGE).option("recursiveFileLookup", "true").json(f"{root}/messages")
+    sent = telegram.accepted(telegram.parse_messages(messages, keep=["key"])).select(
+        F.lit("message").alias("kept_as"), F.col("key").alias("id"), F.col("time").alias("at"),
+        F.col("temp").alias("temperature"), "humidity", "pressure",
+    )
+    return raw.unionByName(sent)
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed figures of four batches, the last of them without input."""
+    root = shared_dir(spark, "progress")
+    landed = as_responses(telegrams(spark, sf_dir)).select("event_id", "value", "landed_at")
+    table_of = ProgressTable(spark, f"{root}/progress", per_file=1)
+    spark.streams.addListener(table_of)
+    try:
+        for batch in range(4):
+            part = landed.where(F.col("event_id") % 3 == batch).drop("event_id")
+            part.coalesce(1).write.mode("append").parquet(f"{root}/landed")
+            query = run_acquisition(
+                spark.readStream.schema(part.schema).parquet(f"{root}/landed"), publish_to_files(f"{root}/messages"),
+                RawStore(f"{root}/raw"), f"{root}/checkpoint", drain=True, name=None,
+            )
+            query.awaitTermination()
+            if not table_of.wait(query):
+                raise RuntimeError("no figures of the batch")
+    finally:
+        spark.streams.removeListener(table_of)
+    done = ProgressTable.read(spark, f"{root}/progress")
+    return done.select("batch_id", "rows", "idle", "late", (F.col("elapsed_ms") >= 0).alias("timed"))
+
+
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses landed as text files, a document of some hundred stations each, streamed and flattened."""
     root = shared_dir(spark, "landed-text")
@@ -464,6 +564,20 @@ def profile_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file profiled by a settings document; the metadata file it writes, read back as rows."""
+    root = shared_dir(spark, "settings")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+    table(spark, sf_dir, "orders").select(*columns).write.options(header=True, sep=";").csv(f"{root}/orders")
+    settings = {"infile": f"{root}/orders", "metafile": f"{root}/meta.json", "separator": ";", "hasheader": "True"}
+    write_text(spark, f"{root}/settings.json", json.dumps(settings))
+    document = spark.read.text(f"{root}/settings.json", wholetext=True).first()[0]
+    profile_file(spark, ProfileConfig.from_json(document))
+    found = json.loads(spark.read.text(f"{root}/meta.json", wholetext=True).first()[0])
+    found.pop("inputfile")
+    return _report_rows(spark, {"orders": found})
+
+
 def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports on all columns of three tables, as rows."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -471,30 +585,34 @@ def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lineitem": (lines, "l_orderkey"), "orders": (orders, "o_orderkey"),
         "pair": (lines.select("l_quantity", "l_extendedprice"), None),
     }
+    documents = {name: json.loads(report_json(profile_frame(df, first_by=by))) for name, (df, by) in sources.items()}
+    return _report_rows(spark, documents)
+
+
+def _report_rows(spark: SparkSession, documents: dict[str, dict]) -> DataFrame:
+    """Reports as rows of source, field, metric, and number or text."""
     rows = []
-    for name, (df, first_by) in sources.items():
-        document = json.loads(report_json(profile_frame(df, first_by=first_by)))
+    for name, document in documents.items():
         for record in document.pop("Fields"):
             for metric, value in record.items():
                 if metric not in ("Name", "UniqueValues"):
                     rows.append((name, record["Name"], metric, value))
         rows += [(name, None, metric, value) for metric, value in document.items()]
-    places = {"Variance": "%.7e"}
     parts = [
         (source, of, metric, None if isinstance(v, str) or v is None else float(v), v if isinstance(v, str) else None)
         for source, of, metric, v in rows
     ]
     df = spark.createDataFrame(parts, "source string, field string, metric string, number double, text string")
-    digits = F.when(F.col("metric") == "Variance", F.format_string(places["Variance"], "number").cast("double"))
+    digits = F.when(F.col("metric") == "Variance", F.format_string("%.7e", "number").cast("double"))
     return df.withColumn("number", F.coalesce(digits, F.round("number", 6)))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        station_means, station_means_sql, keyed_mean, window_means, stream_window_means,
+        station_means, station_means_sql, keyed_mean, window_means, stream_window_means, stream_closed_windows, stream_restart, stream_progress,
         stream_latest_state, stream_latest_state_batches, stream_acquire_raw, stream_acquire_raw_batches, stream_acquire_messages,
-        landed_responses, raw_file_order, headerless_names, profile_damaged, profile_infinite, profile_report, telegram_parse, telegram_quarantine,
+        landed_responses, raw_file_order, headerless_names, profile_damaged, profile_infinite, profile_settings, profile_report, telegram_parse, telegram_quarantine,
         telegram_serialize, response_flatten, response_envelope, bbox_filter,
         csv_reading_parse, date_render, upsert_classify, station_upsert, raw_by_day,
         raw_by_day_store, field_types, field_types_cast, field_type_counts, numeric_profile,

@@ -44,6 +44,17 @@ RAW_DAY = _struct(
     temperature=_DOUBLE, winddirection=_DOUBLE, windspeed=_DOUBLE, day=_TEXT,
 )
 
+# Means by station and window; ``day`` is that of the window's start and the partition column.
+WINDOW_DAY = _struct(
+    window_start=_LONG, window_end=_LONG, id=_INT, location=_TEXT, latitude=_DOUBLE, longitude=_DOUBLE, temp=_DOUBLE,
+    humidity=_DOUBLE, windspeed=_DOUBLE, winddirection=_DOUBLE, pressure=_DOUBLE, time=_LONG, day=_TEXT,
+)
+
+# Figures of a stream's batches.
+PROGRESS = _struct(
+    name=_TEXT, batch_id=_LONG, rows=_LONG, elapsed_ms=_LONG, late=_LONG, idle=T.BooleanType(), at=_TEXT,
+)
+
 # A comma-form reading.
 CSV_READING = "city STRING, time BIGINT, value DOUBLE"
 

@@ -1,29 +1,25 @@
-"""Raw by-day table in parquet.
-
-Each micro-batch owns the folder ``v=<batch_id>`` with one partition per day, so a
-repeated batch is written once. Across batches the later one wins on equal keys; that
-is settled when reading or archiving, where the day filter prunes partitions. Archiving moves
-closed days to ``archive_root`` and deletes the batches that are all there, so that the number
-of folders read stays bounded.
-"""
+"""Raw by-day table in parquet: readings by station, day of month and second."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.operators.rawday import clustered, last_write_wins, to_raw_day
+from isobar.operators.rawday import RAW_KEY, last_write_wins, to_raw_day
 from isobar.schemas import RAW_DAY
-from isobar.sources.versions import complete_versions, days_of, delete_folder, exists, read_versions, version_path, write_version
+from isobar.sources.daystore import DayStore
 
 
 @dataclass(frozen=True)
 class RawStore:
     root: str
     as_float: bool = False
-    archive_root: str | None = None
+    fold_every: int = 60
+
+    @property
+    def days(self) -> DayStore:
+        return DayStore(self.root, RAW_DAY, (*RAW_KEY, "day"), ("id", "eventtime"), self.fold_every)
 
     def write(self, telegrams: DataFrame, batch_id: int, arrival: str | None = None) -> None:
         """Store one batch. ``arrival`` orders repeated keys inside the batch; without
@@ -32,44 +28,7 @@ class RawStore:
         raw = to_raw_day(telegrams, keep, self.as_float)
         if not arrival:
             raw, arrival = raw.withColumn("_arrival", F.lit(0)), "_arrival"
-        rows = clustered(last_write_wins(raw, arrival))
-        write_version(rows, self.root, batch_id, "day")
+        self.days.append(last_write_wins(raw, arrival), batch_id)
 
     def read(self, spark: SparkSession, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
-        versions, parts = complete_versions(spark, self.root), []
-        if versions:
-            parts.append(read_versions(spark, self.root, versions, RAW_DAY))
-        if self.archive_root and exists(spark, self.archive_root):
-            archived = spark.read.schema(RAW_DAY).parquet(self.archive_root)
-            parts.append(archived.withColumn("v", F.lit(-1).cast("long")))
-        if not parts:
-            return spark.createDataFrame([], RAW_DAY)
-        rows = reduce(DataFrame.unionByName, parts)
-        if first_day is not None:
-            rows = rows.filter(F.col("day") >= first_day)
-        if last_day is not None:
-            rows = rows.filter(F.col("day") <= last_day)
-        return last_write_wins(rows, "v")
-
-    def archive(self, spark: SparkSession, last_day: str) -> None:
-        """Move all days up to ``last_day``, one row per key, to the archive.
-
-        A batch is deleted once it and all before it hold no later day: what stays is
-        newer than the archive, so the order of writes is kept.
-        """
-        if self.archive_root is None:
-            raise ValueError("this store has no archive_root")
-        days = {v: days_of(spark, self.root, v) for v in complete_versions(spark, self.root)}
-        closed = [day for own in days.values() for day in own if day <= last_day]
-        if closed:
-            (
-                clustered(self.read(spark, min(closed), last_day))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("day")
-                .parquet(self.archive_root)
-            )
-        for version, own in days.items():
-            if any(day > last_day for day in own):
-                break
-            delete_folder(spark, version_path(self.root, version))
+        return self.days.read(spark, first_day, last_day)

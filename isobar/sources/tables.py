@@ -1,13 +1,12 @@
 """Delimited and JSON-lines tables: look at the first lines, then scan with Spark.
 
-Only a bounded piece of the first file is looked at on the driver. The scan itself
+Only a bounded piece of the first file is looked at on the driver, however long its lines are. The scan itself
 yields every value as text, with the kind of each field taken from the first row.
 """
 
 from __future__ import annotations
 
 import csv
-import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -22,6 +21,9 @@ SAMPLE_CHARS = 1024
 JSON_LINE = r"^{.+}$"
 DEFAULT_DELIMITER = ","
 
+# What is looked at of each of the first two lines: the names of a few thousand columns.
+HEAD_CHARS = 1 << 17
+
 # Where the parser leaves a line that it cannot read.
 DAMAGED = "_damaged"
 
@@ -47,32 +49,59 @@ class TextTable:
 
 
 def first_lines(spark: SparkSession, path: str, lines: int = SAMPLE_CHARS) -> list[str]:
-    """The first lines of the first file by name that has more than one, and the first
-    line of the first file where none has.
+    """The lines that ``look`` finds, ``lines`` at most."""
+    return look(spark, path)[1][:lines]
+
 
-    Only where the first file is empty or a lone header are the lines of all files counted, by
-    Spark; one row comes back.
+def look(spark: SparkSession, path: str) -> tuple[str | None, list[str]]:
+    """The first file by name that has more than one line, or the first one where none has, and its first lines,
+    as far as they are looked at: two lines of up to ``HEAD_CHARS``, and more if these are shorter than the sample.
+
+    Lines are cut before they leave the executors. Only where the first file is empty or a lone header are the lines
+    of all files counted, by Spark; one row comes back.
     """
     text = spark.read.text(path)
     files = text.inputFiles()
-    found = _head(spark, min(files), lines) if files else []
+    file = min(files) if files else None
+    found = _head(spark, file) if file else []
     if len(found) < 2 and len(files) > 1:
         name = F.col("_metadata.file_path").alias("file")
-        longer = text.select(name).groupBy("file").agg(F.count(F.lit(1)).alias("n")).agg(
+        file = text.select(name).groupBy("file").agg(F.count(F.lit(1)).alias("n")).agg(
             F.min_by("file", F.struct(F.col("n") < 2, "file")).alias("file")
         ).first()["file"]
-        found = _head(spark, longer, lines) if longer else []
-    return found
+        found = _head(spark, file) if file else []
+    return file, found
+
 
+def _head(spark: SparkSession, file: str) -> list[str]:
+    def cut(lines: int, chars: int) -> list[str]:
+        return [r[0] for r in spark.read.text(file).select(F.substring("value", 1, chars)).head(lines)]
 
-def _head(spark: SparkSession, file: str, lines: int) -> list[str]:
-    return [r[0] for r in spark.read.text(file).head(max(lines, 2))]
+    found = cut(2, HEAD_CHARS)
+    # Every further line adds a line break at least.
+    wanted = SAMPLE_CHARS - sum(len(line) + 1 for line in found)
+    return found + cut(2 + wanted, wanted)[2:] if len(found) == 2 and wanted > 0 else found
+
+
+def _first_row(spark: SparkSession, file: str) -> DataFrame:
+    return spark.read.text(file).limit(1)
 
 
 def detect_format(first_line: str) -> str:
     return "JSON" if re.search(JSON_LINE, first_line.rstrip()) else "CSV"
 
 
+def format_of(spark: SparkSession, file: str | None) -> str:
+    """As ``detect_format``, by the whole first line of a file, which stays where it is."""
+    if file is None:
+        return "CSV"
+    line = F.rtrim(F.col("value"))
+    found = _first_row(spark, file).select(
+        (F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}")) & (F.length(line) > 2)).alias("is_json")
+    ).first()
+    return "JSON" if found and found["is_json"] else "CSV"
+
+
 def detect_dialect(sample: str) -> type[csv.Dialect] | csv.Dialect | None:
     """Delimiter and quoting of the sample, or None where they cannot be told."""
     try:
@@ -128,16 +157,17 @@ def read_delimited(
     infer: str = "regex",
     multiline: bool = False,
     check_binary: bool = True,
-    lines: list[str] | None = None,
+    looked: tuple[str | None, list[str]] | None = None,
 ) -> TextTable:
     """Scan a delimited table. ``sep`` and ``header`` are detected unless given.
 
     Blank cells stay blank text. In a folder every file has the header or none has.
     ``multiline`` allows line breaks inside quotes, at the price of unsplittable files. A line
     with too few or too many cells is damaged. ``check_binary`` has the use of
-    the table refuse NUL characters. ``lines`` are the first ones, where they are known.
+    the table refuse NUL characters. ``looked`` is what ``look`` gave, where that is known. A first line whose
+    cells go on beyond what is looked at is refused.
     """
-    lines = first_lines(spark, path) if lines is None else lines
+    file, lines = looked or look(spark, path)
     sample = "\n".join(line[:SAMPLE_CHARS] for line in lines)[:SAMPLE_CHARS]
     dialect = detect_dialect(sample)
     sep = sep or (dialect.delimiter if dialect else DEFAULT_DELIMITER)
@@ -153,6 +183,10 @@ def read_delimited(
     }
 
     head = lines[:2]
+    if any(len(line) == HEAD_CHARS for line in head):
+        beyond = F.substring("value", HEAD_CHARS + 1, 2**31 - 1)
+        if spark.read.text(file).limit(2).where(F.contains(beyond, F.lit(sep))).count():
+            raise ValueError(f"{file}: a first line has cells beyond {HEAD_CHARS} characters")
     cells = list(csv.reader(head, delimiter=sep, quotechar=quote, skipinitialspace=bool(dialect and dialect.skipinitialspace)))
     first = cells[0] if cells else []
     fields = column_names(len(first), first if header else names)
@@ -172,16 +206,17 @@ _DAMAGED_FIELD = T.StructField(DAMAGED, T.StringType())
 
 
 def read_json_lines(
-    spark: SparkSession, path: str, *, infer: str = "regex", check_binary: bool = True, lines: list[str] | None = None
+    spark: SparkSession, path: str, *, infer: str = "regex", check_binary: bool = True,
+    looked: tuple[str | None, list[str]] | None = None,
 ) -> TextTable:
     """Scan JSON lines. The columns are the keys of the first object; other keys are
     ignored and missing ones are null. Nested values stay JSON text. A line that is no
-    object is damaged."""
-    lines = first_lines(spark, path) if lines is None else lines
-    first = json.loads(lines[0]) if lines else {}
-    fields = list(first)
-    numbers = [f for f in fields if isinstance(first[f], (int, float)) and not isinstance(first[f], bool)]
-    texts = {f: first[f] if isinstance(first[f], str) else None for f in fields if f not in numbers}
+    object is damaged.
+
+    The first object is taken apart by Spark: names, kinds and the beginnings of texts come back.
+    """
+    file, _ = looked or look(spark, path)
+    fields, numbers, texts = _first_object(spark, file) if file else ([], [], {})
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields] + [_DAMAGED_FIELD])
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", DAMAGED).json(path)
     kinds = sample_kinds(rows, texts, infer)
@@ -189,10 +224,35 @@ def read_json_lines(
     return TextTable(rows, kinds, "JSON", check_binary=check_binary)
 
 
+def _first_object(spark: SparkSession, file: str) -> tuple[list[str], list[str], dict[str, str | None]]:
+    """Keys of a file's first object in order, those with numbers, and the beginnings of the other values as text."""
+    first = _first_row(spark, file)
+    found = first.select(F.json_object_keys("value").alias("keys")).first()
+    if found is None:
+        return [], [], {}
+    if found["keys"] is None:
+        raise ValueError(f"{file}: the first line is no JSON object")
+    fields = list(dict.fromkeys(found["keys"]))
+    if not fields:
+        return [], [], {}
+
+    names = [f"v{i}" for i in range(len(fields))]
+
+    def parsed(kind: T.DataType) -> DataFrame:
+        schema = T.StructType([T.StructField(f, kind) for f in fields])
+        return first.select(F.from_json("value", schema).alias("o")).select("o.*").toDF(*names)
+
+    # A text is no double, but for the names of odd numbers.
+    is_number = parsed(T.DoubleType()).select(*[(F.abs(n) < float("inf")).alias(n) for n in names]).first()
+    begins = parsed(T.StringType()).select(*[F.substring(n, 1, SAMPLE_CHARS).alias(n) for n in names]).first()
+    numbers = [f for f, yes in zip(fields, is_number, strict=True) if yes]
+    return fields, numbers, {f: t for f, t in zip(fields, begins, strict=True) if f not in numbers}
+
+
 def read_text_table(spark: SparkSession, path: str, **delimited_options) -> TextTable:
     """Scan a file in whichever of the two formats its first line shows."""
-    lines = first_lines(spark, path)
-    if detect_format(lines[0] if lines else "") == "JSON":
+    looked = look(spark, path)
+    if format_of(spark, looked[0]) == "JSON":
         own = {name: delimited_options[name] for name in ("infer", "check_binary") if name in delimited_options}
-        return read_json_lines(spark, path, lines=lines, **own)
-    return read_delimited(spark, path, lines=lines, **delimited_options)
+        return read_json_lines(spark, path, looked=looked, **own)
+    return read_delimited(spark, path, looked=looked, **delimited_options)

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from isobar.functions.times import full_day
 from isobar.operators.means import station_means, window_means
 from isobar.operators.telegram import (
     accepted, flatten_responses, parse_messages, quarantined, to_messages, within_box,
 )
+from isobar.schemas import STATION_KEY, WINDOW_DAY
+from isobar.sources.daystore import DayStore
 from isobar.sources.lateststate import LatestState
 from isobar.sources.rawstore import RawStore
 from isobar.sources.versions import write_version
@@ -91,26 +94,43 @@ def run_station_means(
     return _start(messages, handle, checkpoint, every, drain, name)
 
 
+def window_store(output: str, fold_every: int = 60) -> DayStore:
+    """Where ``run_window_means`` keeps its rows: one for each window and station."""
+    key = ("window_start", "window_end", *STATION_KEY, "day")
+    return DayStore(output, WINDOW_DAY, key, ("window_start", "id"), fold_every)
+
+
 def run_window_means(
     messages: DataFrame,
-    output: str,
+    output: str | DayStore,
     checkpoint: str,
     *,
     width: str = BATCH,
     delay: str = BATCH,
     every: str = BATCH,
+    closed: bool = False,
+    ticks: DataFrame | None = None,
     drain: bool = False,
     name: str | None = "window_means",
 ) -> StreamingQuery:
-    """Means per station and event-time window, written as updates per batch. The rows
-    of the highest ``v`` per window and station are the current ones.
+    """Means per station and event-time window, in a ``window_store``.
+
+    A window is written whenever it changes; with ``closed`` it is written once, as it leaves the state
+    because the watermark has passed it. ``ticks``, a stream with a column ``time`` of epoch seconds, moves the
+    watermark on where readings may stay away, and makes no windows.
 
     Readings that arrive more than ``delay`` behind the newest are left out;
     ``StreamHealth`` counts them.
     """
-    means = window_means(accepted(parse_messages(messages)), width, delay)
+    telegrams = accepted(parse_messages(messages))
+    if ticks is not None:
+        telegrams = telegrams.unionByName(ticks.select(F.col("time").cast("long").alias("time")), allowMissingColumns=True)
+    means = window_means(telegrams, width, delay)
+    store = output if isinstance(output, DayStore) else window_store(output)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, output, batch_id)
+        # Here, since a filter on the stream itself would keep ticks from the watermark.
+        rows = batch.where("id IS NOT NULL")
+        store.append(rows.withColumn("day", full_day(F.col("window_start"))), batch_id)
 
-    return _start(means, handle, checkpoint, every, drain, name, mode="update")
+    return _start(means, handle, checkpoint, every, drain, name, mode="append" if closed else "update")

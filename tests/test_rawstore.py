@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from isobar.schemas import RAW_DAY
+from isobar.sources import daystore
 from isobar.sources.rawstore import RawStore
 from isobar.sources.versions import complete_versions
 
@@ -76,38 +77,94 @@ def test_single_precision(spark, tmp_path):
     assert abs(store.read(spark).head().temperature - 0.1) < 1e-7
 
 
-def test_archive_of_closed_days(spark, tmp_path):
-    archive = str(tmp_path / "archive")
-    store = RawStore(str(tmp_path / "raw"), archive_root=archive)
+def test_folding_keeps_the_last_write(spark, tmp_path):
+    store = RawStore(str(tmp_path / "raw"), fold_every=2)
+    days = store.days
     store.write(telegrams(spark, (1, 5.0, JANUARY, 0), (1, 6.0, FEBRUARY, 0)), 0, "arrival")
     store.write(telegrams(spark, (1, 8.0, JANUARY, 0)), 1, "arrival")
-    for _ in range(2):
-        store.archive(spark, "2024-01-31")
-    # The first batch has an open day, and its closed one must not come back over the second's.
-    assert complete_versions(spark, store.root) == [0, 1]
-    assert [r[3] for r in brief(store.read(spark))] == [8.0, 6.0]
-    store.archive(spark, "2024-02-29")
-    assert complete_versions(spark, store.root) == []
-    assert [r[3] for r in brief(spark.read.parquet(archive))] == [8.0, 6.0]
-    assert [r[3] for r in brief(store.read(spark))] == [8.0, 6.0]
-    # A late batch for a closed day: first over the archive, then in it.
+    # January is over, February goes on.
+    assert [complete_versions(spark, r) for r in (days.root, days.folded, days.closed)] == [[], [1], [1]]
+    assert brief(store.read(spark)) == [("1", "15", "2024-01-15", 8.0), ("1", "15", "2024-02-15", 6.0)]
+    assert brief(store.read(spark, last_day="2024-01-31")) == [("1", "15", "2024-01-15", 8.0)]
+    # A late batch for the closed day waits in the folded part until another day is over.
     store.write(telegrams(spark, (1, 9.0, JANUARY, 0)), 2, "arrival")
     assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0]
-    store.archive(spark, "2024-02-29")
-    assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0]
-    assert complete_versions(spark, store.root) == []
-    with pytest.raises(ValueError):
-        RawStore(store.root).archive(spark, "2024-01-31")
-
-
-def test_number_of_batches_read_stays_bounded(spark, tmp_path):
-    store = RawStore(str(tmp_path / "raw"), archive_root=str(tmp_path / "archive"))
-    for k in range(12):
-        store.write(telegrams(spark, (1, float(k), JANUARY + k, 0)), k, "arrival")
-        if k % 4 == 3:
-            store.archive(spark, "2024-01-31")
-        assert len(complete_versions(spark, store.root)) <= 3
-    assert [r[3] for r in brief(store.read(spark))] == [float(k) for k in range(12)]
+    store.write(telegrams(spark, (2, 1.0, FEBRUARY, 0)), 3, "arrival")
+    assert [complete_versions(spark, r) for r in (days.root, days.folded, days.closed)] == [[], [3], [1]]
+    assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0, 1.0]
+    store.write(telegrams(spark, (1, 7.0, FEBRUARY + 86400, 0)), 4, "arrival")
+    store.write(telegrams(spark, (1, 7.5, FEBRUARY + 86400, 0)), 5, "arrival")
+    assert [complete_versions(spark, r) for r in (days.root, days.folded, days.closed)] == [[], [5], [1, 5]]
+    assert [r[3] for r in brief(store.read(spark))] == [9.0, 6.0, 7.5, 1.0]
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    store = RawStore(str(tmp_path / "raw"), fold_every=1)
+    for k in range(3):
+        store.write(telegrams(spark, (k, 1.0, None, 0), (k, 2.0, JANUARY + 86400 * k, 0)), k, "arrival")
+    assert store.read(spark).count() == 6 and store.read(spark).where("day IS NULL").count() == 3
+
+
+PLACES = ["nothing", "closed", "folded", "first delete", "all but one delete"]
+
+
+@pytest.mark.parametrize("place", PLACES)
+def test_a_fold_that_is_broken_off_goes_on(spark, tmp_path, monkeypatch, place):
+    """The writer dies after some step of a fold, and its batch is repeated."""
+    store = RawStore(str(tmp_path / "raw"), fold_every=4)
+    rows = [telegrams(spark, (1, float(k), JANUARY + 86400 * (k // 2), 0), (k, 0.5, JANUARY, 0)) for k in range(8)]
+
+    class Killed(Exception):
+        pass
+
+    def dying(after):
+        steps = {"n": 0}
+
+        def step(real):
+            def run(*args, **kwargs):
+                if steps["n"] == after:
+                    raise Killed
+                steps["n"] += 1
+                return real(*args, **kwargs)
+
+            return run
+
+        return step
+
+    for k in range(7):
+        store.write(rows[k], k, "arrival")
+    # Steps of the second fold: the batch, the closed part, the folded part, and the folders that go.
+    with monkeypatch.context() as patch:
+        step = dying({"nothing": 1, "closed": 2, "folded": 3, "first delete": 4, "all but one delete": 7}[place])
+        patch.setattr(daystore, "write_version", step(daystore.write_version))
+        patch.setattr(daystore, "delete_folder", step(daystore.delete_folder))
+        with pytest.raises(Killed):
+            store.write(rows[7], 7, "arrival")
+    expected = [("0", "15", "2024-01-15", 0.5), ("1", "15", "2024-01-15", 0.5), *[
+        ("1", str(15 + d), f"2024-01-{15 + d}", 2.0 * d + 1) for d in range(1, 4)
+    ], *[(str(k), "15", "2024-01-15", 0.5) for k in range(2, 8)]]
+    assert brief(store.read(spark)) == expected
+    store.write(rows[7], 7, "arrival")
+    assert brief(store.read(spark)) == expected
+    days = store.days
+    assert [complete_versions(spark, r) for r in (days.root, days.folded, days.closed)] == [[], [7], [3, 7]]
+
+
+def test_number_of_folders_stays_bounded(spark, tmp_path):
+    """200 batches over ten days: fewer than ``fold_every`` batches, one folded folder, one closed folder a day."""
+    store = RawStore(str(tmp_path / "raw"), fold_every=20)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        most = 0
+        for k in range(200):
+            store.write(telegrams(spark, (1, float(k), JANUARY + 4320 * k, 0)), k, "arrival")
+            if k % 20 in (0, 18, 19):
+                most = max(most, store.days.folders(spark))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert most <= 19 + 1 + 10
+    assert store.days.folders(spark) <= 1 + 10
+    assert [r[3] for r in brief(store.read(spark))] == [float(k) for k in range(200)]
 
 
 def test_complete_batch_is_left_alone(spark, tmp_path):

@@ -11,8 +11,8 @@ from isobar.sources.messages import (
 )
 from isobar.sources.rawstore import RawStore
 from isobar.sources.versions import complete_versions, version_path
-from isobar.streaming.health import StreamHealth
-from isobar.streaming.jobs import run_acquisition, run_station_means, run_window_means
+from isobar.streaming.health import ProgressTable, StreamHealth
+from isobar.streaming.jobs import run_acquisition, run_station_means, run_window_means, window_store
 from test_telegram import STATION, TELEGRAMS
 
 START = 1700000000
@@ -128,6 +128,70 @@ def test_windows_agree_with_the_batch_form(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_windows_are_written_once(spark, tmp_path):
+    """A window is written when the watermark has passed it; ticks move the watermark while no readings come."""
+    (tmp_path / "ticks").mkdir()
+    store = window_store(str(tmp_path / "out"), fold_every=4)
+
+    def run(*files, ticks=()):
+        for name, *rows in files:
+            put(tmp_path / "in", name, *rows)
+        for k, t in enumerate(ticks):
+            (tmp_path / "ticks" / f"{t}-{k}.json").write_text(json.dumps({"time": t}) + "\n")
+            time.sleep(1.1)
+        (tmp_path / "in").mkdir(exist_ok=True)
+        run_window_means(
+            file_messages(spark, str(tmp_path / "in"), files_per_batch=1), store, str(tmp_path / "checkpoint"), closed=True,
+            ticks=spark.readStream.schema("time long").option("maxFilesPerTrigger", 1).json(str(tmp_path / "ticks")), drain=True,
+        ).awaitTermination()
+        return sorted((r.window_start, r.id, r.temp) for r in store.read(spark).collect())
+
+    minute = START - START % 60
+    assert run(("a.json", reading(1, 10.0, minute), reading(1, 20.0, minute + 59), reading(2, 1.0, minute + 90))) == []
+    found = run(("b.json", reading(1, 30.0, minute + 61), reading(2, 9.0, minute + 190)), ticks=[minute + 190])
+    assert found[:1] == [(minute, 1, 15.0)]
+    # Too late: its window is gone.
+    run(("c.json", reading(1, 99.0, minute + 1)), ticks=[minute + 400])
+    found = run(ticks=[minute + 401])
+    assert found == [(minute, 1, 15.0), (minute + 60, 1, 30.0), (minute + 60, 2, 1.0), (minute + 180, 2, 9.0)]
+    written = [spark.read.schema("window_start long, id int").parquet(f"{r}/v={v}") for r in (store.root, store.folded, store.closed)
+               for v in complete_versions(spark, r)]
+    keys = [tuple(r) for df in written for r in df.collect()]
+    assert len(keys) == len(set(keys)) == 4
+
+
+def test_window_folders_stay_bounded(spark, tmp_path):
+    store = window_store(str(tmp_path / "out"), fold_every=3)
+    for k in range(10):
+        put(tmp_path / "in", f"{k}.json", reading(1, float(k), START + 60 * k))
+        run_window_means(file_messages(spark, str(tmp_path / "in")), store, str(tmp_path / "checkpoint"), drain=True).awaitTermination()
+        assert store.folders(spark) <= 2 + 1 + 1
+        time.sleep(1.1)
+    assert store.read(spark).count() == 10
+
+
+def test_progress_is_a_table(spark, tmp_path):
+    """Rows by batch, readable while the stream runs and after; a batch that is repeated counts once."""
+    table = ProgressTable(spark, str(tmp_path / "progress"), per_file=2)
+    spark.streams.addListener(table)
+    try:
+        for k in range(3):
+            put(tmp_path / "in", f"{k}.json", *[reading(i, 1.0, START) for i in range(k + 1)])
+        state = LatestState(str(tmp_path / "state"))
+        query = run_station_means(
+            file_messages(spark, str(tmp_path / "in"), files_per_batch=1), state, str(tmp_path / "bad"), str(tmp_path / "c"), drain=True,
+            name="means",
+        )
+        query.awaitTermination()
+        assert table.wait(query)
+    finally:
+        spark.streams.removeListener(table)
+    rows = ProgressTable.read(spark, str(tmp_path / "progress")).orderBy("batch_id").collect()
+    assert [(r.name, r.batch_id, r.idle, r.late) for r in rows] == [("means", k, False, 0) for k in range(3)]
+    assert sorted(r.rows for r in rows) == [1, 2, 3] and all(r.elapsed_ms > 0 for r in rows)
+    assert len(list((tmp_path / "progress").glob("*.json"))) == 2
+
+
 def test_health_reports_batches_and_silence(spark, tmp_path):
     health = StreamHealth()
     spark.streams.addListener(health)

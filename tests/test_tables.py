@@ -1,8 +1,10 @@
+import json
+
 import pytest
 
 from isobar.plans.profile import InvalidValues, type_text_table
 from isobar.sources.tables import (
-    BinaryInput, column_names, contains_nul, detect_format, first_lines, read_text_table,
+    HEAD_CHARS, SAMPLE_CHARS, BinaryInput, column_names, contains_nul, detect_format, first_lines, read_text_table,
 )
 
 
@@ -138,3 +140,36 @@ def test_only_lone_headers(spark, tmp_path):
     for k in range(3):
         (tmp_path / f"a{k}").write_text("temp,s\n")
     assert rows(read_text_table(spark, str(tmp_path), sep=",", header=True)) == []
+
+
+def test_long_lines_stay_where_they_are(spark, tmp_path):
+    """Single lines of 15 MB: what the driver looks at is a small piece of them."""
+    n = 15_000_000
+    (tmp_path / "csv").write_text("x" * n)
+    (tmp_path / "rows").write_text("name,n\n" + "y" * n + ",5\n")
+    (tmp_path / "json").write_text('{"id": 7, "text": "' + "z" * n + '", "at": {"deep": [' + "1," * 1000 + '1]}}\n{"id": 8}\n')
+    for name in ("csv", "rows", "json"):
+        assert sum(len(line) for line in first_lines(spark, str(tmp_path / name))) <= 2 * HEAD_CHARS
+    t = read_text_table(spark, str(tmp_path / "csv"), sep=",", header=False)
+    assert t.rows.selectExpr("length(var0)").head()[0] == n
+    t = read_text_table(spark, str(tmp_path / "json"))
+    assert t.kinds == {"id": "Numeric", "text": "String", "at": "String"}
+    assert [tuple(r) for r in t.rows.selectExpr("id", "length(text)").collect()] == [("7", n), ("8", None)]
+    # Cells beyond the piece can't be named.
+    with pytest.raises(ValueError, match="beyond"):
+        read_text_table(spark, str(tmp_path / "rows"), sep=",", header=True)
+
+
+def test_keys_of_the_first_object(spark, tmp_path):
+    first = {"b": 1, "a.b": "x", "A`": 2.5, "c d": None, "e": "NaN", "f": True, "g": "3", "h": [1], "i": 10**30, "": "q"}
+    t = table(spark, tmp_path / "t", json.dumps(first) + "\n")
+    assert t.rows.columns == list(first)
+    assert {k for k, kind in t.kinds.items() if kind == "Numeric"} == {"b", "A`", "g", "i"}
+    with pytest.raises(ValueError, match="no JSON object"):
+        table(spark, tmp_path / "u", '{"a": 1, }}\n{"a": 2}\n')
+
+
+def test_short_lines_fill_the_sample(spark, tmp_path):
+    (tmp_path / "t").write_text("".join(f"{k % 10}\n" for k in range(3000)))
+    assert 2 * len(first_lines(spark, str(tmp_path / "t"))) >= SAMPLE_CHARS
+    assert table(spark, tmp_path / "t2", "", sep=",", header=False).rows.columns == []
