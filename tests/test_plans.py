@@ -1,5 +1,6 @@
 """What the physical plans must and must not contain."""
 
+import functools
 import re
 
 import pytest
@@ -16,17 +17,23 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(scope="module")
+def plan_of(spark):
+    """The plan of a query; queries run their jobs once for all tests here."""
+    return functools.cache(lambda name: plan(QUERIES[name](spark, SF_DIR)))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_workers_no_cross_joins(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
+def test_no_python_workers_no_cross_joins(plan_of, name):
+    text = plan_of(name)
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_rows_meet_in_one_partition_only_as_aggregates(spark, name):
+def test_rows_meet_in_one_partition_only_as_aggregates(plan_of, name):
     """A single-partition exchange is fed by partial aggregates, never by rows."""
-    text = plan(QUERIES[name](spark, SF_DIR))
+    text = plan_of(name)
     for match in re.finditer(r"Exchange SinglePartition[^\n]*\n([^\n]*)", text):
         assert "partial_" in match.group(1), text
 
