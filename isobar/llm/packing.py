@@ -31,13 +31,13 @@ from isobar.llm.common import col, id_type, slices, text_of
 
 POOL, POOL_IDS = 256, 1 << 20
 #: Words of a worker's table, some 60 bytes each, and parts of words in each generation, some 200 bytes each.
-RECENT_WORDS, RECENT_PARTS = 1_000_000, 200_000
+RECENT_WORDS, RECENT_PARTS = 400_000, 100_000
 #: What a vocabulary of this kind writes at the end of a token that ends a word.
 WORD_END = "</w>"
 #: Where the tokenizer cuts a word in lower case that is printable ASCII.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A slice's different words are handled once: long slices repeat more of them.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 class Recent:
