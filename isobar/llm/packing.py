@@ -169,14 +169,15 @@ class Encoder:
         return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, words: int = RECENT_WORDS, parts: int = RECENT_PARTS) -> Encoder:
+    """One for each worker process, file and size."""
+    key = (path, words, parts)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 class Pool:
@@ -243,12 +244,14 @@ def without_padding(pieces: list[tuple], full: int) -> list[list[tuple]]:
 def pack(
     docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
     end_id: int = 2, max_tokens: int = 4096, max_segments: int = 256, max_loss: int = 4096,
+    recent: tuple[int, int] = (RECENT_WORDS, RECENT_PARTS), slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """A row per piece: id, start, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     ``prompt_col`` holds text that comes before a document's and bears no loss (instruction
     data); without it all ids bear loss. A sequence keeps all three limits; ``max_loss`` and
-    ``max_segments`` are 1 at least.
+    ``max_segments`` are 1 at least. ``recent`` (words, parts) and ``slice_bytes`` trade a worker's memory for time and
+    change no result but which documents share a sequence.
     """
     if min(max_tokens, max_segments, max_loss) < 1:
         raise ValueError("limits are 1 at least")
@@ -263,8 +266,8 @@ def pack(
     )
 
     def examples(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
-        own = encoder(tokenizer)
-        for part in slices(batch, "text", SLICE_BYTES):
+        own = encoder(tokenizer, *recent)
+        for part in slices(batch, "text", slice_bytes):
             ids = own.encode(part.column("text"))
             prompts = (
                 own.encode(part.column("prompt"))

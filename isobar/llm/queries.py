@@ -66,7 +66,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    # Nothing else runs in these workers, so they may hold larger tables than those of a pipeline.
+    pieces = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), recent=(1_000_000, 200_000), slice_bytes=8 << 20
+    )
     return pieces.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
