@@ -10,7 +10,7 @@ found so far are counted by value. Most of a column's values are alone in their
 
 No way decides more cheaply whether anything repeats at all: that takes bits in proportion to the number of
 different values. A column of more than ``MOST_VALUES`` values, or with more slots to count than may be
-broadcast, is counted by value after all, which is exact too.
+broadcast, is counted by value after all, which is exact too; so is one of up to ``FEW_VALUES``, whose values are a small shuffle.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ PROPOSED = 17
 SLOT_BITS, SHARD_BITS = 7, 20
 #: Values that a task hashes before it sends slots.
 FLUSH = 1 << 20
+#: Up to so many values a shuffle of them costs less than the passes over slots.
+FEW_VALUES = 1 << 20
 #: Past this many shards a row would hold too few slots.
 MOST_VALUES = 1 << (SHARD_BITS + 13)
 #: Slots that are broadcast, some 16 bytes each.
@@ -182,7 +184,7 @@ def by_slots(rows: DataFrame, sizes: dict[int, int]) -> dict[int, Mode]:
     once has no value."""
     spark = rows.sparkSession
     out = {k: Mode(None, 1) for k in sizes}
-    by_value = [k for k, n in sizes.items() if n > MOST_VALUES]
+    by_value = [k for k, n in sizes.items() if n > MOST_VALUES or n <= FEW_VALUES]
     rest = [k for k in sizes if k not in by_value]
     if rest:
         own = rows.where(F.col("id").isin(rest))

@@ -41,6 +41,12 @@ def cases(rng, n):
     }
 
 
+@pytest.fixture(autouse=True)
+def slots_for_few_values(monkeypatch):
+    """Small columns go through slots here, which they would not otherwise."""
+    monkeypatch.setattr(exactmode, "FEW_VALUES", 0)
+
+
 @pytest.mark.parametrize("tracked", [6000, 0])
 @pytest.mark.parametrize("first", [1000, 5])
 def test_against_counts(spark, monkeypatch, tracked, first):
@@ -52,10 +58,10 @@ def test_against_counts(spark, monkeypatch, tracked, first):
     assert rows == {name: by_hand(values) for name, values in made.items()}
 
 
-@pytest.mark.parametrize("limit", ["MOST_VALUES", "BROADCAST_SLOTS"])
-def test_beyond_the_limits(spark, monkeypatch, limit):
-    """Values are counted by a shuffle where slots are too many."""
-    monkeypatch.setattr(exactmode, limit, 0)
+@pytest.mark.parametrize("limit,value", [("MOST_VALUES", 0), ("BROADCAST_SLOTS", 0), ("FEW_VALUES", 1 << 20)])
+def test_beyond_the_limits(spark, monkeypatch, limit, value):
+    """Values are counted by a shuffle where slots are too many, or values few."""
+    monkeypatch.setattr(exactmode, limit, value)
     monkeypatch.setattr(exactmode, "FIRST_SLOTS", 1)
     made = cases(random.Random(2), 300)
     rows = {r["field"]: tuple(r)[1:] for r in exact_modes(columns_of(spark, made)).collect()}
