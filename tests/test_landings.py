@@ -1,5 +1,8 @@
 """How the streaming queries land their input: by every task, in files that can be listed together."""
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +45,10 @@ def test_responses_are_landed_by_several_tasks(spark, events, landed_at, name, b
     with_rows = spark.read.parquet(f"{landed_at}/landed").groupBy(F.input_file_name()).count()
     assert with_rows.count() >= 2 * batches
     assert spark.read.parquet(f"{landed_at}/landed").count() == N
+
+
+def test_documents_are_files_of_one_folder(spark, events, landed_at):
+    found = QUERIES["landed_responses"](spark, events)
+    assert found.count() == sum(i % 3 + 1 for i in range(N))
+    documents = [f for f in glob.glob(f"{landed_at}/in/**", recursive=True) if f.endswith(".txt")]
+    assert 10 < len(documents) <= 2 + N // 200 and {os.path.dirname(f) for f in documents} == {f"{landed_at}/in"}
