@@ -10,7 +10,7 @@ import sys
 
 import pytest
 
-from isobar.operators import exactmode, orderstats
+from isobar.operators import exactmode, numberprofile, orderstats
 from isobar.operators.correlation import pearson
 from isobar.operators.exactmode import exact_modes
 from isobar.operators.histogram import histogram10
@@ -143,3 +143,29 @@ def test_three_scans_serve_all_columns(tmp_path):
     assert scans == 3
     # Twelve rows of sketches and counts a task, and the values of the intervals that are sorted.
     assert rows_sent < 11 * 6 * orderstats.SORTED_VALUES / 4
+
+
+def test_bounds_are_searched_by_halves():
+    """At most four comparisons find one of twelve pivots; a search by all of them made the loop too long to compile."""
+    pivots = [f"p{k}" for k in range(numberprofile.PIVOTS)]
+    sql = numberprofile._search(pivots, lambda k: str(2 * k), lambda k: str(2 * k + 1))
+    depth = deepest = 0
+    for c in sql.replace("if(", "["):
+        depth += (c == "[") - (c == ")")
+        deepest = max(deepest, depth)
+    assert deepest <= 8 and sql.count("x >") == len(pivots)
+
+
+def test_places_among_bounds(spark):
+    bounds, width = [-INF, -1.5, 0.0, 2.0, INF], 7
+    padded = numberprofile._padded(bounds, width)
+    values = [-INF, -1e300, -1.5, -1.0, 0.0, 1.0, 2.0, 2.5, INF]
+    df = spark.createDataFrame([(v, *padded) for v in values], "x double, " + ", ".join(f"b{k} double" for k in range(width)))
+    names = [f"b{k}" for k in range(width)]
+    found = df.selectExpr(
+        "x", f"{numberprofile._search(names, str)} AS below",
+        f"{numberprofile._search(names, lambda k: str(2 * k), lambda k: str(2 * k + 1))} AS place",
+    ).collect()
+    for r in found:
+        assert r.below == sum(r.x > b for b in bounds)
+        assert r.place == sum((r.x > b) + (r.x >= b) for b in bounds)
