@@ -364,7 +364,7 @@ FROM ({_kinds(_ORDER_FIELDS, 'orders', 'o_orderkey')}) k""",
     "numeric_quartiles": f"""WITH {_NUMBERS}, {_quartiles('v')}
 SELECT field, n, round(median, 6) AS median, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr FROM q""",
     "mode_or_none": f"""WITH {_MODE_VALUES}, {_modes('v')}
-SELECT field, (SELECT count(value) FROM v WHERE v.field = m.field) AS n, has_mode, mode, n_mode FROM m""",
+SELECT field, (SELECT count(value) FROM v WHERE v.field = m.field) AS n, n_unique, has_mode, mode, n_mode FROM m""",
     "numeric_distinct": f"WITH {_MODE_VALUES}, {_modes('v')} SELECT field, n_unique, has_mode, mode FROM m",
     "string_profile": f"""WITH {_TEXTS}, {_modes('v')}
 SELECT m.field, n_unique, has_mode, mode,

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 from isobar.operators import exactmode
 from isobar.operators.exactmode import exact_modes
+from isobar.plans.queries import QUERIES
+
+
+COUNTED_BY_SHUFFLE = exactmode.FEW_VALUES
 
 
 def by_hand(values):
@@ -98,3 +102,18 @@ def test_few_rows_are_sent_for_values_that_differ(spark):
     in_arrays = 8 * 2 * (1 << (bits - exactmode.SLOT_BITS - exactmode.SHARD_BITS))
     assert in_arrays < n / 100
     assert exactmode.by_slots(rows, {0: n})[0] == exactmode.Mode(None, 1)
+
+
+def test_the_query_counts_different_values_too(spark, tmp_path):
+    values = spark.range(12).selectExpr(
+        "id AS event_id", "CAST(id % 5 AS DOUBLE) AS value", "id AS o_orderkey", "CAST(NULL AS DOUBLE) AS o_totalprice",
+        "CAST(id % 2 AS DOUBLE) AS l_quantity", "1.5D AS l_extendedprice", "if(id < 3, NULL, sqrt(id)) AS l_discount",
+        "double('NaN') AS l_tax",
+    )
+    for name in ("events", "orders", "lineitem"):
+        values.write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = {r["field"]: (r["n"], r["n_unique"], r["has_mode"]) for r in QUERIES["mode_or_none"](spark, str(tmp_path)).collect()}
+    assert rows == {
+        "value": (12, 5, True), "o_orderkey": (12, 12, False), "o_totalprice": (0, 0, False), "l_quantity": (12, 2, True),
+        "l_extendedprice": (12, 1, True), "l_discount": (9, 9, False), "l_tax": (0, 0, False),
+    }
