@@ -117,3 +117,12 @@ def test_the_query_counts_different_values_too(spark, tmp_path):
         "value": (12, 5, True), "o_orderkey": (12, 12, False), "o_totalprice": (0, 0, False), "l_quantity": (12, 2, True),
         "l_extendedprice": (12, 1, True), "l_discount": (9, 9, False), "l_tax": (0, 0, False),
     }
+
+
+def test_millions_of_values_are_counted_without_python(spark, monkeypatch):
+    """A shuffle of counts takes less time than slots, and no memory of Python."""
+    monkeypatch.setattr(exactmode, "FEW_VALUES", COUNTED_BY_SHUFFLE)
+    monkeypatch.setattr(exactmode, "slot_counts", lambda *_: pytest.fail("slots for few values"))
+    n = 2_000_000
+    df = spark.range(0, n, 1, 4).selectExpr("sqrt(CAST(id AS DOUBLE)) AS unlike", f"CAST(if(id = 7, {n - 2}, id) AS DOUBLE) AS twice")
+    assert {tuple(r) for r in exact_modes(df).collect()} == {("unlike", n, False, None, 1), ("twice", n, True, float(n - 2), 2)}
