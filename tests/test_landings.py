@@ -36,7 +36,7 @@ def landed_at(spark, tmp_path, monkeypatch):
 
 @pytest.mark.parametrize(
     "name,batches,rows",
-    [("stream_progress", 4, 4), ("stream_acquire_messages", 2, 2 * N)],
+    [("stream_progress", 4, 4), ("stream_acquire_messages", 2, 2 * N), ("stream_restart", 3, None)],
 )
 def test_responses_are_landed_by_several_tasks(spark, events, landed_at, name, batches, rows):
     found = QUERIES[name](spark, events)
