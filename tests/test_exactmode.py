@@ -126,3 +126,22 @@ def test_millions_of_values_are_counted_without_python(spark, monkeypatch):
     n = 2_000_000
     df = spark.range(0, n, 1, 4).selectExpr("sqrt(CAST(id AS DOUBLE)) AS unlike", f"CAST(if(id = 7, {n - 2}, id) AS DOUBLE) AS twice")
     assert {tuple(r) for r in exact_modes(df).collect()} == {("unlike", n, False, None, 1), ("twice", n, True, float(n - 2), 2)}
+
+
+FILE_PROFILES = {
+    "profile_json_file": (
+        "orders", ["if(id = 7, 3, id) AS o_orderkey", "'P' AS o_orderstatus", "id % 9 / 4D AS o_totalprice", "'LOW' AS o_orderpriority"],
+        {"o_orderkey": (1_049_999, True, 3.0), "o_totalprice": (9, True, 0.0), "o_orderstatus": (1, True, None), "o_orderpriority": (1, True, None)},
+    ),
+}
+
+
+@pytest.mark.parametrize("name", FILE_PROFILES)
+def test_file_profiles_count_many_values_without_python(spark, monkeypatch, tmp_path, name):
+    """More values than once went through numpy in every task: the memory of Python does not depend on the table."""
+    monkeypatch.setattr(exactmode, "FEW_VALUES", COUNTED_BY_SHUFFLE)
+    monkeypatch.setattr(exactmode, "slot_counts", lambda *_: pytest.fail("slots for few values"))
+    table, columns, expected = FILE_PROFILES[name]
+    spark.range(0, 1_050_000, 1, 4).selectExpr(*columns).write.parquet(f"{tmp_path}/{table}.parquet")
+    rows = {r["field"]: (r["n_unique"], r["has_mode"], r["mode"]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert rows == expected
