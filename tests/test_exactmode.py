@@ -133,6 +133,11 @@ FILE_PROFILES = {
         "orders", ["if(id = 7, 3, id) AS o_orderkey", "'P' AS o_orderstatus", "id % 9 / 4D AS o_totalprice", "'LOW' AS o_orderpriority"],
         {"o_orderkey": (1_049_999, True, 3.0), "o_totalprice": (9, True, 0.0), "o_orderstatus": (1, True, None), "o_orderpriority": (1, True, None)},
     ),
+    "profile_csv_file": (
+        "lineitem", ["id % 9 / 4D AS l_quantity", "if(id = 7, 3, id) / 4D AS l_extendedprice", "id % 5 / 4D AS l_discount", "0.5D AS l_tax",
+                     "'N' AS l_returnflag", "'O' AS l_linestatus"],
+        {"l_quantity": (9, True, 0.0), "l_extendedprice": (1_049_999, True, 0.75), "l_discount": (5, True, 0.0), "l_tax": (1, True, 0.5)},
+    ),
 }
 
 
